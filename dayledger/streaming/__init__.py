@@ -1,0 +1 @@
+"""No streaming operators: every job here is a bounded run over one or more day partitions."""
