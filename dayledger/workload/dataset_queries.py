@@ -21,7 +21,7 @@ _DATASET_DOUBLES = [*_DOUBLE_FEATURES, "outcome_gross_bet_3d_value", "outcome_gr
 
 @query(
     "scan_partition",
-    """SELECT player_id, vip_level, recent_bet_cnt_7d, round(recent_bet_amt_7d, 6) AS recent_bet_amt_7d, pt
+    """SELECT player_id, vip_level, recent_bet_cnt_7d, round(recent_bet_amt_7d + 1e-9, 6) AS recent_bet_amt_7d, pt
        FROM fx_feature_mart WHERE pt = '20240126' AND is_eligible = 1 AND recent_bet_cnt_7d > 1""",
 )
 def scan_partition(spark, sf):
@@ -136,8 +136,8 @@ def outcome_daily(spark, sf):
 
 
 def _outcome_sql(n: int) -> str:
-    return f"""SELECT player_id, assignment_date, round(gross_bet, 6) AS outcome_gross_bet_{n}d_value,
-       round(gross_ggr, 6) AS outcome_gross_ggr_{n}d_value, source_rows AS outcome_source_row_count_{n}d,
+    return f"""SELECT player_id, assignment_date, round(gross_bet + 1e-9, 6) AS outcome_gross_bet_{n}d_value,
+       round(gross_ggr + 1e-9, 6) AS outcome_gross_ggr_{n}d_value, source_rows AS outcome_source_row_count_{n}d,
        source_keys AS outcome_distinct_source_keys_{n}d, first_day AS first_outcome_event_date,
        last_day AS last_outcome_event_date,
        (CASE WHEN gross_bet > 0 THEN 1 ELSE 0 END)::BIGINT AS response_label_positive_{n}d FROM v_outcome{n}"""
@@ -176,7 +176,7 @@ def response_dataset(spark, sf):
               count(*) FILTER (WHERE e.n > 0) AS matched_outcome_rows,
               count(*) FILTER (WHERE e.bet > 0) AS expected_positive_bet_rows,
               sum(a.response_label_positive_3d)::BIGINT AS actual_positive_labels,
-              round(avg(a.response_label_positive_3d), 6) AS actual_label_rate,
+              round(avg(a.response_label_positive_3d) + 1e-9, 6) AS actual_label_rate,
               count(*) FILTER (WHERE (a.response_label_positive_3d = 1) = (e.bet > 0)) AS matching_label_rows,
               count(*) FILTER (WHERE (a.response_label_positive_3d = 1) <> (e.bet > 0)) AS mismatching_label_rows
        FROM v_response a JOIN expected e ON a.pt = e.pt AND a.player_id = e.player_id AND a.assignment_date = e.assignment_date
@@ -199,9 +199,9 @@ def dataset_reconcile(spark, sf):
 @query(
     "treatment_source_audit",
     """SELECT pt, treatment_type, treatment_group, count(*) AS row_count, count(DISTINCT player_id) AS distinct_players,
-       round(avg(treatment_flag), 6) AS treatment_rate,
-       round(avg(outcome_paid_activity_3d_flag), 6) AS outcome_paid_activity_3d_rate,
-       round(avg(outcome_paid_activity_7d_flag), 6) AS outcome_paid_activity_7d_rate
+       round(avg(treatment_flag) + 1e-9, 6) AS treatment_rate,
+       round(avg(outcome_paid_activity_3d_flag) + 1e-9, 6) AS outcome_paid_activity_3d_rate,
+       round(avg(outcome_paid_activity_7d_flag) + 1e-9, 6) AS outcome_paid_activity_7d_rate
        FROM v_audited GROUP BY pt, treatment_type, treatment_group""",
 )
 def treatment_source_audit(spark, sf):
@@ -211,7 +211,7 @@ def treatment_source_audit(spark, sf):
 @query(
     "observed_outcomes",
     """SELECT player_id, pt, predicted_response_score, response_priority_bucket, vip_level, selected_threshold, model_name,
-       model_version, round(bet, 6) AS observed_gross_bet_value_3d, round(ggr, 6) AS observed_gross_ggr_value_3d,
+       model_version, round(bet + 1e-9, 6) AS observed_gross_bet_value_3d, round(ggr + 1e-9, 6) AS observed_gross_ggr_value_3d,
        label AS observed_response_label_positive_3d, source_rows AS observed_outcome_source_rows_3d,
        first_day AS first_observed_outcome_date, last_day AS last_observed_outcome_date FROM v_observed""",
 )
@@ -259,7 +259,7 @@ _MATURITY_SQL = " UNION ALL ".join(
     f"""SELECT 'gross_bet_{n}d' AS outcome_window, {n}::BIGINT AS window_days, DATE '2024-01-30' AS as_of_date,
         count(*) FILTER (WHERE assignment_date + INTERVAL {n} DAY <= DATE '2024-01-30') AS matured_rows,
         count(*) FILTER (WHERE assignment_date + INTERVAL {n} DAY > DATE '2024-01-30') AS incomplete_rows,
-        round(avg(CASE WHEN assignment_date + INTERVAL {n} DAY <= DATE '2024-01-30' THEN 1.0 ELSE 0.0 END), 6) AS matured_share
+        round(avg(CASE WHEN assignment_date + INTERVAL {n} DAY <= DATE '2024-01-30' THEN 1.0 ELSE 0.0 END) + 1e-9, 6) AS matured_share
         FROM v_base"""
     for n in (3, 7)
 )

@@ -18,10 +18,10 @@ def _confusion_sql(tp: str, pp: str, p: str, n: str) -> str:
     tn = f"({n} - {pp} - {fn})"
 
     def over(a: str, b: str) -> str:
-        return f"round(CASE WHEN {b} = 0 THEN 0.0 ELSE ({a})::DOUBLE / ({b}) END, 6)"
+        return f"round(CASE WHEN {b} = 0 THEN 0.0 ELSE ({a})::DOUBLE / ({b}) END + 1e-9, 6)"
 
     return f"""{over(tp, pp)} AS "precision", {over(tp, p)} AS recall, {over(f'2 * {tp}', f'(2 * {tp} + {fp} + {fn})')} AS f1,
-       {over(pp, n)} AS predicted_positive_rate, round(1 - {pp}::DOUBLE / {n}, 6) AS predicted_negative_rate,
+       {over(pp, n)} AS predicted_positive_rate, round(1 - {pp}::DOUBLE / {n} + 1e-9, 6) AS predicted_negative_rate,
        {pp} AS positive_prediction_count, {n} - {pp} AS negative_prediction_count,
        {over(tn, f'({tn} + {fp})')} AS specificity, {over(tn, f'({tn} + {fn})')} AS negative_predictive_value,
        {tp} AS true_positive_count, {tn} AS true_negative_count, {fp} AS false_positive_count, {fn} AS false_negative_count"""
@@ -43,7 +43,7 @@ def confusion_metrics(spark, sf):
 def _grid_sql(keys: str, where: str = "") -> str:
     """The grid by brute force: every row against every threshold."""
     return f"""SELECT {keys}, step::INT AS step, step / 20.0::DOUBLE AS threshold, n AS row_count, p AS positive_count,
-       round(p::DOUBLE / n, 6) AS prevalence, {_confusion_sql('tp', 'pp', 'p', 'n')}
+       round(p::DOUBLE / n + 1e-9, 6) AS prevalence, {_confusion_sql('tp', 'pp', 'p', 'n')}
        FROM (SELECT {keys}, g.step, count(*) FILTER (WHERE score >= g.step / 20.0 AND target = 1) AS tp,
                     count(*) FILTER (WHERE score >= g.step / 20.0) AS pp, count(*) FILTER (WHERE target = 1) AS p, count(*) AS n
              FROM v_splits, generate_series(1, 19) AS g(step) {where} GROUP BY {keys}, g.step) c"""
@@ -98,23 +98,23 @@ def _curve_sql(keys: str, where: str = "") -> str:
 
 
 def _metrics_sql(keys: str, where: str = "", having: str = "") -> str:
-    return f"""SELECT {keys}, "rows", positives, round(positives::DOUBLE / "rows", 6) AS positive_rate,
-       round(score_sum / "rows", 6) AS score_mean, round(pr_auc, 6) AS pr_auc, round(roc_auc, 6) AS roc_auc,
-       round(square_sum / "rows", 6) AS brier, 0.5::DOUBLE AS threshold, {_confusion_sql('tp', 'pp', 'positives', '"rows"')}
+    return f"""SELECT {keys}, "rows", positives, round(positives::DOUBLE / "rows" + 1e-9, 6) AS positive_rate,
+       round(score_sum / "rows" + 1e-9, 6) AS score_mean, round(pr_auc + 1e-9, 6) AS pr_auc, round(roc_auc + 1e-9, 6) AS roc_auc,
+       round(square_sum / "rows" + 1e-9, 6) AS brier, 0.5::DOUBLE AS threshold, {_confusion_sql('tp', 'pp', 'positives', '"rows"')}
        FROM ({_curve_sql(keys, where)}) m {having}"""
 
 
-@query("roc_auc", f"SELECT split, round(roc_auc, 6) AS roc_auc FROM ({_curve_sql('split')}) m")
+@query("roc_auc", f"SELECT split, round(roc_auc + 1e-9, 6) AS roc_auc FROM ({_curve_sql('split')}) m")
 def roc_auc(spark, sf):
     return rounded(E.split_metrics(I.evaluation_rows(spark, sf), I.THRESHOLD).select("split", "roc_auc"))
 
 
-@query("pr_auc", f"SELECT split, round(pr_auc, 6) AS pr_auc FROM ({_curve_sql('split')}) m")
+@query("pr_auc", f"SELECT split, round(pr_auc + 1e-9, 6) AS pr_auc FROM ({_curve_sql('split')}) m")
 def pr_auc(spark, sf):
     return rounded(E.split_metrics(I.evaluation_rows(spark, sf), I.THRESHOLD).select("split", "pr_auc"))
 
 
-@query("brier", "SELECT split, round(avg((score - target) * (score - target)), 6) AS brier FROM v_splits GROUP BY split")
+@query("brier", "SELECT split, round(avg((score - target) * (score - target)) + 1e-9, 6) AS brier FROM v_splits GROUP BY split")
 def brier(spark, sf):
     return rounded(E.brier_score(I.evaluation_rows(spark, sf)))
 
@@ -132,7 +132,7 @@ def segment_metrics(spark, sf):
 @query(
     "segment_inventory",
     f"""SELECT split, segment_value, count(*) AS row_count, sum(target)::BIGINT AS positive_count,
-        round(avg(target), 6) AS prevalence, count(*) >= {MIN_ROWS} AND sum(target) >= {MIN_POSITIVES} AS eligible_for_threshold_grid
+        round(avg(target) + 1e-9, 6) AS prevalence, count(*) >= {MIN_ROWS} AND sum(target) >= {MIN_POSITIVES} AS eligible_for_threshold_grid
         FROM v_splits GROUP BY split, segment_value""",
 )
 def segment_inventory(spark, sf):
@@ -145,7 +145,7 @@ _BUSINESS = "AND segment_value NOT IN ('UNKNOWN', '__NULL__')"
 
 
 def _with_curves_sql(grid: str) -> str:
-    return f"""SELECT g.*, round(m.pr_auc, 6) AS pr_auc, round(m.roc_auc, 6) AS roc_auc FROM ({grid}) g
+    return f"""SELECT g.*, round(m.pr_auc + 1e-9, 6) AS pr_auc, round(m.roc_auc + 1e-9, 6) AS roc_auc FROM ({grid}) g
        JOIN ({_curve_sql('split, segment_value')}) m ON g.split = m.split AND g.segment_value = m.segment_value"""
 
 
@@ -274,7 +274,7 @@ def champion(spark, sf):
 @query(
     "score_deciles",
     """SELECT CASE WHEN n = 1 THEN 1 ELSE greatest(1, (10 * (r - 1) + n - 2) // (n - 1)) END AS decile, count(*) AS "rows",
-       round(avg(target), 6) AS positive_rate, round(avg(score), 6) AS avg_score
+       round(avg(target) + 1e-9, 6) AS positive_rate, round(avg(score) + 1e-9, 6) AS avg_score
        FROM (SELECT score, target, row_number() OVER (ORDER BY score, pt, player_id, assignment_date) AS r, count(*) OVER () AS n
              FROM v_splits WHERE split = 'test') k GROUP BY 1""",
 )
@@ -309,8 +309,8 @@ def cohort_numeric(spark, sf):
 @query(
     "cohort_vip",
     f"""SELECT segment_value AS vip_level,
-        round(count(*) FILTER (WHERE high) / (sum(count(*) FILTER (WHERE high)) OVER ()), 6) AS high_score_share,
-        round(count(*) FILTER (WHERE low) / (sum(count(*) FILTER (WHERE low)) OVER ()), 6) AS low_score_share
+        round(count(*) FILTER (WHERE high) / (sum(count(*) FILTER (WHERE high)) OVER ()) + 1e-9, 6) AS high_score_share,
+        round(count(*) FILTER (WHERE low) / (sum(count(*) FILTER (WHERE low)) OVER ()) + 1e-9, 6) AS low_score_share
         FROM {_COHORTS} WHERE high OR low GROUP BY segment_value""",
 )
 def cohort_vip(spark, sf):

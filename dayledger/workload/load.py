@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from . import dataset_queries, evaluation_queries, scoring_queries  # noqa: F401
+from . import audit_queries, dataset_queries, evaluation_queries, monitoring_queries, scoring_queries  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

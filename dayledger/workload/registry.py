@@ -31,15 +31,20 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def rounded_sql(sql: str, columns: list[str]) -> str:
     """The statement with the named doubles rounded like the query's (and without negative zero)."""
-    changes = ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in columns)
+    changes = ", ".join(f"round({c} + 1e-9, 6) + 0.0 AS {c}" for c in columns)
     return f"SELECT * REPLACE ({changes}) FROM ({sql.strip()}) rounded_rows"
 
 
+# Means of six-digit scores often end half-way between two roundings, where the last bit of a sum decides.
+# Both sides add this much first, so that such values round up on both.
+NUDGE = 1e-9
+
+
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to six digits: sums of doubles depend on the order of addition."""
     return df.select(
         *[
-            F.round(f.name, 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            F.round(F.col(f.name) + NUDGE, 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
             for f in df.schema.fields
         ]
     )

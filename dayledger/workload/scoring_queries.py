@@ -16,8 +16,8 @@ _SCORE_DOUBLES = ["score_percentile"]
 @query(
     "scoring_audience",
     """SELECT player_id, snapshot_date, vip_level, recent_bet_cnt_7d::DOUBLE AS recent_bet_cnt_7d,
-       round(recent_bet_amt_7d, 6) AS recent_bet_amt_7d, recency_last_bet_to_t::DOUBLE AS recency_last_bet_to_t,
-       round(recent_net_cash_in_7d, 6) + 0.0 AS recent_net_cash_in_7d, pt
+       round(recent_bet_amt_7d + 1e-9, 6) AS recent_bet_amt_7d, recency_last_bet_to_t::DOUBLE AS recency_last_bet_to_t,
+       round(recent_net_cash_in_7d + 1e-9, 6) + 0.0 AS recent_net_cash_in_7d, pt
        FROM fx_feature_mart WHERE pt = '20240126' AND is_eligible = 1 AND player_id IS NOT NULL""",
 )
 def scoring_audience(spark, sf):
@@ -73,7 +73,7 @@ _DISTRIBUTION = {
 @query(
     "score_distribution",
     " UNION ALL ".join(
-        f"SELECT '{name}' AS metric, round({sql.format(s='predicted_response_score')}, 6) AS value FROM v_audience WHERE pt = '20240126'"
+        f"SELECT '{name}' AS metric, round({sql.format(s='predicted_response_score')} + 1e-9, 6) AS value FROM v_audience WHERE pt = '20240126'"
         for name, sql in _DISTRIBUTION.items()
     ),
 )
@@ -85,8 +85,8 @@ def score_distribution(spark, sf):
     "prediction_volume",
     """SELECT count(*) FILTER (WHERE predicted_response_score >= 0.5) AS positive_prediction_count,
        count(*) FILTER (WHERE predicted_response_score < 0.5) AS negative_prediction_count,
-       round(avg(CASE WHEN predicted_response_score >= 0.5 THEN 1.0 ELSE 0.0 END), 6) AS predicted_positive_rate,
-       round(1 - avg(CASE WHEN predicted_response_score >= 0.5 THEN 1.0 ELSE 0.0 END), 6) AS predicted_negative_rate
+       round(avg(CASE WHEN predicted_response_score >= 0.5 THEN 1.0 ELSE 0.0 END) + 1e-9, 6) AS predicted_positive_rate,
+       round(1 - avg(CASE WHEN predicted_response_score >= 0.5 THEN 1.0 ELSE 0.0 END) + 1e-9, 6) AS predicted_negative_rate
        FROM v_audience WHERE pt = '20240126'""",
 )
 def prediction_volume(spark, sf):
@@ -96,8 +96,8 @@ def prediction_volume(spark, sf):
 @query(
     "bucket_summary",
     """SELECT response_priority_bucket, count(*) AS row_count, min(predicted_response_score) AS min_score,
-       max(predicted_response_score) AS max_score, round(avg(predicted_response_score), 6) AS avg_score,
-       round(count(*) / (sum(count(*)) OVER ()), 6) AS population_share FROM v_scores GROUP BY response_priority_bucket""",
+       max(predicted_response_score) AS max_score, round(avg(predicted_response_score) + 1e-9, 6) AS avg_score,
+       round(count(*) / (sum(count(*)) OVER ()) + 1e-9, 6) AS population_share FROM v_scores GROUP BY response_priority_bucket""",
 )
 def bucket_summary(spark, sf):
     return rounded(C.bucket_summary(I.scores(spark, sf)))
@@ -106,7 +106,7 @@ def bucket_summary(spark, sf):
 @query(
     "bucket_segment_mix",
     """SELECT response_priority_bucket, coalesce(vip_level, '__NULL__') AS vip_level, count(*) AS row_count,
-       round(count(*) / (sum(count(*)) OVER (PARTITION BY response_priority_bucket)), 6) AS bucket_share
+       round(count(*) / (sum(count(*)) OVER (PARTITION BY response_priority_bucket)) + 1e-9, 6) AS bucket_share
        FROM v_scores GROUP BY response_priority_bucket, coalesce(vip_level, '__NULL__')""",
 )
 def bucket_segment_mix(spark, sf):
