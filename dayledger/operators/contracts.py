@@ -270,14 +270,19 @@ def require_clean(gate: DataFrame, context: str) -> dict:
 
 
 def postwrite_gate(
-    written: DataFrame, pt: str, expected_rows: int, lineage: Mapping[str, object], buckets: Sequence[str] = tuple(BUCKETS)
+    written: DataFrame,
+    pt: str,
+    expected_rows: int,
+    lineage: Mapping[str, object],
+    buckets: Sequence[str] = tuple(BUCKETS),
+    non_null: Sequence[str] = tuple(CRITICAL_COLUMNS),
 ) -> DataFrame:
     """The pre-write counts on the re-read partition, plus row count and lineage against what was sent."""
     checks = {
         f"wrong_{c}_rows": F.col(c).isNotNull() & (F.col(c).cast("string") != F.lit(value).cast("string"))
         for c, value in lineage.items()
     }
-    gate = prewrite_gate(written, pt, buckets)
+    gate = prewrite_gate(written, pt, buckets, non_null)
     stray = written.agg(*[F.count_if(c).alias(name) for name, c in checks.items()])
     # two one-row frames side by side
     both = gate.withColumn("_one", F.lit(1)).join(stray.withColumn("_one", F.lit(1)), "_one").drop("_one")

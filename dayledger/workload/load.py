@@ -1,4 +1,11 @@
 """Importing this module registers every query."""
 
-from . import audit_queries, dataset_queries, evaluation_queries, monitoring_queries, scoring_queries  # noqa: F401
+from . import (  # noqa: F401
+    audit_queries,
+    dataset_queries,
+    evaluation_queries,
+    model_queries,
+    monitoring_queries,
+    scoring_queries,
+)
 from .registry import ORACLES, QUERIES  # noqa: F401
