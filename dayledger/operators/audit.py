@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import MISSING_IN_PROFILES, labelled, ratio
-from .profiling import treatment_combo_summary
+from ..functions.columns import MISSING_IN_PROFILES, labelled, treatment_combo
 
 # Limits of the audit.
 IMBALANCED_SMD, IMBALANCED_MISSING_GAP = 0.25, 0.10
@@ -50,10 +49,15 @@ def group_label() -> Column:
     return labelled("treatment_group", MISSING_IN_PROFILES).alias("treatment_group")
 
 
+def _reference_order() -> list[Column]:
+    """Group "0" first, then "control", then the larger groups."""
+    wish = F.when(F.col("treatment_group") == "0", 0).when(F.col("treatment_group") == "control", 1).otherwise(2)
+    return [wish, F.desc("row_count"), F.asc("treatment_group")]
+
+
 def reference_group(group_counts: DataFrame) -> DataFrame:
     """One row: group "0", else "control", else the largest. Takes one row a group."""
-    wish = F.when(F.col("treatment_group") == "0", 0).when(F.col("treatment_group") == "control", 1).otherwise(2)
-    return group_counts.orderBy(wish, F.desc("row_count"), "treatment_group").limit(1).select(
+    return group_counts.orderBy(*_reference_order()).limit(1).select(
         F.col("treatment_group").alias("reference_group")
     )
 
@@ -68,53 +72,47 @@ def group_comparability(dataset: DataFrame, features: Sequence[str]) -> DataFram
     All features are aggregated side by side in one pass over the rows; turning them into rows happens on
     the aggregates, one row a group.
     """
-    aggregates = [F.count(F.lit(1)).alias("row_count")]
+    aggregates = [F.expr("count(1) AS row_count")]
     for f in features:
-        value = F.col(f).try_cast("double")
         aggregates += [
-            F.avg(value).alias(f"mean_{f}"),
-            F.var_samp(value).alias(f"var_{f}"),
-            F.count(value).alias(f"known_{f}"),
+            F.expr(f"avg(TRY_CAST({f} AS DOUBLE)) AS mean_{f}"),
+            F.expr(f"var_samp(TRY_CAST({f} AS DOUBLE)) AS var_{f}"),
+            F.expr(f"count(TRY_CAST({f} AS DOUBLE)) AS known_{f}"),
         ]
     wide = dataset.groupBy(group_label()).agg(*aggregates)
-    cells = [
-        F.struct(
-            F.lit(f).alias("feature_name"),
-            F.col(f"mean_{f}").alias("mean"),
-            F.col(f"var_{f}").alias("variance"),
-            F.col(f"known_{f}").alias("known"),
-            (1 - F.col(f"known_{f}") / F.col("row_count")).alias("missing_rate"),
-        )
+    # one row a group: the reference row is put next to every row, so the rows above are read once
+    whole = F.struct("treatment_group", *[c for c in wide.columns if c != "treatment_group"])
+    first = F.first(whole).over(Window.partitionBy().orderBy(*_reference_order()))
+    pairs = wide.withColumn("r", first).where("treatment_group != r.treatment_group")
+    cells = ", ".join(
+        f"'{f}', mean_{f}, var_{f}, known_{f}, 1 - known_{f} / row_count, "
+        f"r.mean_{f}, r.var_{f}, r.known_{f}, 1 - r.known_{f} / r.row_count"
         for f in features
-    ]
-    tall = wide.select("treatment_group", F.inline(F.array(*cells)))
-    chosen = reference_group(wide.select("treatment_group", "row_count"))
-    measures = ("mean", "variance", "known", "missing_rate")
-    ref = (
-        tall.join(F.broadcast(chosen), tall.treatment_group == chosen.reference_group)
-        .select("feature_name", "reference_group", *[F.col(m).alias(f"reference_{m}") for m in measures])
     )
-    pairs = tall.join(ref, "feature_name").where(F.col("treatment_group") != F.col("reference_group"))
-    pooled = F.when(
-        (F.col("known") >= 2) & (F.col("reference_known") >= 2),
-        F.nullif(F.sqrt((F.col("variance") + F.col("reference_variance")) / 2), F.lit(0.0)),
+    names = "feature_name, mean, variance, known, missing_rate, r_mean, r_variance, r_known, r_missing_rate"
+    tall = pairs.selectExpr(
+        "treatment_group AS comparison_group",
+        "r.treatment_group AS reference_group",
+        f"stack({len(features)}, {cells}) AS ({names})",
+    )
+    pooled = "CASE WHEN known >= 2 AND r_known >= 2 THEN nullif(sqrt((variance + r_variance) / 2), 0D) END"
+    measured = tall.withColumns(
+        {"smd": F.expr(f"(mean - r_mean) / {pooled}"), "gap": F.expr("missing_rate - r_missing_rate")}
     )
-    smd = (F.col("mean") - F.col("reference_mean")) / pooled
-    gap = F.col("missing_rate") - F.col("reference_missing_rate")
-    imbalanced = (F.coalesce(F.abs(smd), F.lit(0.0)) >= IMBALANCED_SMD) | (F.abs(gap) >= IMBALANCED_MISSING_GAP)
-    return pairs.select(
+    imbalanced = f"coalesce(abs(smd), 0) >= {IMBALANCED_SMD} OR abs(gap) >= {IMBALANCED_MISSING_GAP}"
+    return measured.selectExpr(
         "feature_name",
-        F.col("treatment_group").alias("comparison_group"),
+        "comparison_group",
         "reference_group",
-        "reference_mean",
-        F.col("mean").alias("comparison_mean"),
-        F.sqrt("reference_variance").alias("reference_std"),
-        F.sqrt("variance").alias("comparison_std"),
-        "reference_missing_rate",
-        F.col("missing_rate").alias("comparison_missing_rate"),
-        gap.alias("missing_rate_gap"),
-        smd.alias("standardized_mean_difference"),
-        imbalanced.cast("bigint").alias("imbalance_flag"),
+        "r_mean AS reference_mean",
+        "mean AS comparison_mean",
+        "sqrt(r_variance) AS reference_std",
+        "sqrt(variance) AS comparison_std",
+        "r_missing_rate AS reference_missing_rate",
+        "missing_rate AS comparison_missing_rate",
+        "gap AS missing_rate_gap",
+        "smd AS standardized_mean_difference",
+        f"CAST({imbalanced} AS BIGINT) AS imbalance_flag",
     )
 
 
@@ -127,21 +125,24 @@ def feasibility(dataset: DataFrame, maturity: DataFrame, timing: DataFrame, comp
         return df.withColumn("_one", F.lit(1))
 
     def present(name: str) -> Column:
-        return F.coalesce(F.max(F.when(F.col("treatment_combo") == name, F.col("row_count"))), F.lit(0)) > 0
+        return F.coalesce(F.max(F.col("treatment_combo") == name), F.lit(False))
 
-    combos = treatment_combo_summary(dataset).agg(
+    # one row per group and combination carries all that is asked of the rows
+    cells = dataset.groupBy(group_label(), treatment_combo("source_treatment_types", "treatment_flag").alias("treatment_combo"))
+    cells = cells.agg(F.expr("sum(coalesce(TRY_CAST(treatment_flag AS BIGINT), 0)) AS treated"))
+    combos = cells.agg(
         present("no_treatment").alias("has_control_group"),
         (present("voucher_and_sms") & present("voucher_only") & present("sms_only")).alias("_combos_ok"),
+        F.expr("coalesce(sum(treated), 0) > 0 AS _treated"),
+        F.expr("count(DISTINCT treatment_group) >= 2 AS _groups"),
     )
-    groups = dataset.groupBy(group_label()).agg(F.sum(F.coalesce(F.col("treatment_flag").try_cast("bigint"), F.lit(0))).alias("t"))
-    groups = groups.agg((F.coalesce(F.sum("t"), F.lit(0)) > 0).alias("_treated"), (F.count(F.lit(1)) >= 2).alias("_groups"))
     mature = maturity.agg(F.coalesce(F.min("matured_share") >= MIN_MATURED_SHARE, F.lit(True)).alias("maturity_ok"))
     clean = timing.agg(F.coalesce(F.max("violation_rows") == 0, F.lit(True)).alias("timing_ok"))
     balance = comparability.agg(
         F.coalesce(F.avg(F.col("imbalance_flag").cast("double")), F.lit(0.0)).alias("imbalance_flag_rate")
     )
     row = one(combos)
-    for other in (groups, mature, clean, balance):
+    for other in (mature, clean, balance):
         row = row.join(one(other), "_one")
     row = row.withColumn("imbalance_ok", F.col("imbalance_flag_rate") <= MAX_IMBALANCE_RATE)
     sound = F.col("maturity_ok") & F.col("timing_ok") & F.col("imbalance_ok")

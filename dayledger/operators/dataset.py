@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import date_to_pt, pt_to_date
+from ..functions.columns import date_to_pt
 from ..sources.schemas import LONG_FEATURES, NUMERIC_FEATURES, RESPONSE_DATASET
 
 KEYS = ["player_id", "assignment_date"]
@@ -13,20 +13,20 @@ KEYS = ["player_id", "assignment_date"]
 
 def base_population(mart: DataFrame, first_pt: str | None = None, last_pt: str | None = None) -> DataFrame:
     """Eligible players of label-mature days, typed; the partition is the assignment day."""
-    rows = mart.where((F.col("is_eligible") == 1) & (F.col("label_maturity_d3") == 1))
+    rows = mart.where("is_eligible = 1 AND label_maturity_d3 = 1")
     if first_pt is not None:
         rows = rows.where(F.col("pt") >= first_pt)
     if last_pt is not None:
         rows = rows.where(F.col("pt") <= last_pt)
-    return rows.select(
-        F.col("player_id").cast("string").alias("player_id"),
-        pt_to_date("pt").alias("assignment_date"),
-        F.col("snapshot_date").cast("date").alias("feature_snapshot_date"),
-        *[F.col(f).cast("bigint" if f in LONG_FEATURES else "double").alias(f) for f in NUMERIC_FEATURES],
-        F.col("feature_create_time").cast("timestamp_ntz").alias("feature_create_time"),
-        F.col("data_version").cast("string").alias("data_version"),
-        F.col("vip_level").cast("string").alias("vip_level"),
-        F.col("pt").cast("string").alias("pt"),
+    return rows.selectExpr(
+        "CAST(player_id AS STRING) AS player_id",
+        "to_date(pt, 'yyyyMMdd') AS assignment_date",
+        "CAST(snapshot_date AS DATE) AS feature_snapshot_date",
+        *[f"CAST({f} AS {'BIGINT' if f in LONG_FEATURES else 'DOUBLE'}) AS {f}" for f in NUMERIC_FEATURES],
+        "CAST(feature_create_time AS TIMESTAMP_NTZ) AS feature_create_time",
+        "CAST(data_version AS STRING) AS data_version",
+        "CAST(vip_level AS STRING) AS vip_level",
+        "CAST(pt AS STRING) AS pt",
     )
 
 

@@ -16,6 +16,7 @@ from .ordering import rank_rows, running_totals
 
 # Grid step i stands for threshold i / 20; sufficiency limits; segments left out of business views.
 GRID_STEPS = range(1, 20)
+SEGMENT_KEYS = ["split", "segment_value"]
 MIN_SEGMENT_ROWS = 100
 MIN_GRID_ROWS, MIN_GRID_POSITIVES = 1000, 100
 BUSINESS_EXCLUDED_SEGMENTS = ["UNKNOWN", MISSING_IN_REPORTS]
@@ -50,23 +51,6 @@ def confusion_columns(tp: Column, predicted: Column, positives: Column, rows: Co
     ]
 
 
-CONFUSION_NAMES = [
-    "precision",
-    "recall",
-    "f1",
-    "predicted_positive_rate",
-    "predicted_negative_rate",
-    "positive_prediction_count",
-    "negative_prediction_count",
-    "specificity",
-    "negative_predictive_value",
-    "true_positive_count",
-    "true_negative_count",
-    "false_positive_count",
-    "false_negative_count",
-]
-
-
 def confusion_metrics(frame: DataFrame, threshold: float, group: Sequence[str] = ("split",)) -> DataFrame:
     hit = F.col("score") >= threshold
     counts = frame.groupBy(*group).agg(
@@ -87,44 +71,52 @@ def score_histogram(frame: DataFrame, group: Sequence[str]) -> DataFrame:
     )
 
 
-def metrics_by(frame: DataFrame, threshold: float, group: Sequence[str]) -> DataFrame:
-    """Every metric of each group from one running total over its distinct scores, best score first.
+def score_curve(frame: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Rows and positives per distinct score with their running totals, best score first.
+
+    Written to the shared folder by the sort, so every metric and grid of the same rows can start from it.
+    """
+    return running_totals(score_histogram(frame, group), group, [F.desc("score")], ["n", "pos"])
+
+
+def curve_metrics(curve: DataFrame, threshold: float, group: Sequence[str]) -> DataFrame:
+    """Every metric of each group in one aggregation.
 
     ROC-AUC: a negative is beaten by the positives above it and by half of those at its score.
     PR-AUC: precision at each distinct score, weighted by the recall gained there.
     Both are NULL when a group has one class only.
     """
-    runs = running_totals(score_histogram(frame, group), group, [F.desc("score")], ["n", "pos"])
-    n, pos, s = F.col("n"), F.col("pos"), F.col("score")
-    above = (F.col("cum_pos") - pos).cast("double")
-    hit = s >= threshold
-    sums = runs.groupBy(*group).agg(
-        F.sum(n).alias("rows"),
-        F.sum(pos).alias("positives"),
-        F.sum(s * n).alias("_score_sum"),
-        F.sum((n - pos) * s * s + pos * (1 - s) * (1 - s)).alias("_square_sum"),
-        F.sum((n - pos).cast("double") * (above + pos / 2)).alias("_beaten"),
-        F.sum(pos * (F.col("cum_pos") / F.col("cum_n"))).alias("_gained"),
-        F.sum(F.when(hit, pos).otherwise(0)).alias("_tp"),
-        F.sum(F.when(hit, n).otherwise(0)).alias("_pp"),
+    at = f"score >= {float(threshold)!r}D"
+    sums = curve.groupBy(*group).agg(
+        F.expr("sum(n) AS rows"),
+        F.expr("sum(pos) AS positives"),
+        F.expr("sum(score * n) AS _score_sum"),
+        F.expr("sum((n - pos) * score * score + pos * (1 - score) * (1 - score)) AS _square_sum"),
+        F.expr("sum(CAST(n - pos AS DOUBLE) * (CAST(cum_pos - pos AS DOUBLE) + pos / 2)) AS _beaten"),
+        F.expr("sum(pos * (cum_pos / cum_n)) AS _gained"),
+        F.expr(f"sum(CASE WHEN {at} THEN pos ELSE 0 END) AS _tp"),
+        F.expr(f"sum(CASE WHEN {at} THEN n ELSE 0 END) AS _pp"),
     )
     rows, positives = F.col("rows"), F.col("positives")
-    negatives = (rows - positives).cast("double")
-    both = (positives > 0) & (positives < rows)
+    both = "positives > 0 AND positives < rows"
     return sums.select(
         *group,
         rows,
         positives,
         ratio(positives, rows).alias("positive_rate"),
         ratio("_score_sum", rows).alias("score_mean"),
-        F.when(both, F.try_divide("_gained", positives.cast("double"))).alias("pr_auc"),
-        F.when(both, F.try_divide("_beaten", positives * negatives)).alias("roc_auc"),
+        F.expr(f"CASE WHEN {both} THEN _gained / positives END AS pr_auc"),
+        F.expr(f"CASE WHEN {both} THEN _beaten / (CAST(positives AS DOUBLE) * (rows - positives)) END AS roc_auc"),
         ratio("_square_sum", rows).alias("brier"),
         F.lit(float(threshold)).alias("threshold"),
         *confusion_columns(F.col("_tp"), F.col("_pp"), positives, rows),
     )
 
 
+def metrics_by(frame: DataFrame, threshold: float, group: Sequence[str]) -> DataFrame:
+    return curve_metrics(score_curve(frame, group), threshold, group)
+
+
 def brier_score(frame: DataFrame, group: Sequence[str] = ("split",)) -> DataFrame:
     gap = F.col("score") - F.col("target")
     return frame.groupBy(*group).agg(F.avg(gap * gap).alias("brier"))
@@ -135,7 +127,7 @@ def split_metrics(frame: DataFrame, threshold: float) -> DataFrame:
 
 
 def segment_metrics(frame: DataFrame, threshold: float, min_rows: int = MIN_SEGMENT_ROWS) -> DataFrame:
-    metrics = metrics_by(with_segment(frame), threshold, ["split", "segment_value"])
+    metrics = metrics_by(with_segment(frame), threshold, SEGMENT_KEYS)
     return metrics.where(F.col("rows") >= min_rows)
 
 
@@ -154,21 +146,25 @@ def grid_step(score: str = "score") -> Column:
 
 def threshold_grid(frame: DataFrame, group: Sequence[str] = ("split",)) -> DataFrame:
     """Metrics at each of the 19 thresholds: rows are read once and counted per step, never multiplied."""
-    steps = frame.groupBy(*group, grid_step().alias("step")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("target").cast("bigint")).alias("pos")
-    )
+    counted = frame.select(*group, grid_step().alias("step"), F.lit(1).cast("bigint").alias("n"), F.expr("CAST(target AS BIGINT) AS pos"))
+    return _grid(counted, group)
+
+
+def curve_grid(curve: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The same grid from the rows of `score_curve`."""
+    return _grid(curve.select(*group, grid_step().alias("step"), "n", "pos"), group)
+
+
+def _grid(counted: DataFrame, group: Sequence[str]) -> DataFrame:
+    steps = counted.groupBy(*group, "step").agg(F.expr("sum(n) AS n"), F.expr("sum(pos) AS pos"))
     # at most 21 steps a group from here on
-    sums = [F.sum("n").alias("_n"), F.sum("pos").alias("_p")]
+    sums = [F.expr("sum(n) AS _n"), F.expr("sum(pos) AS _p")]
     for i in GRID_STEPS:
-        at_or_above = F.col("step") >= i
-        sums.append(F.sum(F.when(at_or_above, F.col("n")).otherwise(0)).alias(f"_pp{i}"))
-        sums.append(F.sum(F.when(at_or_above, F.col("pos")).otherwise(0)).alias(f"_tp{i}"))
+        sums.append(F.expr(f"sum(CASE WHEN step >= {i} THEN n ELSE 0 END) AS _pp{i}"))
+        sums.append(F.expr(f"sum(CASE WHEN step >= {i} THEN pos ELSE 0 END) AS _tp{i}"))
     wide = steps.groupBy(*group).agg(*sums)
-    cells = [
-        F.struct(F.lit(i).alias("step"), F.col(f"_tp{i}").alias("_tp"), F.col(f"_pp{i}").alias("_pp"))
-        for i in GRID_STEPS
-    ]
-    tall = wide.select(*group, "_n", "_p", F.inline(F.array(*cells)))
+    cells = ", ".join(f"{i}, _tp{i}, _pp{i}" for i in GRID_STEPS)
+    tall = wide.selectExpr(*group, "_n", "_p", f"stack({len(GRID_STEPS)}, {cells}) AS (step, _tp, _pp)")
     return tall.select(
         *group,
         "step",
@@ -180,44 +176,60 @@ def threshold_grid(frame: DataFrame, group: Sequence[str] = ("split",)) -> DataF
     )
 
 
-def _first_by(*parts: Column) -> Column:
-    """Aggregate: the step of the row that comes first when all parts are sorted descending."""
-    key = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)], F.col("step").alias("step"))
-    return F.max(key).getField("step")
+# The threshold policies. Each picks the grid row that is largest in its key, left to right.
+POLICY_KEYS = {
+    "max_precision_with_min_recall": "named_struct('a', precision, 'b', f1, 'c', recall, 'd', step)",
+    "max_precision": "named_struct('a', precision, 'b', recall, 'c', f1, 'd', step)",
+    "best_f1": "named_struct('a', f1, 'b', precision, 'c', recall, 'd', -step)",
+}
+WITH_RECALL = "max_precision_with_min_recall"
 
 
-def policy_steps() -> dict[str, Column]:
-    """Aggregates over a grid: the step each policy picks, with its tie-breaks."""
-    p, r, f1, i = (F.col(c) for c in ("precision", "recall", "f1", "step"))
-    return {"max_precision": _first_by(p, r, f1, i), "best_f1": _first_by(f1, p, r, -i)}
+def chosen_step(policy: str, minimum_recall: float, fallback: str) -> tuple[Column, Column]:
+    """Aggregates over a grid: the step the policy picks, and the text of the policy that picked it."""
+    for name in (policy, fallback):
+        if name not in POLICY_KEYS:
+            raise ValueError(f"unknown threshold policy {name!r}")
+    if fallback == WITH_RECALL:
+        raise ValueError("the fallback policy may not have a condition of its own")
+
+    def best(name: str, rows: str = "true") -> Column:
+        return F.abs(F.expr(f"max(CASE WHEN {rows} THEN {POLICY_KEYS[name]} END)").getField("d"))
+
+    if policy != WITH_RECALL:
+        return best(policy), F.lit(policy)
+    reaching = best(policy, f"recall >= {float(minimum_recall)!r}D")
+    label = f"{policy}(minimum_recall={minimum_recall:.2f})"
+    return F.coalesce(reaching, best(fallback)), F.when(reaching.isNotNull(), label).otherwise(fallback)
 
 
 def select_threshold(
     grid: DataFrame,
-    policy: str = "max_precision_with_min_recall",
+    policy: str = WITH_RECALL,
     minimum_recall: float = 0.60,
     fallback: str = "max_precision",
     group: Sequence[str] = (),
 ) -> DataFrame:
     """The chosen threshold and the policy that chose it, one row per group of the grid."""
-    known = policy_steps()
-    for name in (policy, fallback):
-        if name not in known and name != "max_precision_with_min_recall":
-            raise ValueError(f"unknown threshold policy {name!r}")
-    if policy == "max_precision_with_min_recall":
-        p, r, f1, i = (F.col(c) for c in ("precision", "recall", "f1", "step"))
-        key = F.struct(p.alias("k0"), f1.alias("k1"), r.alias("k2"), i.alias("step"))
-        primary = F.max(F.when(r >= minimum_recall, key)).getField("step")
-        label = f"max_precision_with_min_recall(minimum_recall={minimum_recall:.2f})"
-        picked = grid.groupBy(*group).agg(primary.alias("_first"), known[fallback].alias("_fallback"))
-        step = F.coalesce("_first", "_fallback")
-        used = F.when(F.col("_first").isNotNull(), label).otherwise(fallback)
-    else:
-        picked = grid.groupBy(*group).agg(known[policy].alias("_first"))
-        step, used = F.col("_first"), F.lit(policy)
-    return picked.select(
-        *group, step.alias("step"), (step / 20).alias("selected_threshold"), used.alias("threshold_policy")
-    )
+    return policy_choices(grid, [policy], minimum_recall, fallback, group)
+
+
+def policy_choices(
+    grid: DataFrame,
+    policies: Sequence[str],
+    minimum_recall: float = 0.60,
+    fallback: str = "max_precision",
+    group: Sequence[str] = (),
+) -> DataFrame:
+    """The choice of several policies from one aggregation of the grid, one row per group and policy."""
+    aggregates, pairs = [], []
+    for i, policy in enumerate(policies):
+        step, used = chosen_step(policy, minimum_recall, fallback)
+        aggregates += [step.alias(f"_s{i}"), used.alias(f"_u{i}")]
+        pairs.append(f"_s{i}, _u{i}")
+    picked = grid.groupBy(*group).agg(*aggregates)
+    rows = picked.selectExpr(*group, f"stack({len(policies)}, {', '.join(pairs)}) AS (step, threshold_policy)")
+    return rows.select(*group, "step", (F.col("step") / 20).alias("selected_threshold"), "threshold_policy")
 
 
 # --- segments ------------------------------------------------------------------------------
@@ -235,6 +247,11 @@ def segment_inventory(
     return counts.withColumn("eligible_for_threshold_grid", enough)
 
 
+def _sufficient(grid: DataFrame, min_rows: int, min_positives: int, business_only: bool) -> DataFrame:
+    kept = grid.where((F.col("row_count") >= min_rows) & (F.col("positive_count") >= min_positives))
+    return kept.where(~F.col("segment_value").isin(BUSINESS_EXCLUDED_SEGMENTS)) if business_only else kept
+
+
 def segment_threshold_grid(
     frame: DataFrame,
     min_rows: int = MIN_GRID_ROWS,
@@ -245,54 +262,69 @@ def segment_threshold_grid(
 
     Sufficiency needs no second pass: the grid already carries the counts of its group.
     """
-    grid = threshold_grid(with_segment(frame), ["split", "segment_value"])
-    kept = grid.where((F.col("row_count") >= min_rows) & (F.col("positive_count") >= min_positives))
-    return kept.where(~F.col("segment_value").isin(BUSINESS_EXCLUDED_SEGMENTS)) if business_only else kept
+    grid = threshold_grid(with_segment(frame), SEGMENT_KEYS)
+    return _sufficient(grid, min_rows, min_positives, business_only)
 
 
-def with_curves(grid: DataFrame, frame: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Add the group's PR-AUC and ROC-AUC to each grid row."""
-    curves = metrics_by(frame, 0.5, group).select(*group, "pr_auc", "roc_auc")
-    return grid.join(curves, list(group))
+def segment_grid_with_curves(
+    frame: DataFrame,
+    min_rows: int = MIN_GRID_ROWS,
+    min_positives: int = MIN_GRID_POSITIVES,
+    business_only: bool = False,
+) -> DataFrame:
+    """The same with PR-AUC and ROC-AUC of the group on each row; grid and curves share one pass over the rows."""
+    curve = score_curve(with_segment(frame), SEGMENT_KEYS)
+    grid = _sufficient(curve_grid(curve, SEGMENT_KEYS), min_rows, min_positives, business_only)
+    areas = curve_metrics(curve, 0.5, SEGMENT_KEYS).select(*SEGMENT_KEYS, "pr_auc", "roc_auc")
+    return grid.join(areas, SEGMENT_KEYS)
 
 
 def segment_best_threshold(grid: DataFrame) -> DataFrame:
     """Best-f1 row of each (split, segment): highest f1, precision, recall, then lowest threshold."""
     carried = ["threshold", "precision", "recall", "f1"]
-    key = F.struct(
-        F.col("f1").alias("k0"),
-        F.col("precision").alias("k1"),
-        F.col("recall").alias("k2"),
-        (-F.col("step")).alias("k3"),
-        *[F.col(c).alias(c) for c in carried],
-    )
-    best = grid.groupBy("split", "segment_value").agg(F.max(key).alias("b"))
-    return best.select("split", "segment_value", *[F.col(f"b.{c}").alias(f"best_{c}") for c in carried])
+    row = ", ".join(f"'{c}', {c}" for c in carried)
+    best = grid.groupBy(*SEGMENT_KEYS).agg(F.expr(f"max_by(named_struct({row}), {POLICY_KEYS['best_f1']}) AS b"))
+    return best.select(*SEGMENT_KEYS, *[F.col(f"b.{c}").alias(f"best_{c}") for c in carried])
 
 
 def threshold_snapshot(grid: DataFrame, steps: Sequence[int]) -> DataFrame:
     return grid.where(F.col("step").isin(list(steps)))
 
 
-def operating_views(grid: DataFrame, selected: DataFrame, split: str = "test") -> DataFrame:
+def operating_views(
+    grid: DataFrame,
+    policy: str = WITH_RECALL,
+    minimum_recall: float = 0.60,
+    fallback: str = "max_precision",
+    split: str = "test",
+) -> DataFrame:
     """The global grid of one split at a recall-leaning, the selected, and a precision-leaning threshold.
 
-    `selected` is the one-row choice on the validation grid.
+    The selected one is the policy's choice on the validation rows of the same grid, which is computed once.
     """
-    # Grid steps of thresholds 0.30 and 0.60.
-    views = F.array(
-        F.struct(F.lit("recall-prioritized").alias("view"), F.lit(6).alias("step")),
-        F.struct(F.lit("balanced").alias("view"), F.col("step").alias("step")),
-        F.struct(F.lit("precision-protected").alias("view"), F.lit(12).alias("step")),
+    # per policy key one maximum over the validation rows; a handful of rows, one per split and step
+    step, _ = chosen_step(policy, minimum_recall, fallback)
+    per_split = grid.groupBy("split").agg(
+        step.alias("_chosen"),
+        F.collect_list(
+            F.struct("step", "threshold", "precision", "recall", "f1", "predicted_positive_rate")
+        ).alias("_rows"),
     )
-    wanted = selected.select(F.inline(views))
-    return grid.where(F.col("split") == split).join(F.broadcast(wanted), "step").select(
+    # 19 grid rows per split travel with the split
+    both = per_split.agg(
+        F.max(F.when(F.col("split") == "validation", F.col("_chosen"))).alias("_selected"),
+        F.max_by("_rows", F.col("split") == split).alias("_rows"),
+    )
+    # Grid steps of thresholds 0.30 and 0.60.
+    views = "stack(3, 'recall-prioritized', 6, 'balanced', _selected, 'precision-protected', 12) AS (view, wanted)"
+    pairs = both.selectExpr("_rows", views).select("view", "wanted", F.explode("_rows").alias("g"))
+    return pairs.where(F.col("g.step") == F.col("wanted")).select(
         "view",
-        "threshold",
-        F.col("precision").alias("global_precision"),
-        F.col("recall").alias("global_recall"),
-        F.col("f1").alias("global_f1"),
-        F.col("predicted_positive_rate").alias("global_predicted_positive_rate"),
+        "g.threshold",
+        *[
+            F.col(f"g.{c}").alias(f"global_{c}")
+            for c in ("precision", "recall", "f1", "predicted_positive_rate")
+        ],
     )
 
 
@@ -301,10 +333,10 @@ def selected_versus_best(frame: DataFrame, threshold: float, segments: Sequence[
     rows = with_segment(frame).where(
         F.col("segment_value").isin(list(segments)) & F.col("split").isin("validation", "test")
     )
-    group = ["split", "segment_value"]
-    chosen = metrics_by(rows, threshold, group)
-    best = segment_best_threshold(threshold_grid(rows, group))
-    return chosen.join(best, group).select(
+    curve = score_curve(rows, SEGMENT_KEYS)
+    chosen = curve_metrics(curve, threshold, SEGMENT_KEYS)
+    best = segment_best_threshold(curve_grid(curve, SEGMENT_KEYS))
+    return chosen.join(best, SEGMENT_KEYS).select(
         F.col("segment_value").alias("segment"),
         "split",
         F.col("rows").alias("row_count"),

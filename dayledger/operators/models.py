@@ -73,14 +73,14 @@ def preprocessing(
     return stages
 
 
-def balanced_weights(train: DataFrame, target: str = TARGET) -> DataFrame:
-    """Add `class_weight` = rows / (2 * rows of the class). Two counts come to the driver."""
+def balanced_weights(train: DataFrame, target: str = TARGET) -> tuple[DataFrame, int]:
+    """Add `class_weight` = rows / (2 * rows of the class); also the row count. Two counts come to the driver."""
     counts = {int(r["y"]): r["n"] for r in train.groupBy(F.col(target).alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     if set(counts) != {0, 1}:
         raise ValueError(f"training rows need both classes, found {counts}")
     weight = F.when(F.col(target) == 1, total / (2 * counts[1])).otherwise(total / (2 * counts[0]))
-    return train.withColumn("class_weight", weight).withColumn("label", F.col(target).cast("double"))
+    return train.withColumn("class_weight", weight).withColumn("label", F.col(target).cast("double")), total
 
 
 def logistic_regression(rows: int, c: float = 1.0, max_iter: int = 1000) -> LogisticRegression:
@@ -116,14 +116,14 @@ def boosted_trees(rounds: int = 200, step: float = 0.05, depth: int = 5, seed: i
 
 
 def fit_logistic_regression(train: DataFrame, **params) -> PipelineModel:
-    weighted = balanced_weights(fill_features(train))
-    estimator = logistic_regression(weighted.count(), **params)
+    weighted, rows = balanced_weights(fill_features(train))
+    estimator = logistic_regression(rows, **params)
     return Pipeline(stages=[*preprocessing(scale=True), estimator]).fit(weighted)
 
 
 def fit_boosted_trees(train: DataFrame, **params) -> PipelineModel:
     shared_folder(train.sparkSession)
-    weighted = balanced_weights(fill_features(train))
+    weighted, _ = balanced_weights(fill_features(train))
     return Pipeline(stages=[*preprocessing(scale=False), boosted_trees(**params)]).fit(weighted)
 
 

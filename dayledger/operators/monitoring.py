@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import MISSING_IN_MONITORING, bad_score, joined_values, labelled, ratio
+from ..session import cut_lineage
 from ..sources.schemas import MONITORING_DAILY, MONITORING_PERFORMANCE
 from ..sources.sinks import align_to_schema
 from .alerts import DailyLimits, daily_alerts, overall_status
@@ -67,17 +68,17 @@ def with_monitored_segment(scored: DataFrame, segment: str = "vip_level") -> Dat
     return scored.withColumn("segment_value", labelled(segment, MISSING_IN_MONITORING))
 
 
-def segment_distribution(scored: DataFrame, segment: str = "vip_level") -> DataFrame:
-    """Known players, share, mean and median score per segment."""
+def segment_distribution(scored: DataFrame, segment: str = "vip_level", medians: DataFrame | None = None) -> DataFrame:
+    """Known players, share, mean and median score per segment. `medians` may hold them already."""
     rows = with_monitored_segment(scored, segment)
     grouped = rows.groupBy("segment_value").agg(
         F.count("player_id").alias("row_count"),
         F.count_distinct("player_id").alias("distinct_player_count"),
         F.avg(SCORE).alias("avg_score"),
     )
-    medians = exact_quantiles(
-        value_histogram(rows, SCORE, ["segment_value"]), SCORE, "n", {"median_score": 0.5}, ["segment_value"]
-    )
+    if medians is None:
+        histogram = value_histogram(rows, SCORE, ["segment_value"])
+        medians = exact_quantiles(histogram, SCORE, "n", {"median_score": 0.5}, ["segment_value"])
     # one row a segment
     everything = F.sum("row_count").over(Window.partitionBy())
     return grouped.join(medians, "segment_value", "left").select(
@@ -259,7 +260,8 @@ def monitor_daily(
     limits: DailyLimits = DailyLimits(),
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of the daily table (global first by scope) and the alerts behind its status."""
-    metrics = daily_metrics(scored, threshold, segment)
+    # a handful of rows, read by the table, the alerts and the segment list
+    metrics = cut_lineage(daily_metrics(scored, threshold, segment))
     alerts = daily_alerts(alert_inputs(scored, metrics, reference_row_count, segment), limits)
     lineage = scored.agg(*[joined_values(c).alias(c) for c in LINEAGE[:3]])
 
@@ -268,7 +270,8 @@ def monitor_daily(
     by_size = F.struct((-F.col("row_count")).alias("n"), "bucket_name")
     buckets = bucket_distribution(whole, GLOBAL).unionByName(bucket_distribution(parts, GLOBAL))
     buckets = _json_list(buckets, "bucket_distribution_json", by_size, bucket_fields, GLOBAL)
-    segments = segment_distribution(scored, segment)
+    medians = metrics.where("metric_scope = 'segment'").select("segment_value", F.col("score_median").alias("median_score"))
+    segments = segment_distribution(scored, segment, medians)
     by_segment = score_by_segment(scored, segment)
     whole_only = [
         _json_list(

@@ -156,30 +156,17 @@ def outcome_distribution(dataset: DataFrame, columns: Sequence[str]) -> DataFram
             )
         ).alias("o")
     ).select("o.outcome_column", "o.v")
-    values = long.groupBy("outcome_column", F.coalesce("v", F.lit(ABSENT_OUTCOME)).alias("outcome_value")).agg(
-        F.count(F.lit(1)).alias("row_count")
+    values = long.groupBy("outcome_column", "v").agg(F.count(F.lit(1)).alias("row_count"))
+    v, n = F.col("v"), F.col("row_count")
+    known = v.isNotNull()
+    summary = values.groupBy("outcome_column").agg(
+        ratio(F.sum(F.when(known, v * n)), F.sum(F.when(known, n))).alias("mean"),
+        ratio(F.sum(F.when(known, 0).otherwise(n)), F.sum(n)).alias("missing_rate"),
     )
-    wide = dataset.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.avg(F.col(c).try_cast("double")).alias(f"mean_{c}") for c in columns],
-        *[F.count_if(F.col(c).try_cast("double").isNull()).alias(f"missing_{c}") for c in columns],
-    )
-    summary = wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("outcome_column"),
-                        F.col(f"mean_{c}").alias("mean"),
-                        ratio(f"missing_{c}", "_n").alias("missing_rate"),
-                    )
-                    for c in columns
-                ]
-            )
-        )
+    # one row per outcome column, named by the caller; the counted values are shuffled once for both sides
+    return values.join(F.broadcast(summary), "outcome_column").select(
+        "outcome_column", F.coalesce("v", F.lit(ABSENT_OUTCOME)).alias("outcome_value"), "row_count", "mean", "missing_rate"
     )
-    # one row per outcome column, named by the caller
-    return values.join(F.broadcast(summary), "outcome_column")
 
 
 def outcome_distribution_json(distribution: DataFrame) -> DataFrame:

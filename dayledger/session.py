@@ -15,6 +15,8 @@ ENGINE_CONF = {
     # `pt` is text such as 20240126; inference would read it back as an integer
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # otherwise every column expression built in Python also records its call site, at the price of the call itself
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # checkpoint files go away with the frames that own them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

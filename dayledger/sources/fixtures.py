@@ -11,6 +11,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import date_to_pt, parse_pt
 
@@ -20,23 +21,36 @@ LAST_MATURE_DAY = "2024-01-26"
 LOOKBACK_DAYS = 7
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
+def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Its schema is read from the files once a session, not by every query."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
+
+
 def events(
     spark: SparkSession, sf_dir: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
-    stamp = raw.schema["ts"].dataType
+    """Events of whole days, by a range of `ts` that the scan can push down."""
+    raw = given_table(spark, sf_dir, "events")
+    stamp = raw.schema["ts"].dataType.simpleString()
     if first is not None:
-        raw = raw.where(F.col("ts") >= F.lit(first.isoformat()).cast(stamp))
+        raw = raw.where(f"ts >= CAST('{first}' AS {stamp})")
     if last is not None:
-        raw = raw.where(F.col("ts") < F.lit((last + timedelta(days=1)).isoformat()).cast(stamp))
-    return raw.select(
-        F.col("user_id").cast("string").alias("login_name"),
+        raw = raw.where(f"ts < CAST('{last + timedelta(days=1)}' AS {stamp})")
+    return raw.selectExpr(
+        "CAST(user_id AS STRING) AS login_name",
         "user_id",
         "ts",
-        F.col("ts").cast("date").alias("d"),
+        "CAST(ts AS DATE) AS d",
         "event_type",
         "value",
-        F.regexp_extract("props", "([0-9]+)", 1).try_cast("int").alias("k"),
+        "TRY_CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
     )
 
 
@@ -52,18 +66,11 @@ def partition_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select(date_to_pt("d").alias("pt"))
 
 
-def _segment(user_id: Column, market: Column) -> Column:
-    # Segment by market, with absent and unknown segments for two user residues.
-    return (
-        F.when(user_id % 37 == 36, F.lit(None).cast("string"))
-        .when(user_id % 41 == 40, "UNKNOWN")
-        .when(market == "BUILDING", "V1")
-        .when(market == "HOUSEHOLD", "V2")
-        .when(market == "FURNITURE", "V3")
-        .when(market == "MACHINERY", "V4")
-        .otherwise("V5")
-    )
-
+# Segment by market, with absent and unknown segments for two user residues.
+_SEGMENT = """
+CASE WHEN user_id % 37 = 36 THEN NULL WHEN user_id % 41 = 40 THEN 'UNKNOWN'
+     WHEN market = 'BUILDING' THEN 'V1' WHEN market = 'HOUSEHOLD' THEN 'V2'
+     WHEN market = 'FURNITURE' THEN 'V3' WHEN market = 'MACHINERY' THEN 'V4' ELSE 'V5' END"""
 
 _MEASURES = ("bet_cnt", "bet_amt", "win_amt", "bet_days", "dep_cnt", "dep_amt", "wd_cnt", "wd_amt")
 
@@ -82,120 +89,96 @@ def feature_mart(
     leaves out the users without a bet in the window, and with them the user-by-day panel.
     """
     lo, hi = parse_pt(first_pt), parse_pt(last_pt)
-    kind = F.col("event_type")
-    bet, dep, wd = kind == "purchase", kind == "signup", kind == "error"
     daily = (
         events(spark, sf_dir, lo - timedelta(days=LOOKBACK_DAYS), hi - timedelta(days=1))
         .groupBy("user_id", "d")
         .agg(
-            F.count_if(bet).alias("bet_cnt"),
-            F.coalesce(F.sum(F.when(bet, F.col("value"))), F.lit(0.0)).alias("bet_amt"),
-            F.coalesce(F.sum(F.when(bet, F.col("value") * (F.col("k") % 10) / 10)), F.lit(0.0)).alias("win_amt"),
-            F.max(F.when(bet, 1).otherwise(0)).cast("bigint").alias("bet_days"),
-            F.count_if(dep).alias("dep_cnt"),
-            F.coalesce(F.sum(F.when(dep, F.col("value"))), F.lit(0.0)).alias("dep_amt"),
-            F.count_if(wd).alias("wd_cnt"),
-            F.coalesce(F.sum(F.when(wd, F.col("value"))), F.lit(0.0)).alias("wd_amt"),
+            F.expr("count_if(event_type = 'purchase') AS bet_cnt"),
+            F.expr("coalesce(sum(CASE WHEN event_type = 'purchase' THEN value END), 0D) AS bet_amt"),
+            F.expr("coalesce(sum(CASE WHEN event_type = 'purchase' THEN value * (k % 10) / 10 END), 0D) AS win_amt"),
+            F.expr("max(CASE WHEN event_type = 'purchase' THEN 1L ELSE 0L END) AS bet_days"),
+            F.expr("count_if(event_type = 'signup') AS dep_cnt"),
+            F.expr("coalesce(sum(CASE WHEN event_type = 'signup' THEN value END), 0D) AS dep_amt"),
+            F.expr("count_if(event_type = 'error') AS wd_cnt"),
+            F.expr("coalesce(sum(CASE WHEN event_type = 'error' THEN value END), 0D) AS wd_amt"),
         )
     )
-    reach = F.sequence(
-        F.greatest(F.date_add("d", 1), F.lit(lo)), F.least(F.date_add("d", LOOKBACK_DAYS), F.lit(hi))
-    )
-    window = daily.select(
-        "user_id",
-        F.explode(reach).alias("day"),
-        F.when(F.col("bet_cnt") > 0, F.col("d")).alias("last_bet"),
-        *_MEASURES,
+    reach = (
+        f"explode(sequence(greatest(date_add(d, 1), DATE'{lo}'), least(date_add(d, {LOOKBACK_DAYS}), DATE'{hi}'))) AS day"
     )
+    window = daily.selectExpr("user_id", reach, "CASE WHEN bet_cnt > 0 THEN d END AS last_bet", *_MEASURES)
     if not eligible_only:
-        users = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id").distinct()
-        panel = users.select(
-            "user_id",
-            F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("day"),
-            F.lit(None).cast("date").alias("last_bet"),
-            *[F.lit(0).cast(window.schema[m].dataType).alias(m) for m in _MEASURES],
-        )
-        window = window.unionByName(panel)
+        users = given_table(spark, sf_dir, "events").select("user_id").distinct()
+        zeros = [f"CAST(0 AS {'DOUBLE' if m.endswith('amt') else 'BIGINT'}) AS {m}" for m in _MEASURES]
+        panel = f"explode(sequence(DATE'{lo}', DATE'{hi}')) AS day"
+        window = window.unionByName(users.selectExpr("user_id", panel, "CAST(NULL AS DATE) AS last_bet", *zeros))
     features = window.groupBy("user_id", "day").agg(
-        F.max("last_bet").alias("last_bet"), *[F.sum(m).alias(m) for m in _MEASURES]
+        F.expr("max(last_bet) AS last_bet"), *[F.expr(f"sum({m}) AS {m}") for m in _MEASURES]
     )
     if eligible_only:
-        features = features.where(F.col("bet_cnt") > 0)
-
-    market = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("market")
-    )
-    zero_n, zero_x = F.lit(0).cast("bigint"), F.lit(0.0)
-    return features.join(market, "user_id", "left").select(
-        F.col("user_id").cast("string").alias("player_id"),
-        F.date_sub("day", 1).alias("snapshot_date"),
-        F.col("bet_cnt").alias("recent_bet_cnt_7d"),
-        F.col("bet_amt").alias("recent_bet_amt_7d"),
-        F.col("win_amt").alias("recent_win_amt_7d"),
-        (F.col("bet_amt") - F.col("win_amt")).alias("recent_ggr_amt_7d"),
-        (F.col("bet_amt") - F.col("win_amt")).alias("recent_net_loss_amt_7d"),
-        F.col("bet_days").alias("recent_bet_days_7d"),
-        F.datediff("day", "last_bet").cast("bigint").alias("recency_last_bet_to_t"),
-        zero_n.alias("pre_bet_cnt_30d"),
-        zero_x.alias("pre_bet_amt_30d"),
-        zero_x.alias("pre_win_amt_30d"),
-        zero_x.alias("pre_ggr_amt_30d"),
-        zero_x.alias("pre_net_loss_amt_30d"),
-        zero_n.alias("pre_bet_days_30d"),
-        F.col("dep_cnt").alias("recent_dep_cnt_7d"),
-        F.col("dep_amt").alias("recent_dep_amt_7d"),
-        F.col("wd_cnt").alias("recent_withdraw_cnt_7d"),
-        F.col("wd_amt").alias("recent_withdraw_amt_7d"),
-        (F.col("dep_amt") - F.col("wd_amt")).alias("recent_net_cash_in_7d"),
-        F.col("day").cast("timestamp_ntz").alias("feature_create_time"),
-        F.lit("v2").alias("data_version"),
-        _segment(F.col("user_id"), F.col("market")).alias("vip_level"),
-        F.when(F.col("bet_cnt") > 0, 1).otherwise(0).cast("bigint").alias("is_eligible"),
-        F.when(F.col("day") <= F.lit(LAST_MATURE_DAY).cast("date"), 1).otherwise(0).cast("bigint").alias("label_maturity_d3"),
-        date_to_pt("day").alias("pt"),
+        features = features.where("bet_cnt > 0")
+
+    market = given_table(spark, sf_dir, "customer").selectExpr("c_custkey AS user_id", "c_mktsegment AS market")
+    return features.join(market, "user_id", "left").selectExpr(
+        "CAST(user_id AS STRING) AS player_id",
+        "date_sub(day, 1) AS snapshot_date",
+        "bet_cnt AS recent_bet_cnt_7d",
+        "bet_amt AS recent_bet_amt_7d",
+        "win_amt AS recent_win_amt_7d",
+        "bet_amt - win_amt AS recent_ggr_amt_7d",
+        "bet_amt - win_amt AS recent_net_loss_amt_7d",
+        "bet_days AS recent_bet_days_7d",
+        "CAST(datediff(day, last_bet) AS BIGINT) AS recency_last_bet_to_t",
+        "0L AS pre_bet_cnt_30d",
+        "0D AS pre_bet_amt_30d",
+        "0D AS pre_win_amt_30d",
+        "0D AS pre_ggr_amt_30d",
+        "0D AS pre_net_loss_amt_30d",
+        "0L AS pre_bet_days_30d",
+        "dep_cnt AS recent_dep_cnt_7d",
+        "dep_amt AS recent_dep_amt_7d",
+        "wd_cnt AS recent_withdraw_cnt_7d",
+        "wd_amt AS recent_withdraw_amt_7d",
+        "dep_amt - wd_amt AS recent_net_cash_in_7d",
+        "CAST(day AS TIMESTAMP_NTZ) AS feature_create_time",
+        "'v2' AS data_version",
+        f"{_SEGMENT} AS vip_level",
+        "CASE WHEN bet_cnt > 0 THEN 1L ELSE 0L END AS is_eligible",
+        f"CASE WHEN day <= DATE'{LAST_MATURE_DAY}' THEN 1L ELSE 0L END AS label_maturity_d3",
+        "date_format(day, 'yyyyMMdd') AS pt",
     )
 
 
 def vouchers(spark: SparkSession, sf_dir: str, first_pt: str | None = None, last_pt: str | None = None) -> DataFrame:
-    stamp = F.col("ts")
-    return (
-        _events_in(spark, sf_dir, first_pt, last_pt)
-        .where(F.col("event_type") == "click")
-        .select(
-            "login_name",
-            F.when(F.col("k") % 3 != 0, stamp).alias("release_datetime"),
-            F.when(F.col("k") % 7 != 0, stamp + F.expr("INTERVAL 1 HOUR")).alias("clamined_datetime"),
-            date_to_pt("d").alias("pt"),
-        )
+    clicks = _events_in(spark, sf_dir, first_pt, last_pt).where("event_type = 'click'")
+    return clicks.selectExpr(
+        "login_name",
+        "CASE WHEN k % 3 != 0 THEN ts END AS release_datetime",
+        "CASE WHEN k % 7 != 0 THEN ts + INTERVAL 1 HOUR END AS clamined_datetime",
+        "date_format(d, 'yyyyMMdd') AS pt",
     )
 
 
 def sms_sends(spark: SparkSession, sf_dir: str, first_pt: str | None = None, last_pt: str | None = None) -> DataFrame:
-    return (
-        _events_in(spark, sf_dir, first_pt, last_pt)
-        .where(F.col("event_type") == "view")
-        .select(
-            "login_name",
-            F.when(F.col("k") % 5 != 0, F.col("ts")).alias("send_time"),
-            F.col("ts").alias("create_time"),
-            F.when(F.col("k") % 10 < 7, 3).otherwise(4).alias("state"),
-            date_to_pt("d").alias("pt"),
-        )
+    views = _events_in(spark, sf_dir, first_pt, last_pt).where("event_type = 'view'")
+    return views.selectExpr(
+        "login_name",
+        "CASE WHEN k % 5 != 0 THEN ts END AS send_time",
+        "ts AS create_time",
+        "CASE WHEN k % 10 < 7 THEN 3 ELSE 4 END AS state",
+        "date_format(d, 'yyyyMMdd') AS pt",
     )
 
 
 def bets(spark: SparkSession, sf_dir: str, first_pt: str | None = None, last_pt: str | None = None) -> DataFrame:
-    return (
-        _events_in(spark, sf_dir, first_pt, last_pt)
-        .where(F.col("event_type") == "purchase")
-        .select(
-            F.col("d").alias("stat_date"),
-            "login_name",
-            F.when(F.col("k") % 11 != 0, F.concat(F.lit("site"), (F.col("k") % 4).cast("string"))).alias("bet_site_id"),
-            F.col("value").alias("bet_amount"),
-            (F.col("value") - F.col("value") * (F.col("k") % 10) / 10).alias("gross_gaming_revenue"),
-            date_to_pt("d").alias("pt"),
-        )
+    purchases = _events_in(spark, sf_dir, first_pt, last_pt).where("event_type = 'purchase'")
+    return purchases.selectExpr(
+        "d AS stat_date",
+        "login_name",
+        "CASE WHEN k % 11 != 0 THEN concat('site', CAST(k % 4 AS STRING)) END AS bet_site_id",
+        "value AS bet_amount",
+        "value - value * (k % 10) / 10 AS gross_gaming_revenue",
+        "date_format(d, 'yyyyMMdd') AS pt",
     )
 
 

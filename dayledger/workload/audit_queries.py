@@ -8,6 +8,7 @@ from ..operators import audit as X
 from ..operators import contracts as V
 from ..operators import profiling as P
 from ..operators.splits import outcome_maturity
+from ..session import cut_lineage
 from ..sources.schemas import NUMERIC_FEATURES
 from . import inputs as I
 from .registry import query, rounded
@@ -251,8 +252,8 @@ def group_comparability(spark, sf):
           control AS has_control_group, maturity_ok, timing_ok, balance_ok AS imbalance_ok, round(imbalance + 1e-9, 6) AS imbalance_flag_rate FROM a""",
 )
 def feasibility(spark, sf):
-    """Without the text of reasons."""
-    rows = I.audited(spark, sf)
+    """Without the text of reasons. The audited rows are written once for the four results made from them."""
+    rows = cut_lineage(I.audited(spark, sf))
     result = X.feasibility(
         rows,
         outcome_maturity(rows, {"gross_bet_3d": 3}, I.AS_OF),

@@ -77,11 +77,7 @@ FROM (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c) picke
 @query("threshold_select", _SELECT_SQL)
 def threshold_select(spark, sf):
     grid = E.threshold_grid(I.evaluation_rows(spark, sf))
-    picked = [
-        E.select_threshold(grid, policy, group=["split"])
-        for policy in ("max_precision_with_min_recall", "max_precision", "best_f1")
-    ]
-    return picked[0].unionByName(picked[1]).unionByName(picked[2])
+    return E.policy_choices(grid, list(E.POLICY_KEYS), group=["split"])
 
 
 def _curve_sql(keys: str, where: str = "") -> str:
@@ -151,9 +147,7 @@ def _with_curves_sql(grid: str) -> str:
 
 @query("segment_threshold_grid", _with_curves_sql(_SEGMENT_GRID))
 def segment_threshold_grid(spark, sf):
-    rows = I.evaluation_rows(spark, sf)
-    grid = E.segment_threshold_grid(rows, MIN_ROWS, MIN_POSITIVES)
-    return rounded(E.with_curves(grid, E.with_segment(rows), ["split", "segment_value"]))
+    return rounded(E.segment_grid_with_curves(I.evaluation_rows(spark, sf), MIN_ROWS, MIN_POSITIVES))
 
 
 @query("segment_threshold_grid_business", f"{_SEGMENT_GRID} {_BUSINESS}")
@@ -182,9 +176,7 @@ def segment_best_threshold(spark, sf):
         FROM ({_grid_sql('split')}) g JOIN views v ON g.step = v.step WHERE g.split = 'test'""",
 )
 def operating_views(spark, sf):
-    grid = E.threshold_grid(I.evaluation_rows(spark, sf))
-    selected = E.select_threshold(grid.where(F.col("split") == "validation"))
-    return rounded(E.operating_views(grid, selected))
+    return rounded(E.operating_views(E.threshold_grid(I.evaluation_rows(spark, sf))))
 
 
 @query(

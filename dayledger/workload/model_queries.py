@@ -11,7 +11,7 @@ from ..operators import evaluation as E
 from ..operators import models as M
 from ..operators import profiling as P
 from ..plans import dataset_run, monitoring_run, scoring_run, training_run
-from ..session import fresh_path
+from ..session import cut_lineage, fresh_path
 from ..sources import fixtures as fx
 from ..sources import sinks
 from ..sources.schemas import (
@@ -229,7 +229,7 @@ def _training_rows(spark, sf):
 
 def _slot_statistics(spark, sf, scale):
     """Mean and variance of every slot of the feature vector over the training rows."""
-    train = M.fill_features(_training_rows(spark, sf).where(F.col("split") == "train"))
+    train = M.fill_features(_train_only(spark, sf))
     fitted = Pipeline(stages=M.preprocessing(scale)).fit(train)
     stats = fitted.transform(train).select(Summarizer.metrics("mean", "variance").summary(F.col("features")).alias("s"))
     row = stats.select("s.mean", "s.variance").first()  # two vectors of feature width
@@ -286,7 +286,7 @@ def train_gbt(spark, sf):
 
 
 def _train_only(spark, sf):
-    return _training_rows(spark, sf).where(F.col("split") == "train")
+    return cut_lineage(_training_rows(spark, sf).where(F.col("split") == "train"))
 
 
 @query("lr_importance")
