@@ -94,7 +94,7 @@ def joined_values(value: str | Column) -> Column:
 def treatment_combo(tokens: str | Column, flag: str | Column) -> Column:
     """Label of the channels named in a pipe-separated list, read as a set."""
     named = F.array_sort(
-        F.array_distinct(F.filter(F.transform(F.split(col(tokens), r"\|"), F.trim), lambda t: t != ""))
+        F.array_distinct(F.filter(F.transform(F.split(col(tokens), r"\|"), lambda t: F.trim(t)), lambda t: t != ""))
     )
     absent = F.when(col(flag).try_cast("bigint") == 0, "no_treatment").otherwise("unknown")
     return (

@@ -103,11 +103,14 @@ def snapshot_freshness(spark, sf):
     return M.snapshot_freshness(I.flawed_scores(spark, sf))
 
 
+def _joined(column: str) -> str:
+    return f"""(SELECT nullif(string_agg(v, ',' ORDER BY v), '') FROM (SELECT DISTINCT {column} AS v FROM v_flawed
+        WHERE {column} IS NOT NULL) distinct_values)"""
+
+
 @query(
     "single_value",
-    """SELECT (SELECT nullif(string_agg(v, ',' ORDER BY v), '') FROM (SELECT DISTINCT model_name AS v FROM v_flawed WHERE model_name IS NOT NULL) a) AS model_name,
-       (SELECT nullif(string_agg(v, ',' ORDER BY v), '') FROM (SELECT DISTINCT response_priority_bucket AS v FROM v_flawed WHERE response_priority_bucket IS NOT NULL) b) AS response_priority_bucket,
-       (SELECT nullif(string_agg(v, ',' ORDER BY v), '') FROM (SELECT DISTINCT scoring_pt AS v FROM v_flawed WHERE scoring_pt IS NOT NULL) c) AS scoring_pt""",
+    f"SELECT {', '.join(f'{_joined(c)} AS {c}' for c in ('model_name', 'response_priority_bucket', 'scoring_pt'))}",
 )
 def single_value(spark, sf):
     names = ["model_name", "response_priority_bucket", "scoring_pt"]
@@ -201,10 +204,11 @@ def _monitored(spark, sf):
     "monitor_daily",
     f"""SELECT h.* EXCLUDE (seg), CASE WHEN h.metric_scope = 'segment' THEN 'vip_level' END AS segment_column,
         CASE WHEN h.metric_scope = 'segment' THEN h.seg END AS segment_value,
-        CASE WHEN h.metric_scope = 'segment' THEN 'ok' ELSE 'critical' END AS monitor_status,
+        CASE WHEN h.metric_scope = 'segment' THEN 'ok' ELSE (SELECT CASE WHEN bool_or(severity = 'critical') THEN 'critical'
+             WHEN bool_or(severity = 'warning') THEN 'warning' ELSE 'ok' END FROM ({_DAILY_ALERTS}) a) END AS monitor_status,
         TIMESTAMP '2024-01-27 02:00:00' AS monitor_run_ts, '{RUN_LABEL}' AS run_label, '{SCORING_TABLE}' AS scoring_table,
         '20240125' AS reference_pt, 1::BIGINT AS partition_present_flag, 1::BIGINT AS write_success_flag,
-        'fixed_logit' AS model_name, ',fixed__fixed_logit__v1' AS model_version, 'models/fixed_logit' AS model_reference_path,
+        {', '.join(f'{_joined(c)} AS {c}' for c in ('model_name', 'model_version', 'model_reference_path'))},
         0.5::DOUBLE AS selected_threshold,
         CASE WHEN h.metric_scope = 'segment' THEN 0 ELSE (SELECT count(*) FROM ({_DAILY_ALERTS}) a) END AS alert_count,
         '20240126' AS pt FROM ({_HEALTH}) h""",
