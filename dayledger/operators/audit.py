@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import MISSING_IN_PROFILES, labelled, treatment_combo
+from .ordering import side_by_side
 
 # Limits of the audit.
 IMBALANCED_SMD, IMBALANCED_MISSING_GAP = 0.25, 0.10
@@ -121,9 +122,6 @@ def feasibility(dataset: DataFrame, maturity: DataFrame, timing: DataFrame, comp
 
     Each input is a small result table; they are reduced to one row each and set side by side.
     """
-    def one(df: DataFrame) -> DataFrame:
-        return df.withColumn("_one", F.lit(1))
-
     def present(name: str) -> Column:
         return F.coalesce(F.max(F.col("treatment_combo") == name), F.lit(False))
 
@@ -141,9 +139,7 @@ def feasibility(dataset: DataFrame, maturity: DataFrame, timing: DataFrame, comp
     balance = comparability.agg(
         F.coalesce(F.avg(F.col("imbalance_flag").cast("double")), F.lit(0.0)).alias("imbalance_flag_rate")
     )
-    row = one(combos)
-    for other in (mature, clean, balance):
-        row = row.join(one(other), "_one")
+    row = side_by_side(combos, mature, clean, balance)
     row = row.withColumn("imbalance_ok", F.col("imbalance_flag_rate") <= MAX_IMBALANCE_RATE)
     sound = F.col("maturity_ok") & F.col("timing_ok") & F.col("imbalance_ok")
     binary = F.col("has_control_group") & F.col("_treated") & sound

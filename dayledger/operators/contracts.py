@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import bad_score, blank, no_number, parse_pt, ratio
 from ..sources.schemas import RESPONSE_SCORES
+from .ordering import side_by_side
 from .scoring import BUCKETS, SCORE
 
 CRITICAL_COLUMNS = [c for c in RESPONSE_SCORES.fieldNames() if c != "pt"]
@@ -284,9 +285,7 @@ def postwrite_gate(
     }
     gate = prewrite_gate(written, pt, buckets, non_null)
     stray = written.agg(*[F.count_if(c).alias(name) for name, c in checks.items()])
-    # two one-row frames side by side
-    both = gate.withColumn("_one", F.lit(1)).join(stray.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return both.withColumn("row_count_gap", F.col("row_count") - F.lit(expected_rows))
+    return side_by_side(gate, stray).withColumn("row_count_gap", F.col("row_count") - F.lit(expected_rows))
 
 
 def scored_input_check(rows: DataFrame, pt: str) -> DataFrame:

@@ -258,10 +258,10 @@ def observed_outcomes(scores: DataFrame, bets: DataFrame, window_days: int = 3)
     )
 
 
-def audit_dataset(dataset: DataFrame, week: DataFrame) -> DataFrame:
+def audit_dataset(dataset: DataFrame, bets: DataFrame) -> DataFrame:
     """The dataset as the experiment audit reads it: treatment type and group, channel tokens, 3- and 7-day flags.
 
-    `week` holds (player_id, assignment_date, outcome_gross_bet_7d_value).
+    `bets` reaches seven days past the last assignment day.
     """
     voucher, sms = F.col("has_voucher_treatment") == 1, F.col("has_sms_treatment") == 1
     kind = (
@@ -272,7 +272,8 @@ def audit_dataset(dataset: DataFrame, week: DataFrame) -> DataFrame:
     def paid(value: str) -> Column:
         return F.when(F.col(value) > 0, 1).otherwise(0).cast("bigint")
 
-    return dataset.join(week.select(*KEYS, "outcome_gross_bet_7d_value"), KEYS, "left").select(
+    week = outcomes_by_assignment(bets, 7).select(*KEYS, F.col("gross_bet").alias("outcome_gross_bet_7d_value"))
+    return dataset.join(week, KEYS, "left").select(
         *dataset.columns,
         kind.alias("treatment_type"),
         F.when(F.col("treatment_flag") == 0, "control").otherwise(kind).alias("treatment_group"),

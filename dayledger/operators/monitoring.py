@@ -13,7 +13,7 @@ from ..session import cut_lineage
 from ..sources.schemas import MONITORING_DAILY, MONITORING_PERFORMANCE
 from ..sources.sinks import align_to_schema
 from .alerts import DailyLimits, daily_alerts, overall_status
-from .ordering import exact_quantiles, value_histogram
+from .ordering import exact_quantiles, side_by_side, value_histogram
 from .scoring import HIGH_PRIORITY_BUCKETS, SCORE
 
 # Quantiles of the monitored distribution.
@@ -44,8 +44,7 @@ def _moments() -> list[Column]:
 def monitor_distribution(scored: DataFrame) -> DataFrame:
     """One row: range, mean, deviation, median and the nine quantiles of the score."""
     quantiles = exact_quantiles(value_histogram(scored, SCORE), SCORE, "n", QUANTILES)
-    row = quantiles.withColumn("_one", F.lit(1)).join(scored.agg(*_moments()).withColumn("_one", F.lit(1)), "_one")
-    return row.select(
+    return side_by_side(quantiles, scored.agg(*_moments())).select(
         "score_min", "score_max", "score_mean", F.col("p50").alias("score_median"), "score_std", *QUANTILES
     )
 
@@ -219,7 +218,6 @@ def alert_inputs(
         F.count_if(top).alias("_top"),
         F.count_if(known & F.col(segment).isNull()).alias("_novip"),
     ).select(
-        F.lit(1).alias("_one"),
         ratio("_top", "_k", 0.0).alias("top_bucket_share"),
         ratio("_novip", "_k", 0.0).alias("vip_missing_rate"),
     )
@@ -233,9 +231,8 @@ def alert_inputs(
         "score_min",
         "score_max",
     ]
-    row = metrics.where(F.col("metric_scope") == "global").select(F.lit(1).alias("_one"), *names)
-    reference = reference_row_count.select(F.lit(1).alias("_one"), "reference_row_count")
-    return row.join(shares, "_one").join(reference, "_one").drop("_one")
+    row = metrics.where(F.col("metric_scope") == "global").select(*names)
+    return side_by_side(row, shares, reference_row_count.select("reference_row_count"))
 
 
 def _json_list(rows: DataFrame, name: str, order: Column, fields: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
@@ -273,45 +270,35 @@ def monitor_daily(
     medians = metrics.where("metric_scope = 'segment'").select("segment_value", F.col("score_median").alias("median_score"))
     segments = segment_distribution(scored, segment, medians)
     by_segment = score_by_segment(scored, segment)
-    whole_only = [
-        _json_list(
-            segments, "vip_distribution_json", F.struct((-F.col("row_count")).alias("n"), "segment_value"), segments.columns
-        ),
-        _json_list(
-            by_segment,
-            "score_by_segment_json",
-            F.struct("bucket_name", (-F.col("row_count")).alias("n"), "segment_value"),
-            by_segment.columns,
-        ),
-        _json_list(population, "eligible_population_json", F.col("segment_value"), population.columns),
-        _json_list(alerts, "alerts_json", F.struct("severity", "check_name"), alerts.columns),
-        overall_status(alerts),
-    ]
-
-    def on_scope(df: DataFrame) -> DataFrame:
-        return df.withColumn("metric_scope", F.lit("global"))
-
-    table = metrics.join(buckets, GLOBAL, "left")
-    for extra in whole_only:
-        table = table.join(on_scope(extra), "metric_scope", "left")
-    table = table.withColumn("_one", F.lit(1)).join(lineage.withColumn("_one", F.lit(1)), "_one")
-    is_segment = F.col("metric_scope") == "segment"
-    table = table.select(
-        *[c for c in table.columns if c not in ("segment_value", "monitor_status", "alert_count", "alerts_json", "_one")],
-        F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz").alias("monitor_run_ts"),
-        F.lit(run_label).alias("run_label"),
-        F.when(is_segment, F.lit(segment)).alias("segment_column"),
-        F.when(is_segment, F.col("segment_value")).alias("segment_value"),
-        F.coalesce("monitor_status", F.lit("ok")).alias("monitor_status"),
-        F.lit(scoring_table).alias("scoring_table"),
-        F.lit(reference_pt).cast("string").alias("reference_pt"),
-        F.lit(1).cast("bigint").alias("partition_present_flag"),
-        F.lit(1).cast("bigint").alias("write_success_flag"),
-        F.lit(threshold).cast("double").alias("selected_threshold"),
-        F.coalesce("alert_count", F.lit(0)).alias("alert_count"),
-        F.coalesce("alerts_json", F.lit("[]")).alias("alerts_json"),
-        F.lit(pt).alias("pt"),
-    )
+    by_segment_size = F.struct("bucket_name", (-F.col("row_count")).alias("n"), "segment_value")
+    vip_size = F.struct((-F.col("row_count")).alias("n"), "segment_value")
+    status = overall_status(alerts)
+
+    # results about the whole partition are single values, read as scalar subqueries by the global row
+    def text(rows: DataFrame, order: Column) -> Column:
+        return _json_list(rows, "text", order, rows.columns).scalar()
+
+    whole_row = F.col("metric_scope") == "global"
+    columns = {
+        "vip_distribution_json": F.when(whole_row, text(segments, vip_size)),
+        "score_by_segment_json": F.when(whole_row, text(by_segment, by_segment_size)),
+        "eligible_population_json": F.when(whole_row, text(population, F.col("segment_value"))),
+        "alerts_json": F.when(whole_row, text(alerts, F.struct("severity", "check_name"))).otherwise("[]"),
+        "alert_count": F.when(whole_row, status.select("alert_count").scalar()).otherwise(0).cast("bigint"),
+        "monitor_status": F.when(whole_row, status.select("monitor_status").scalar()).otherwise("ok"),
+        **{c: lineage.select(c).scalar() for c in LINEAGE[:3]},
+        "monitor_run_ts": F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz"),
+        "run_label": F.lit(run_label),
+        "segment_column": F.when(~whole_row, F.lit(segment)),
+        "segment_value": F.when(~whole_row, F.col("segment_value")),
+        "scoring_table": F.lit(scoring_table),
+        "reference_pt": F.lit(reference_pt).cast("string"),
+        "partition_present_flag": F.lit(1).cast("bigint"),
+        "write_success_flag": F.lit(1).cast("bigint"),
+        "selected_threshold": F.lit(threshold).cast("double"),
+        "pt": F.lit(pt),
+    }
+    table = metrics.join(buckets, GLOBAL, "left").withColumns(columns)
     return align_to_schema(table, MONITORING_DAILY)[0], alerts
 
 

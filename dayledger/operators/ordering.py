@@ -97,6 +97,14 @@ def exact_quantiles(
     return found.select(*group, *out)
 
 
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One-row frames with different columns as one row: stacked, then the known value of each column; no join."""
+    stacked = rows[0]
+    for other in rows[1:]:
+        stacked = stacked.unionByName(other, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def value_histogram(df: DataFrame, value: str, group: Sequence[str] = (), weight: str = "n") -> DataFrame:
     """Rows per (group, value); rows without a number are left out."""
     numbers = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value)))

@@ -134,12 +134,11 @@ def value_distribution(dataset: DataFrame, column: str) -> DataFrame:
     """Rows and share of each value; the absent value has its own label.
 
     The column may have any number of values, so the total is one more aggregate of the counts (whose shuffle
-    both sides share), set next to them as a single row.
+    both sides share), read as a scalar subquery.
     """
     counts = dataset.groupBy(labelled(column, MISSING_IN_PROFILES).alias(column)).agg(F.count(F.lit(1)).alias("row_count"))
-    total = counts.agg(F.sum("row_count").alias("_total")).withColumn("_one", F.lit(1))
-    with_total = counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
-    return with_total.select(column, "row_count", ratio("row_count", "_total").alias("row_share"))
+    total = counts.agg(F.sum("row_count")).scalar()
+    return counts.select(column, "row_count", ratio("row_count", total).alias("row_share"))
 
 
 # Fixed value: stands for an absent number in outcome distributions.

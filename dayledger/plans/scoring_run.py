@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import contracts as V
 from ..operators import scoring as C
+from ..operators.ordering import side_by_side
 from ..sources.schemas import RESPONSE_SCORES
 from ..sources.sinks import read_table, write_partition
 
@@ -57,8 +58,7 @@ def run_summary(written: DataFrame, pt: str, threshold: float, counts: dict) ->
         F.max("model_reference_path").alias("model_reference_path"),
         F.count(F.lit(1)).alias("scoring_population_size"),
     )
-    one = F.lit(1).alias("_one")
-    return lineage.select("*", one).join(volume.select("*", one), "_one").drop("_one").select(
+    return side_by_side(lineage, volume).select(
         F.lit(pt).alias("scoring_pt"),
         F.lit(float(threshold)).alias("selected_threshold"),
         "*",

@@ -35,6 +35,14 @@ def scan_pt_range(table: DataFrame, first_pt: str, last_pt: str, columns: Iterab
     return scan(table, columns, predicates=[F.col("pt").between(first_pt, last_pt)])
 
 
+def load_dataset(table: DataFrame, columns: Iterable[str], pt: str | None = None) -> DataFrame:
+    """Columns of the dataset for an audit, of one partition when given; raises when there are no rows."""
+    rows = scan(table, columns, {"pt": pt})
+    if rows.isEmpty():
+        raise ValueError(f"the dataset has no rows for partition {pt}" if pt else "the dataset has no rows")
+    return rows
+
+
 def list_partitions(table: DataFrame) -> DataFrame:
     return table.select("pt").distinct().orderBy("pt")
 

@@ -58,10 +58,7 @@ def response(spark: SparkSession, sf: str, first: str = fx.FIRST_PT, last: str =
 
 
 def audited(spark: SparkSession, sf: str, first: str = fx.FIRST_PT, last: str = MATURE_PT) -> DataFrame:
-    week = D.outcome_rollup(
-        base(spark, sf, first, last).select(*D.KEYS), bets_after(spark, sf, first, last, 7), 7
-    )
-    return D.audit_dataset(response(spark, sf, first, last), week)
+    return D.audit_dataset(response(spark, sf, first, last), bets_after(spark, sf, first, last, 7))
 
 
 # --- scores --------------------------------------------------------------------------------

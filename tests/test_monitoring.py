@@ -157,6 +157,13 @@ def test_partition_resolution(spark):
     assert scans.reference_partition(days, "20240101").first().reference_pt is None
 
 
+def test_empty_dataset_is_refused(spark):
+    days = listing(spark, "20240101")
+    assert scans.load_dataset(days, ["pt", "pt"]).columns == ["pt"]
+    with pytest.raises(ValueError, match="20240102"):
+        scans.load_dataset(days, ["pt"], "20240102")
+
+
 def test_writes_replace_one_partition(spark):
     path = fresh_path(spark, "alerts")
     rows = spark.createDataFrame([("warning", "c")], "severity string, check_name string")
