@@ -9,6 +9,7 @@ from ..operators import alerts as A
 from ..operators import contracts as V
 from ..operators import monitoring as M
 from ..operators import profiling as P
+from ..session import cut_lineage
 from ..sources import fixtures as fx
 from . import inputs as I
 from .registry import query, rounded
@@ -178,7 +179,8 @@ _SHOWN = ["severity", "check_name", "metric_name", "observed_value", "threshold_
 
 def _daily_inputs(spark, sf):
     scored = I.flawed_scores(spark, sf)
-    return M.alert_inputs(scored, M.daily_metrics(scored, I.THRESHOLD), I.reference_row_count(spark, sf))
+    metrics = cut_lineage(M.daily_metrics(scored, I.THRESHOLD))
+    return M.alert_inputs(scored, metrics, I.reference_row_count(spark, sf))
 
 
 @query("daily_alerts", _DAILY_ALERTS)
