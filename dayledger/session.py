@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
@@ -32,23 +34,60 @@ def build_session(master: str, app_name: str = "dayledger", **extra: str) -> Spa
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`, else the context's own.
 
-    Only where neither is set (single-process runs such as tests) a fresh local one is made.
+    Where neither is set, a single-process (local) master gets a fresh folder of its own. Any other master is
+    refused: its executors would each write to their own disk.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     current = context._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="dayledger-checkpoint-"))
         current = context._jsc.sc().getCheckpointDir()
     return named or current.get()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and go on from the files, so a lost executor costs a re-read."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def run_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that this application writes its tables to; removed when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _RUNS:
+        _RUNS[app] = f"{shared_folder(spark).rstrip('/')}/tables/{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_end_run, spark, app)
+    return _RUNS[app]
+
+
+_RUNS: dict[str, str] = {}
+
+
+def _end_run(spark: SparkSession, app: str) -> None:
+    if spark.sparkContext._jsc is not None and spark.sparkContext.applicationId == app:
+        remove_path(spark, _RUNS[app])
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused location in the shared folder for a table written by this run."""
-    return f"{shared_folder(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Write `df` as parquet to the shared folder and go on from the files, so a lost executor costs a re-read.
+
+    Files are compressed, hold sizes for the planner, and are read by column, unlike those of `checkpoint()`.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system that holds it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def remove_cut(df: DataFrame) -> None:
+    """Remove the files of a frame made by `cut_lineage` that nothing reads any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if f"/tables/{df.sparkSession.sparkContext.applicationId}-" in folder:
+            remove_path(df.sparkSession, folder)
