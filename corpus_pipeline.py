@@ -1 +1,67 @@
-"""From raw documents to training documents, in stages."""
+"""From raw documents to training documents, in stages.
+
+Each stage takes the rows its predecessor kept (written as Parquet and read again) and returns them less the ones it
+rejects, in the columns of `documents`; the last one adds the token ids.
+
+Defined cases: an empty table goes through as an empty table; a NULL doc_id is kept by every stage that has no other
+reason to reject the row; further columns of the documents go through unchanged.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dayledger.llm import language_id, near_dup, toxicity
+from dayledger.llm.queries import table
+from dayledger.session import cut_lineage, remove_cut
+
+#: A document is toxic from this score on.
+TOXIC_FROM = 0.7
+#: A text whose cosine with every language is below this is in none of them (single words of a language reach it).
+LANGUAGE_FROM = 0.03
+
+ORACLE_SQL = None  # fitted models and sketches: held against brute force in the tests
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity: fit on the labelled documents that are here, reject those that score as toxic."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, output="_score").where(F.col("_score") < TOXIC_FROM).drop("_score")
+
+
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language: profiles of the languages named in the documents; reject text without one, such as numbers or codes."""
+    found = language_id.predict(docs.drop("lang_pred", "score"), language_id.train(docs))
+    fine = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LANGUAGE_FROM)
+    return found.where(fine).select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Near duplicates: of each group linked at 0.8 or more, the document with the smallest id stays, once."""
+    groups = near_dup.near_duplicates(docs, percent=80)
+    gone = groups.where(~F.col("kept")).select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    named = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    return named.unionByName(kept.where(F.col("doc_id").isNull()))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language", drop_unknown_language),
+    ("near_duplicates", keep_one_of_each_group),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each written to the shared folder before the next reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for at, (name, stage) in enumerate(STAGES):
+        done = stage(spark, docs, sf_dir)
+        if at == len(STAGES) - 1:
+            return done
+        written = cut_lineage(done, name)
+        if at:
+            remove_cut(docs)
+        docs = written
+    raise ValueError("no stages")
