@@ -1,7 +1,7 @@
 """From raw documents to training documents, in stages.
 
 Each stage takes the rows its predecessor kept (written as Parquet and read again) and returns them less the ones it
-rejects, in the columns of `documents`; the last one adds the token ids.
+rejects, in the columns of `documents`; the last one adds the token ids (`ids`) and `round_trip`.
 
 Defined cases: an empty table goes through as an empty table; a NULL doc_id is kept by every stage that has no other
 reason to reject the row; further columns of the documents go through unchanged.
@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayledger.llm import language_id, near_dup, toxicity
-from dayledger.llm.queries import table
+from dayledger.llm import bpe, decontamination, language_id, near_dup, toxicity
+from dayledger.llm.queries import table, vocabulary
 from dayledger.session import cut_lineage, remove_cut
 
 #: A document is toxic from this score on.
@@ -32,8 +32,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language: profiles of the languages named in the documents; reject text without one, such as numbers or codes."""
-    found = language_id.predict(docs.drop("lang_pred", "score"), language_id.train(docs))
-    fine = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LANGUAGE_FROM)
+    found = language_id.predict(docs, language_id.train(docs), lang="_lang", score="_cosine")
+    fine = (F.col("_lang") != language_id.UNKNOWN) & (F.col("_cosine") >= LANGUAGE_FROM)
     return found.where(fine).select(*docs.columns)
 
 
@@ -46,10 +46,26 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return named.unionByName(kept.where(F.col("doc_id").isNull()))
 
 
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Decontamination: a document that holds a benchmark item goes."""
+    found = decontamination.matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(~F.col("contaminated")).select(*docs.columns)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """BPE: token ids of each text, and whether they decode to the text."""
+    encoded = bpe.encode(docs, vocabulary())
+    return bpe.decode(encoded, vocabulary(), output="_decoded").withColumn(
+        "round_trip", F.col("_decoded") == F.coalesce("text", F.lit(""))
+    ).drop("_decoded")
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("language", drop_unknown_language),
     ("near_duplicates", keep_one_of_each_group),
+    ("decontamination", drop_benchmark),
+    ("tokens", encode_tokens),
 ]
 
 

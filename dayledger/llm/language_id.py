@@ -149,12 +149,12 @@ def train(
     return Profiles(tuple(r.lang for r in found), vectors, dimensions, seed)
 
 
-def predict(documents: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
-    """`documents` with `lang_pred` and `score` (0 to 1); columns of these names are replaced."""
+def predict(documents: DataFrame, profiles: Profiles, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """`documents` with the predicted language and the cosine (0 to 1); columns of these two names are replaced."""
     shared = documents.sparkSession.sparkContext.broadcast(profiles)
-    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
+    kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 
-    @F.arrow_udf("lang_pred string, score double")
+    @F.arrow_udf("lang string, score double")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             names, scores = [], [np.zeros(0)]
@@ -164,6 +164,7 @@ def predict(documents: DataFrame, profiles: Profiles, text: str = "text") -> Dat
                 scores.append(cosines)
             yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(np.concatenate(scores))], fields=list(kind))
 
-    kept = documents.drop("lang_pred", "score")
-    at = "_".join(kept.columns)  # a name that no column has
-    return kept.withColumn(at, run(text)).select(*kept.columns, F.col(f"`{at}`.lang_pred"), F.col(f"`{at}`.score"))
+    kept = documents.drop(lang, score)
+    at = "_".join([*kept.columns, text])  # a name that no column has
+    found = kept.withColumn(at, run(text))
+    return found.select(*kept.columns, F.col(f"`{at}`.lang").alias(lang), F.col(f"`{at}`.score").alias(score))

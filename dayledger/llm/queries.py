@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, near_dup, toxicity
+from . import bpe, decontamination, language_id, near_dup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,40 @@ def fold(id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
+def vocabulary() -> str:
+    """Path of the public vocabulary file; the operators take any."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def token_columns() -> list[Column]:
+    """Digests of the `ids` and `decoded` columns."""
+    return [
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    ]
+
+
+@query
+def op2_tree_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), vocabulary())
+    decoded = bpe.decode(encoded.select("doc_id", "ids"), vocabulary())
+    return decoded.select("doc_id", *token_columns())
+
+
+@query
+def op3_simhash_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontamination.matches(documents, table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "contaminated", F.transform("matches", lambda m: m["item"]).alias("item_ids"),
+        F.transform("matches", lambda m: m["start"]).alias("first_words"),
+        F.array_max(F.transform("matches", lambda m: m["similarity"])).alias("similarity"),
+    )
+
+
 @query
 def op5_superminhash_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf, "documents"), percent=85)
