@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language_id, near_dup, toxicity
+from . import bpe, decontamination, language_id, near_dup, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,6 +67,22 @@ def op5_superminhash_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf, "documents"), percent=85)
 
 
+#: Verdict, host and path of each rule.
+URL_RULES = [
+    (url_filter.ALLOW, "org", "/"),
+    (url_filter.BLOCK, "example.org", "/es/"),
+    (url_filter.BLOCK, "example.org", "/en/1"),
+    (url_filter.ALLOW, "com", "/fr/"),
+    (url_filter.BLOCK, "com", "/de/"),
+]
+
+
+@query
+def op8_host_segmentation_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    judged = url_filter.judge(table(spark, sf, "pages").select("page_id", "url", "html"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "odds")
+
+
 @query
 def op9_hyperdimensional_language_id(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
