@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, language_id, near_dup, toxicity, url_filter
+from ..session import cut_lineage, fresh_path
+from . import bpe, decontamination, language_id, near_dup, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -67,6 +68,26 @@ def op5_superminhash_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf, "documents"), percent=85)
 
 
+@query
+def op7_boundary_chain_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = fresh_path(spark, "archives")
+    warc.write_archives(table(spark, sf, "pages"), path)
+    derive = {"payload_bytes": lambda p: F.octet_length(p).cast("bigint"), "payload_digest": warc.base32_sha1}
+    records = warc.read_archives(spark, path, derive).select(
+        warc.id_of("record_id").alias("page_id"), "record_type", warc.id_of("refers_to").alias("refers_to"), "payload_bytes",
+        "payload_digest", F.regexp_extract("digest", "^sha1:(.*)$", 1).alias("told"),
+    )
+    records = cut_lineage(records, "records")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    first = records.where("record_type = 'response'")
+    # a revisit has the payload of the record that it refers to
+    origin = first.select(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("told"), F.col("payload_bytes").alias("b")).distinct()
+    again = records.where("record_type = 'revisit'").join(origin, ["refers_to", "told"]).withColumns(
+        {"payload_bytes": F.col("b"), "payload_digest": F.col("told")}
+    )
+    return first.select(columns).unionByName(again.select(columns))
+
+
 #: Verdict, host and path of each rule.
 URL_RULES = [
     (url_filter.ALLOW, "org", "/"),
