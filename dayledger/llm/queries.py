@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, fresh_path
-from . import bpe, decontamination, language_id, near_dup, toxicity, url_filter, warc
+from . import bpe, decontamination, hidden_markov, language_id, near_dup, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,6 +68,13 @@ def op5_superminhash_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf, "documents"), percent=85)
 
 
+@query
+def op6_hidden_markov_lm(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "documents").select("doc_id", "text", (fold("doc_id", 5) != 1).alias("learn"))
+    scored = hidden_markov.score_documents(rows, "learn")
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op7_boundary_chain_warc(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "archives")
