@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, fresh_path
-from . import bpe, decontamination, hidden_markov, language_id, near_dup, toxicity, url_filter, warc
+from . import bpe, decontamination, hidden_markov, language_id, near_dup, neighbours, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +63,11 @@ def op3_simhash_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def op4_nn_descent_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op5_superminhash_near_dup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf, "documents"), percent=85)
