@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, fresh_path
-from . import bpe, decontamination, hidden_markov, language_id, near_dup, neighbours, toxicity, url_filter, warc
+from . import bpe, decontamination, hidden_markov, language_id, near_dup, neighbours, quotes, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,13 @@ def token_columns() -> list[Column]:
     ]
 
 
+@query
+def op1_quotation_linking(spark: SparkSession, sf: str) -> DataFrame:
+    messages = quotes.reply_ordered(table(spark, sf, "conversations"))
+    line = F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), F.col("text"))
+    return messages.withColumn("formatted", line)
+
+
 @query
 def op2_tree_bpe(spark: SparkSession, sf: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), vocabulary())
