@@ -17,7 +17,7 @@ lists, not its texts, meet in one task for the fit: at most `sample_rows` lists.
 
 Defined cases: a NULL or empty text has no terms and scores the intercept; a label that is NULL or belongs to no
 document is not used; several labels of one id count as toxic if one does; repeated documents are scored each. With
-no labelled row, or labels of one kind only, every score is the share of toxic rows (0.0 without rows).
+no labelled row, labels of one kind only or no telling term, every score is the share of toxic rows (0.0 without rows).
 """
 
 from __future__ import annotations
@@ -44,9 +44,9 @@ class FmSettings:
 
     bits: int = 20
     factors: int = 4
-    prefixes: tuple[int, ...] = (4, 5)
+    prefixes: tuple[int, ...] = (4, 5, 6)
     sample_rows: int = 20_000
-    min_rows: int = 4
+    min_rows: int = 3
     min_z: float = 3.0
     updates: int = 3_000
     batch_rows: int = 64
@@ -124,6 +124,8 @@ def fit_sample(lists: list[np.ndarray], labels: np.ndarray, settings: FmSettings
         return none
     values, ends = _ragged(lists)
     kept = _telling_buckets(values, ends, labels, settings)
+    if not len(kept):
+        return none
     slot_of = np.full(1 << settings.bits, -1, dtype=np.int32)
     slot_of[kept] = np.arange(len(kept))
     slots = slot_of[values]
@@ -148,6 +150,8 @@ def fit_sample(lists: list[np.ndarray], labels: np.ndarray, settings: FmSettings
             raw, summed, _ = _raw_scores(intercept, linear, factors, part, stop, x)
             off = (_logistic(raw) - labels[rows]) * weights[rows] / len(rows)
             intercept -= settings.step * float(off.sum())
+            if not len(part):
+                continue
             used, where = np.unique(part, return_inverse=True)
             of = np.repeat(np.arange(len(rows)), n)
             g = np.bincount(where, (off * x)[of], len(used)) + settings.decay * linear[used]
