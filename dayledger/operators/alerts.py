@@ -105,11 +105,11 @@ def daily_alerts(metrics: DataFrame, limits: DailyLimits = DailyLimits()) -> Dat
     m = {c: F.col(c) for c in metrics.columns}
     t = limits
     change = F.try_divide((m["row_count"] - m["reference_row_count"]).cast("double"), m["reference_row_count"])
-    change = F.round(change, 6)
+    # the limits are held against the exact ratio; the alert shows it rounded
     reference = m["reference_row_count"]
 
     def moved(condition: Column, severity: str, check: str, limit: float, message: str):
-        return condition, alert(severity, check, "row_count_delta_ratio", change, limit, message, reference)
+        return condition, alert(severity, check, "row_count_delta_ratio", F.round(change, 6), limit, message, reference)
 
     def simple(condition: Column, severity: str, check: str, metric: str, limit: object, message: str) -> Column:
         return first_breach((condition, alert(severity, check, metric, m[metric], limit, message)))

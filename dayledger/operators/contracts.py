@@ -170,11 +170,12 @@ def postwrite_contract(table: DataFrame, pt: str) -> DataFrame:
     )
 
 
-def duplicate_players(rows: DataFrame, limit: int = 100) -> DataFrame:
-    """Report of the most repeated players; the limit is part of the report."""
+def duplicate_players(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """Repeated players, the most repeated first; all of them unless a report asks for fewer."""
     counts = rows.groupBy("player_id").agg(F.count(F.lit(1)).alias("duplicate_row_count"))
     repeated = counts.where(F.col("duplicate_row_count") > 1)
-    return repeated.orderBy(F.desc("duplicate_row_count"), F.asc_nulls_first("player_id")).limit(limit)
+    ordered = repeated.orderBy(F.desc("duplicate_row_count"), F.asc_nulls_first("player_id"))
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def score_counts(table: DataFrame, pt: str) -> DataFrame:

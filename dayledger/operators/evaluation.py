@@ -128,7 +128,7 @@ def split_metrics(frame: DataFrame, threshold: float) -> DataFrame:
 
 def segment_metrics(frame: DataFrame, threshold: float, min_rows: int = MIN_SEGMENT_ROWS) -> DataFrame:
     metrics = metrics_by(with_segment(frame), threshold, SEGMENT_KEYS)
-    return metrics.where(F.col("rows") >= min_rows)
+    return metrics.withColumn("sufficient", F.col("rows") >= min_rows)
 
 
 # --- threshold grid ------------------------------------------------------------------------
@@ -248,7 +248,8 @@ def segment_inventory(
 
 
 def _sufficient(grid: DataFrame, min_rows: int, min_positives: int, business_only: bool) -> DataFrame:
-    kept = grid.where((F.col("row_count") >= min_rows) & (F.col("positive_count") >= min_positives))
+    enough = (F.col("row_count") >= min_rows) & (F.col("positive_count") >= min_positives)
+    kept = grid.withColumn("sufficient", enough)
     return kept.where(~F.col("segment_value").isin(BUSINESS_EXCLUDED_SEGMENTS)) if business_only else kept
 
 
@@ -258,7 +259,7 @@ def segment_threshold_grid(
     min_positives: int = MIN_GRID_POSITIVES,
     business_only: bool = False,
 ) -> DataFrame:
-    """The grid of every (split, segment) with enough rows and positives.
+    """The grid of every (split, segment); `sufficient` tells those with enough rows and positives.
 
     Sufficiency needs no second pass: the grid already carries the counts of its group.
     """
@@ -364,9 +365,13 @@ def model_comparison(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("model_name").agg(*cells, F.max("threshold").alias("selected_threshold"))
 
 
-def champion(comparison: DataFrame) -> DataFrame:
-    """The model with the highest validation PR-AUC; an undefined one never wins. One row a model goes in."""
-    return comparison.orderBy(F.desc_nulls_last("validation_pr_auc"), "model_name").limit(1)
+def champion(comparison: DataFrame, trained: Sequence[str] = ("logistic_regression", "gradient_boosting")) -> DataFrame:
+    """The model with the highest validation PR-AUC; of equal ones the first in training order, others by name.
+
+    An undefined area never wins. One row a model goes in.
+    """
+    order = F.coalesce(*[F.when(F.col("model_name") == m, i) for i, m in enumerate(trained)], F.lit(len(trained)))
+    return comparison.orderBy(F.desc_nulls_last("validation_pr_auc"), order, "model_name").limit(1)
 
 
 # --- deciles and cohorts -------------------------------------------------------------------

@@ -399,11 +399,11 @@ def monitor_performance(
 
 
 def performance_by(observed: DataFrame, key: str, min_rows: int = 100, window_days: int = 3) -> DataFrame:
-    """The performance measures per bucket or segment, for groups with enough rows."""
+    """The performance measures per bucket or segment; `sufficient` tells the groups with enough rows."""
     grouped = _marked(observed).groupBy(labelled(key, MISSING_IN_MONITORING).alias(key)).agg(
         *performance_measures(window_days)
     )
-    return _with_ratios(grouped).where(F.col("row_count") >= min_rows)
+    return _with_ratios(grouped).withColumn("sufficient", F.col("row_count") >= min_rows)
 
 
 def calibration(observed: DataFrame, key: str = "response_priority_bucket", window_days: int = 3) -> DataFrame:

@@ -23,10 +23,14 @@ def _positive_rate() -> Column:
     return F.avg(F.col(LABEL).cast("double")).alias("positive_rate")
 
 
-def partition_summary(dataset: DataFrame, modeling_end_pt: str, limit: int = 100) -> DataFrame:
-    """Rows and positive rate of the first partitions, marked when mature enough for modelling."""
+def _first_rows(rows: DataFrame, limit: int | None) -> DataFrame:
+    return rows if limit is None else rows.limit(limit)
+
+
+def partition_summary(dataset: DataFrame, modeling_end_pt: str, limit: int | None = None) -> DataFrame:
+    """Rows and positive rate of the partitions, marked when mature enough for modelling."""
     grouped = dataset.groupBy("pt").agg(F.count(F.lit(1)).alias("row_count"), _positive_rate())
-    return grouped.withColumn("mature_for_modeling", F.col("pt") <= modeling_end_pt).orderBy("pt").limit(limit)
+    return _first_rows(grouped.withColumn("mature_for_modeling", F.col("pt") <= modeling_end_pt).orderBy("pt"), limit)
 
 
 def overall_summary(dataset: DataFrame) -> DataFrame:
@@ -65,16 +69,15 @@ def overall_summary(dataset: DataFrame) -> DataFrame:
     )
 
 
-def treatment_mix(dataset: DataFrame, limit: int = 20) -> DataFrame:
+def treatment_mix(dataset: DataFrame, limit: int | None = None) -> DataFrame:
     flags = ["treatment_flag", "has_voucher_treatment", "has_sms_treatment"]
-    return (
-        dataset.groupBy(*flags).agg(F.count(F.lit(1)).alias("row_count")).orderBy(F.desc("row_count"), *flags).limit(limit)
-    )
+    counts = dataset.groupBy(*flags).agg(F.count(F.lit(1)).alias("row_count"))
+    return _first_rows(counts.orderBy(F.desc("row_count"), *flags), limit)
 
 
-def segment_summary(dataset: DataFrame, segment: str = "vip_level", limit: int = 20) -> DataFrame:
+def segment_summary(dataset: DataFrame, segment: str = "vip_level", limit: int | None = None) -> DataFrame:
     grouped = dataset.groupBy(segment).agg(F.count(F.lit(1)).alias("row_count"), _positive_rate())
-    return grouped.orderBy(F.desc("row_count"), segment).limit(limit)
+    return _first_rows(grouped.orderBy(F.desc("row_count"), segment), limit)
 
 
 # Columns whose NULLs are reported.

@@ -9,16 +9,17 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import parse_pt
 
-# Days covered by the feature mart, and the last day whose labels are mature.
-FIRST_PT, LAST_PT = "20240108", "20240128"
-LAST_MATURE_DAY = "2024-01-26"
-LOOKBACK_DAYS = 7
+# Days of history: of eligibility and the recent features, and of the longer features.
+RECENT_DAYS, LOOKBACK_DAYS = 7, 30
+# The day the jobs look back from, and the days until a label counts as mature.
+AS_OF = date(2024, 1, 30)
+MATURITY_DAYS = 4
 
 
 _schemas: dict[tuple[str, str], T.StructType] = {}
@@ -65,10 +66,22 @@ def _pt(day: str) -> str:
     return f"CAST(year({day}) * 10000 + month({day}) * 100 + dayofmonth({day}) AS STRING)"
 
 
+_calendars: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def calendar(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last day with events, from the file statistics of `ts`; looked up once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _calendars:
+        bounds = given_table(spark, sf_dir, "events").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+        row = bounds.selectExpr("date_format(lo, 'yyyyMMdd') AS lo", "date_format(hi, 'yyyyMMdd') AS hi").first()
+        _calendars[key] = (row.lo, row.hi)
+    return _calendars[key]
+
+
 def partition_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partition listing of the mart: one row per day, at most the calendar above."""
-    days = _events_in(spark, sf_dir, FIRST_PT, LAST_PT).select("d").distinct()
-    return days.selectExpr(f"{_pt('d')} AS pt")
+    """Partition listing of the mart: one row for each day with events."""
+    return events(spark, sf_dir).select("d").distinct().selectExpr(f"{_pt('d')} AS pt")
 
 
 # Segment by market, with absent and unknown segments for two user residues.
@@ -83,17 +96,19 @@ _MEASURES = ("bet_cnt", "bet_amt", "win_amt", "bet_days", "dep_cnt", "dep_amt",
 def feature_mart(
     spark: SparkSession,
     sf_dir: str,
-    first_pt: str = FIRST_PT,
-    last_pt: str = LAST_PT,
+    first_pt: str | None = None,
+    last_pt: str | None = None,
     eligible_only: bool = False,
+    as_of: date = AS_OF,
 ) -> DataFrame:
-    """One row per user and day with the features of the seven days before it.
+    """One row per user and day with the features of the days before it; by default for all days with events.
 
-    Events are first combined per user and day, so a hot user shrinks to one row a day before any
-    window work; each daily row then adds to the seven mart days it precedes. `eligible_only`
-    leaves out the users without a bet in the window, and with them the user-by-day panel.
+    Events are first combined per user and day, so a hot user shrinks to one row a day before any window work.
+    Those rows and the wanted days of a user are then sorted once, and each wanted day looks back over them.
+    `eligible_only` leaves out the users without a bet in the recent days, and with them the user-by-day panel.
     """
-    lo, hi = parse_pt(first_pt), parse_pt(last_pt)
+    known = calendar(spark, sf_dir)
+    lo, hi = parse_pt(first_pt or known[0]), parse_pt(last_pt or known[1])
     daily = (
         events(spark, sf_dir, lo - timedelta(days=LOOKBACK_DAYS), hi - timedelta(days=1))
         .groupBy("user_id", "d")
@@ -107,24 +122,32 @@ def feature_mart(
             F.expr("count_if(event_type = 'error') AS wd_cnt"),
             F.expr("coalesce(sum(CASE WHEN event_type = 'error' THEN value END), 0D) AS wd_amt"),
         )
-    )
-    reach = (
-        f"explode(sequence(greatest(date_add(d, 1), DATE'{lo}'), least(date_add(d, {LOOKBACK_DAYS}), DATE'{hi}'))) AS day"
-    )
-    # all days of a user in one place: at most one row a day, however busy the user; the seven-fold spread below
-    # then stays within its partition and is summed up there
-    daily = daily.repartition("user_id")
-    window = daily.selectExpr("user_id", reach, "CASE WHEN bet_cnt > 0 THEN d END AS last_bet", *_MEASURES)
-    if not eligible_only:
-        users = given_table(spark, sf_dir, "events").select("user_id").distinct()
-        zeros = [f"CAST(0 AS {'DOUBLE' if m.endswith('amt') else 'BIGINT'}) AS {m}" for m in _MEASURES]
-        panel = f"explode(sequence(DATE'{lo}', DATE'{hi}')) AS day"
-        window = window.unionByName(users.selectExpr("user_id", panel, "CAST(NULL AS DATE) AS last_bet", *zeros))
-    features = window.groupBy("user_id", "day").agg(
-        F.expr("max(last_bet) AS last_bet"), *[F.expr(f"sum({m}) AS {m}") for m in _MEASURES]
+        # all days of a user in one place: at most one row a day, however busy the user
+        .repartition("user_id")
     )
     if eligible_only:
-        features = features.where("bet_cnt > 0")
+        reach = f"greatest(date_add(d, 1), DATE'{lo}'), least(date_add(d, {RECENT_DAYS}), DATE'{hi}')"
+        bet = daily.where(f"bet_cnt > 0 AND d >= date_sub(DATE'{lo}', {RECENT_DAYS})")
+        wanted = bet.selectExpr("user_id", f"explode(sequence({reach})) AS d").distinct()
+    else:
+        users = given_table(spark, sf_dir, "events").select("user_id").distinct()
+        wanted = users.selectExpr("user_id", f"explode(sequence(DATE'{lo}', DATE'{hi}')) AS d")
+    history = daily.selectExpr("*", "CASE WHEN bet_cnt > 0 THEN d END AS bet_day", "false AS wanted")
+    both = history.unionByName(wanted.selectExpr("user_id", "d", "true AS wanted"), allowMissingColumns=True)
+    both = both.withColumn("at", F.expr("unix_date(d)"))
+    by_day = Window.partitionBy("user_id").orderBy("at")
+
+    def before(days: int, measure: str) -> Column:
+        return F.coalesce(F.sum(measure).over(by_day.rangeBetween(-days, -1)), F.lit(0))
+
+    features = both.select(
+        "user_id",
+        F.col("d").alias("day"),
+        "wanted",
+        F.max("bet_day").over(by_day.rangeBetween(-RECENT_DAYS, -1)).alias("last_bet"),
+        *[before(RECENT_DAYS, m).alias(m) for m in _MEASURES],
+        *[before(LOOKBACK_DAYS, m).alias(f"long_{m}") for m in ("bet_cnt", "bet_amt", "win_amt", "bet_days")],
+    ).where("wanted")
 
     market = given_table(spark, sf_dir, "customer").selectExpr("c_custkey AS user_id", "c_mktsegment AS market")
     return features.join(market, "user_id", "left").selectExpr(
@@ -137,12 +160,12 @@ def feature_mart(
         "bet_amt - win_amt AS recent_net_loss_amt_7d",
         "bet_days AS recent_bet_days_7d",
         "CAST(datediff(day, last_bet) AS BIGINT) AS recency_last_bet_to_t",
-        "0L AS pre_bet_cnt_30d",
-        "0D AS pre_bet_amt_30d",
-        "0D AS pre_win_amt_30d",
-        "0D AS pre_ggr_amt_30d",
-        "0D AS pre_net_loss_amt_30d",
-        "0L AS pre_bet_days_30d",
+        "long_bet_cnt AS pre_bet_cnt_30d",
+        "long_bet_amt AS pre_bet_amt_30d",
+        "long_win_amt AS pre_win_amt_30d",
+        "long_bet_amt - long_win_amt AS pre_ggr_amt_30d",
+        "long_bet_amt - long_win_amt AS pre_net_loss_amt_30d",
+        "long_bet_days AS pre_bet_days_30d",
         "dep_cnt AS recent_dep_cnt_7d",
         "dep_amt AS recent_dep_amt_7d",
         "wd_cnt AS recent_withdraw_cnt_7d",
@@ -152,7 +175,7 @@ def feature_mart(
         "'v2' AS data_version",
         f"{_SEGMENT} AS vip_level",
         "CASE WHEN bet_cnt > 0 THEN 1L ELSE 0L END AS is_eligible",
-        f"CASE WHEN day <= DATE'{LAST_MATURE_DAY}' THEN 1L ELSE 0L END AS label_maturity_d3",
+        f"CASE WHEN day <= DATE'{as_of - timedelta(days=MATURITY_DAYS)}' THEN 1L ELSE 0L END AS label_maturity_d3",
         f"{_pt('day')} AS pt",
     )
 

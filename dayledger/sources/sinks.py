@@ -50,9 +50,14 @@ def write_partition(df: DataFrame, path: str, schema: T.StructType, pt: str, mod
 
 
 def replace_partition(df: DataFrame, path: str, schema: T.StructType, pt: str) -> dict:
-    """As an overwrite, but an empty frame leaves an empty partition: results of an earlier run do not survive."""
-    drop_partitions(df.sparkSession, path, [pt])
-    return write_partition(df, path, schema, pt, "append")
+    """As an overwrite, but an empty frame leaves an empty partition: results of an earlier run do not survive.
+
+    Earlier rows go only once the new ones are written, or once it is known that there are none.
+    """
+    if df.isEmpty():
+        drop_partitions(df.sparkSession, path, [pt])
+        return align_to_schema(df.withColumn("pt", F.lit(pt)), schema)[1]
+    return write_partition(df, path, schema, pt)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

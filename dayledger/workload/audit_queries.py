@@ -19,7 +19,7 @@ _RATE = "round(avg(response_label_positive_3d) + 1e-9, 6) AS positive_rate"
 @query(
     "partition_summary",
     f"""SELECT pt, count(*) AS row_count, {_RATE}, pt <= '20240122' AS mature_for_modeling FROM v_response GROUP BY pt
-        ORDER BY pt LIMIT 100""",
+        ORDER BY pt""",
 )
 def partition_summary(spark, sf):
     return rounded(P.partition_summary(I.response(spark, sf), "20240122"))
@@ -41,7 +41,7 @@ def overall_summary(spark, sf):
     "treatment_mix",
     """SELECT treatment_flag, has_voucher_treatment, has_sms_treatment, count(*) AS row_count FROM v_response
        GROUP BY treatment_flag, has_voucher_treatment, has_sms_treatment
-       ORDER BY row_count DESC, treatment_flag, has_voucher_treatment, has_sms_treatment LIMIT 20""",
+       ORDER BY row_count DESC, treatment_flag, has_voucher_treatment, has_sms_treatment""",
 )
 def treatment_mix(spark, sf):
     return P.treatment_mix(I.response(spark, sf))
@@ -50,7 +50,7 @@ def treatment_mix(spark, sf):
 @query(
     "segment_summary",
     f"""SELECT vip_level, count(*) AS row_count, {_RATE} FROM v_response GROUP BY vip_level
-        ORDER BY row_count DESC, vip_level NULLS FIRST LIMIT 20""",
+        ORDER BY row_count DESC, vip_level NULLS FIRST""",
 )
 def segment_summary(spark, sf):
     return rounded(P.segment_summary(I.response(spark, sf)))

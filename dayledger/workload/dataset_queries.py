@@ -44,7 +44,7 @@ def scan_pt_range(spark, sf):
 
 @query("list_partitions", "SELECT DISTINCT pt FROM fx_feature_mart")
 def list_partitions(spark, sf):
-    return scans.list_partitions(I.mart(spark, sf))
+    return scans.list_partitions(fx.partition_days(spark, sf))
 
 
 @query("latest_partition", "SELECT max(pt) AS pt FROM fx_feature_mart")
@@ -125,7 +125,7 @@ def sms_rollup(spark, sf):
 
 @query("treatment_rollup", "SELECT * FROM v_treatment")
 def treatment_rollup(spark, sf):
-    first, last = fx.FIRST_PT, I.MATURE_PT
+    first, last = I.first_day(spark, sf), I.MATURE_PT
     keys = I.base(spark, sf).select(*D.KEYS)
     return D.treatment_rollup(keys, fx.vouchers(spark, sf, first, last), fx.sms_sends(spark, sf, first, last))
 
@@ -145,7 +145,7 @@ def _outcome_sql(n: int) -> str:
 
 def _outcome(spark, sf, days):
     keys = I.base(spark, sf).select(*D.KEYS)
-    return rounded(D.outcome_rollup(keys, I.bets_after(spark, sf, fx.FIRST_PT, I.MATURE_PT, days), days))
+    return rounded(D.outcome_rollup(keys, I.bets_after(spark, sf, I.first_day(spark, sf), I.MATURE_PT, days), days))
 
 
 @query("outcome_rollup_3d", _outcome_sql(3))
@@ -184,7 +184,7 @@ def response_dataset(spark, sf):
        GROUP BY a.pt""",
 )
 def dataset_reconcile(spark, sf):
-    first, last = fx.FIRST_PT, I.MATURE_PT
+    first, last = I.first_day(spark, sf), I.MATURE_PT
     return rounded(
         D.dataset_reconcile(
             I.response(spark, sf),

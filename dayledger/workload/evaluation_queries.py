@@ -120,7 +120,7 @@ def split_metrics(spark, sf):
     return rounded(E.split_metrics(I.evaluation_rows(spark, sf), I.THRESHOLD))
 
 
-@query("segment_metrics", _metrics_sql("split, segment_value", having='WHERE "rows" >= 100'))
+@query("segment_metrics", f"""SELECT *, "rows" >= 100 AS sufficient FROM ({_metrics_sql('split, segment_value')}) q""")
 def segment_metrics(spark, sf):
     return rounded(E.segment_metrics(I.evaluation_rows(spark, sf), I.THRESHOLD))
 
@@ -135,9 +135,9 @@ def segment_inventory(spark, sf):
     return rounded(E.segment_inventory(I.evaluation_rows(spark, sf), MIN_ROWS, MIN_POSITIVES))
 
 
-_ELIGIBLE = f"WHERE row_count >= {MIN_ROWS} AND positive_count >= {MIN_POSITIVES}"
-_SEGMENT_GRID = f"SELECT * FROM ({_grid_sql('split, segment_value')}) g {_ELIGIBLE}"
-_BUSINESS = "AND segment_value NOT IN ('UNKNOWN', '__NULL__')"
+_ENOUGH = f"row_count >= {MIN_ROWS} AND positive_count >= {MIN_POSITIVES} AS sufficient"
+_SEGMENT_GRID = f"SELECT *, {_ENOUGH} FROM ({_grid_sql('split, segment_value')}) g"
+_BUSINESS = "WHERE segment_value NOT IN ('UNKNOWN', '__NULL__')"
 
 
 def _with_curves_sql(grid: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +15,10 @@ from ..sources import fixtures as fx
 from ..sources.schemas import NUMERIC_FEATURES, RESPONSE_SCORES
 
 # Parameters of the registered queries.
-AS_OF = date(2024, 1, 30)
+AS_OF = fx.AS_OF
 SCORING_PT, REFERENCE_PT, IMMATURE_PT = "20240126", "20240125", "20240128"
 MATURE_PT = "20240126"
-SPLIT_DAYS = (9, 3, 6)
+SPLIT_DAYS = (14, 4, 7)
 THRESHOLD = 0.5
 RUN_TS = datetime(2024, 1, 27, 2, 0, 0)
 LINEAGE = {
@@ -30,15 +30,20 @@ LINEAGE = {
 }
 
 
-def mart(spark: SparkSession, sf: str, first: str = fx.FIRST_PT, last: str = fx.LAST_PT) -> DataFrame:
+def first_day(spark: SparkSession, sf: str) -> str:
+    return fx.calendar(spark, sf)[0]
+
+
+def mart(spark: SparkSession, sf: str, first: str | None = None, last: str | None = None) -> DataFrame:
     return fx.feature_mart(spark, sf, first, last)
 
 
-def eligible_mart(spark: SparkSession, sf: str, first: str = fx.FIRST_PT, last: str = fx.LAST_PT) -> DataFrame:
+def eligible_mart(spark: SparkSession, sf: str, first: str | None = None, last: str | None = None) -> DataFrame:
     return fx.feature_mart(spark, sf, first, last, eligible_only=True)
 
 
-def base(spark: SparkSession, sf: str, first: str = fx.FIRST_PT, last: str = MATURE_PT) -> DataFrame:
+def base(spark: SparkSession, sf: str, first: str | None = None, last: str = MATURE_PT) -> DataFrame:
+    first = first or first_day(spark, sf)
     return D.base_population(eligible_mart(spark, sf, first, last), first, last)
 
 
@@ -46,7 +51,8 @@ def bets_after(spark: SparkSession, sf: str, first: str, last: str, window_days:
     return fx.bets(spark, sf, shift_pt(first, 1), shift_pt(last, window_days))
 
 
-def response(spark: SparkSession, sf: str, first: str = fx.FIRST_PT, last: str = MATURE_PT) -> DataFrame:
+def response(spark: SparkSession, sf: str, first: str | None = None, last: str = MATURE_PT) -> DataFrame:
+    first = first or first_day(spark, sf)
     return D.response_dataset(
         eligible_mart(spark, sf, first, last),
         fx.vouchers(spark, sf, first, last),
@@ -57,7 +63,8 @@ def response(spark: SparkSession, sf: str, first: str = fx.FIRST_PT, last: str =
     )
 
 
-def audited(spark: SparkSession, sf: str, first: str = fx.FIRST_PT, last: str = MATURE_PT) -> DataFrame:
+def audited(spark: SparkSession, sf: str, first: str | None = None, last: str = MATURE_PT) -> DataFrame:
+    first = first or first_day(spark, sf)
     return D.audit_dataset(response(spark, sf, first, last), bets_after(spark, sf, first, last, 7))
 
 
@@ -115,7 +122,8 @@ def observed(spark: SparkSession, sf: str, pt: str = SCORING_PT) -> DataFrame:
 
 
 def reference_row_count(spark: SparkSession, sf: str, pt: str = REFERENCE_PT) -> DataFrame:
-    return eligible_mart(spark, sf, pt, pt).agg(F.count(F.lit(1)).alias("reference_row_count"))
+    """Rows of the scored reference partition."""
+    return scores(spark, sf, pt).agg(F.count(F.lit(1)).alias("reference_row_count"))
 
 
 # --- evaluation ----------------------------------------------------------------------------
@@ -123,7 +131,7 @@ def reference_row_count(spark: SparkSession, sf: str, pt: str = REFERENCE_PT) ->
 
 def labelled_splits(spark: SparkSession, sf: str) -> DataFrame:
     """Population with outcome label, features and split."""
-    rows = D.outcome_rollup(base(spark, sf), bets_after(spark, sf, fx.FIRST_PT, MATURE_PT))
+    rows = D.outcome_rollup(base(spark, sf), bets_after(spark, sf, first_day(spark, sf), MATURE_PT))
     plan = split_plan(fx.partition_days(spark, sf), AS_OF, *SPLIT_DAYS)
     return assign_splits(rows, plan)
 

@@ -148,7 +148,8 @@ def _alert_sql(severity, check, metric, observed, limit, condition, source, refe
         CAST({reference} AS VARCHAR) AS reference_value FROM {source} WHERE {condition}"""
 
 
-_CHANGE = "round((row_count - reference_row_count) / reference_row_count, 6)"
+_EXACT = "(row_count - reference_row_count) / reference_row_count"
+_CHANGE = f"round({_EXACT}, 6)"
 _RULES = [
     ("critical", "empty_or_small_partition", "row_count", "row_count", "1", "row_count < 1"),
     ("critical", "duplicate_player_ids", "duplicate_player_count", "duplicate_player_count", "1", "duplicate_player_count >= 1"),
@@ -157,11 +158,11 @@ _RULES = [
     ("warning", "snapshot_date_staleness", "snapshot_date_lag_days", "snapshot_date_lag_days", "3", "snapshot_date_lag_days > 3"),
     ("warning", "snapshot_date_dispersion", "snapshot_date_distinct_count", "snapshot_date_distinct_count", "2",
      "snapshot_date_distinct_count > 2"),
-    ("critical", "row_count_drop", "row_count_delta_ratio", _CHANGE, "-0.25", f"{_CHANGE} <= -0.25", "reference_row_count"),
-    ("warning", "row_count_drop", "row_count_delta_ratio", _CHANGE, "-0.1", f"{_CHANGE} <= -0.1 AND {_CHANGE} > -0.25",
+    ("critical", "row_count_drop", "row_count_delta_ratio", _CHANGE, "-0.25", f"{_EXACT} <= -0.25", "reference_row_count"),
+    ("warning", "row_count_drop", "row_count_delta_ratio", _CHANGE, "-0.1", f"{_EXACT} <= -0.1 AND {_EXACT} > -0.25",
      "reference_row_count"),
-    ("warning", "row_count_growth", "row_count_delta_ratio", _CHANGE, "0.35", f"{_CHANGE} >= 0.35", "reference_row_count"),
-    ("warning", "row_count_growth", "row_count_delta_ratio", _CHANGE, "0.15", f"{_CHANGE} >= 0.15 AND {_CHANGE} < 0.35",
+    ("warning", "row_count_growth", "row_count_delta_ratio", _CHANGE, "0.35", f"{_EXACT} >= 0.35", "reference_row_count"),
+    ("warning", "row_count_growth", "row_count_delta_ratio", _CHANGE, "0.15", f"{_EXACT} >= 0.15 AND {_EXACT} < 0.35",
      "reference_row_count"),
     ("warning", "top_bucket_share", "top_bucket_share", "round(top_share, 6)", "[0.01, 0.7]", "top_share < 0.01 OR top_share > 0.70"),
     ("warning", "vip_level_missingness", "vip_missing_rate", "round(no_segment, 6)", "0.05", "no_segment > 0.05"),
@@ -340,22 +341,18 @@ def alerts_table(spark, sf):
 
 
 def _performance_by_sql(key: str) -> str:
-    return f"""SELECT * FROM (SELECT coalesce({key}, '__missing__') AS {key}, {_MEASURES} FROM v_observed
-        GROUP BY coalesce({key}, '__missing__')) g WHERE row_count >= 10"""
-
-
-# Fixed value: lowest group size that leaves groups on the smaller tables too.
-MIN_GROUP_ROWS = 10
+    return f"""SELECT *, row_count >= 100 AS sufficient FROM (SELECT coalesce({key}, '__missing__') AS {key}, {_MEASURES}
+        FROM v_observed GROUP BY coalesce({key}, '__missing__')) g"""
 
 
 @query("performance_by_bucket", _performance_by_sql("response_priority_bucket"))
 def performance_by_bucket(spark, sf):
-    return rounded(M.performance_by(I.observed(spark, sf), "response_priority_bucket", MIN_GROUP_ROWS))
+    return rounded(M.performance_by(I.observed(spark, sf), "response_priority_bucket"))
 
 
 @query("performance_by_segment", _performance_by_sql("vip_level"))
 def performance_by_segment(spark, sf):
-    return rounded(M.performance_by(I.observed(spark, sf), "vip_level", MIN_GROUP_ROWS))
+    return rounded(M.performance_by(I.observed(spark, sf), "vip_level"))
 
 
 @query(

@@ -203,7 +203,7 @@ def score_counts(spark, sf):
 @query(
     "duplicate_players",
     """SELECT player_id, count(*) AS duplicate_row_count FROM v_flawed GROUP BY player_id HAVING count(*) > 1
-       ORDER BY duplicate_row_count DESC, player_id NULLS FIRST LIMIT 100""",
+       ORDER BY duplicate_row_count DESC, player_id NULLS FIRST""",
 )
 def duplicate_players(spark, sf):
     return V.duplicate_players(I.flawed_scores(spark, sf))

@@ -112,7 +112,7 @@ def test_segments(spark):
     rows = frame(spark, [(1, 0.9), (0, 0.1)], segment=None).unionByName(frame(spark, [(1, 0.4)] * 3, segment="UNKNOWN"))
     inventory = {r.segment_value: r.eligible_for_threshold_grid for r in E.segment_inventory(rows, 2, 1).collect()}
     assert inventory == {"__NULL__": True, "UNKNOWN": True}
-    assert E.segment_threshold_grid(rows, 2, 1).count() == 38
+    assert E.segment_threshold_grid(rows, 2, 1).where("sufficient").count() == 38
     assert E.segment_threshold_grid(rows, 2, 1, business_only=True).isEmpty()
 
 
