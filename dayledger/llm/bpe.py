@@ -27,8 +27,10 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage, remove_cut
 from .batches import slices
@@ -40,6 +42,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 AGREED = re.compile("[\0-ɏͰ-ͷΑ-ΡΣ-ϿЀ-ԯ‐-‧‰-⁞₠-₿ぁ-ゖァ-ヺ一-龥가-힣]*")
 
 LEAF = 8192
+#: Tokens that a task decodes together; a longer single text is taken alone.
+_TOKENS = 300_000
 
 
 class Codec:
@@ -149,15 +153,20 @@ def _id_lists(lists: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
 
 
-def _encoder(path: str) -> Callable[[Column], Column]:
-    @F.arrow_udf("array<int>")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _encoded(rows: DataFrame, path: str, text: str, output: str) -> DataFrame:
+    """`rows` with the ids of `text`, each encoded whole; results leave a task slice by slice."""
+    names = [*rows.columns, output]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = codec(path).encode
         for batch in batches:
-            parts = [_id_lists([encode(t) for t in part]) for part in slices(batch)]
-            yield pa.concat_arrays(parts) if parts else _id_lists([])
+            at = 0
+            for part in slices(batch.column(text)):
+                own = batch.slice(at, len(part))
+                yield pa.RecordBatch.from_arrays([*own.columns, _id_lists([encode(t) for t in part])], names)
+                at += len(part)
 
-    return run
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(output, T.ArrayType(T.IntegerType()))]))
 
 
 def encode_long(texts: DataFrame, path: str, leaf: int) -> DataFrame:
@@ -187,7 +196,7 @@ def encode_long(texts: DataFrame, path: str, leaf: int) -> DataFrame:
 
     schema = "key string, piece int, leaf int, leaves int, body string"
     rows = texts.mapInArrow(cut, schema).repartition("key", "piece", "leaf")
-    rows = cut_lineage(rows.withColumn("ids", _encoder(path)("body")), "leaves")
+    rows = cut_lineage(_encoded(rows, path, "body", "ids"), "leaves")
     depth = int(rows.agg(F.max("leaves")).first()[0] or 1).bit_length() - 1  # one number
     done, open_rows = rows.where("leaves = 1"), rows.where("leaves > 1")
     for _ in range(depth):
@@ -203,10 +212,10 @@ def encode_long(texts: DataFrame, path: str, leaf: int) -> DataFrame:
 
 def encode(documents: DataFrame, path: str, text: str = "text", output: str = "ids", leaf: int = LEAF) -> DataFrame:
     """`documents` with the token ids of `text` in `output`; a column of that name is replaced."""
-    kept = documents.drop(output) if output != text else documents
+    kept = documents.drop(output)
     body = F.coalesce(F.col(text), F.lit(""))
     long = (F.length(body) > leaf) & body.rlike(rf"(?U)(\S{{{leaf - 1},}}|\s{{{leaf - 1},}})")
-    plain = kept.where(~long).withColumn(output, _encoder(path)(body))
+    plain = _encoded(kept.where(~long), path, text, output)
     texts = cut_lineage(kept.where(long).select(F.sha2(body, 256).alias("key"), body.alias("body")).dropDuplicates(["key"]), "long")
     if texts.isEmpty():
         remove_cut(texts)
@@ -219,14 +228,18 @@ def encode(documents: DataFrame, path: str, text: str = "text", output: str = "i
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", output: str = "decoded") -> DataFrame:
     """`rows` with the text of the token ids; NULL ids give the empty text, tokens that are not UTF-8 U+FFFD."""
+    kept = rows.drop(output)
+    names = [*kept.columns, output]
 
-    @F.arrow_udf("string")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)
         for batch in batches:
-            texts: list[str] = []
-            for start in range(0, len(batch), 200):
-                texts += own.decode([x or [] for x in batch.slice(start, 200).to_pylist()])
-            yield pa.array(texts, pa.string())
-
-    return rows.withColumn(output, run(ids))
+            sizes = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy(zero_copy_only=False)
+            run_of = np.cumsum(sizes) // _TOKENS
+            edges = [0, *(np.flatnonzero(np.diff(run_of)) + 1), len(batch)]
+            for start, stop in zip(edges[:-1], edges[1:]):
+                part = batch.slice(start, stop - start)
+                texts = own.decode([x or [] for x in part.column(ids).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names)
+
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(output, T.StringType())]))
