@@ -139,3 +139,13 @@ def op10_factorization_machine_toxicity(spark: SparkSession, sf: str) -> DataFra
     return scored.select(
         "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
+
+
+# Five hex digits are twenty bits: four letters of base32.
+ORACLES["op7_boundary_chain_warc"] = """
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((('0x' || substr(sha1(body), (1 + 5 * (i // 4))::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM (SELECT page_id, body, max(page_id) OVER (PARTITION BY body) AS last FROM (SELECT page_id, coalesce(html, '') AS body FROM pages))"""
