@@ -162,6 +162,37 @@ def test_contaminated_documents_are_those_of_brute_force(spark):
     assert decontamination.matches(frame.where("false"), bench).collect() == []
 
 
+def test_edits_at_any_place_are_found(spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 12))) for _ in range(4000)]
+    pick = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [pick(n) for n in (4, 7, 12, 20, 33, 49, 64, 64, 100, 128, 150, 300)]
+    documents, want = [], []
+    for k, item in enumerate(items):
+        for _ in range(40):
+            changed = list(item)
+            for _ in range(rng.randint(1, max(1, len(item) // 40))):
+                at, kind = rng.randrange(len(changed)), rng.randrange(3)
+                changed[at : at + (kind != 2)] = pick(kind != 1)
+            before = pick(rng.randint(0, 60))
+            documents.append(before + changed + pick(rng.randint(0, 60)))
+            near = range(max(0, len(before) - len(item)), len(documents[-1]))
+            best = max(decontamination.similarity(item, documents[-1][p : p + len(item)]) for p in near)
+            want.append((k, best) if best >= 0.8 else None)
+    assert sum(w is not None for w in want) > 200
+    frame = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(documents)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    found = {r.doc_id: {m.item: m for m in r.matches} for r in decontamination.matches(frame, bench).collect()}
+    for i, w in enumerate(want):
+        got = found[i].get(w[0]) if w else None
+        assert not w or (got and got.similarity >= w[1] - 1e-12), (i, w)
+        for k, m in found[i].items():
+            assert m.similarity >= 0.8
+            # the reported place is that of the similarity, or is cut off where the document starts
+            told = decontamination.similarity(items[k], documents[i][m.start : m.start + m.words])
+            assert m.start == 0 or abs(told - m.similarity) < 1e-12
+
+
 def test_blocks_find_every_fingerprint_within_the_radius():
     rng = np.random.default_rng(2)
     for _ in range(200):
