@@ -13,11 +13,14 @@ Both kinds of rows weigh the same in the fit, in which an even score of 0.5 mean
 The fit uses a bounded sample of the labelled rows (`FmSettings.sample_rows`, drawn by a hash of the id, so it does
 not depend on partitions); all of them where there are fewer. The sample is chosen on the label table before any
 text is read, and is small enough to be sent to the tasks that hold the texts, so no text is shuffled. Its term
-lists, not its texts, meet in one task for the fit: at most `sample_rows` lists.
+lists, not its texts, meet in one task for the fit: one list an id, at most `sample_rows` lists. Every bucket that
+`min_rows` of them have takes part, also one that tells nothing alone, as it may in a pair. In the value of its terms a text
+is scaled to length one twice: over the terms that tell something alone and over the many others, which so do not drown
+the first; the weights of the others move by smaller steps.
 
 Defined cases: a NULL or empty text has no terms and scores the intercept; a label that is NULL or belongs to no
-document is not used; several labels of one id count as toxic if one does; repeated documents are scored each. With
-no labelled row, labels of one kind only or no telling term, every score is the share of toxic rows (0.0 without rows).
+document is not used; several labels of one id count as toxic if one does; repeated documents are scored each, and
+the fit takes the last term list in order of those of one id. With no labelled row, labels of one kind only or no common term, every score is the share of toxic rows (0.0 without rows).
 """
 
 from __future__ import annotations
@@ -39,8 +42,8 @@ WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class FmSettings:
-    """`sample_rows` bounds the labelled rows of the fit; a bucket takes part if `min_rows` of them
-    have it and its share of toxic ones stands out by `min_z`."""
+    """`sample_rows` bounds the labelled rows of the fit; a bucket takes part if `min_rows` of them have it, and tells
+    something alone if its share of toxic ones stands out by `min_z`; steps of other buckets are `other_step` of full ones."""
 
     bits: int = 20
     factors: int = 4
@@ -48,6 +51,7 @@ class FmSettings:
     sample_rows: int = 20_000
     min_rows: int = 3
     min_z: float = 3.0
+    other_step: float = 0.1
     updates: int = 3_000
     batch_rows: int = 64
     step: float = 0.1
@@ -57,13 +61,14 @@ class FmSettings:
 
 @dataclass(frozen=True)
 class FmModel:
-    """Weights of the buckets in `kept` (sorted); other buckets weigh nothing."""
+    """Weights of the buckets in `kept` (sorted), and which of them tell something alone; other buckets weigh nothing."""
 
     settings: FmSettings
     intercept: float
     kept: np.ndarray
     linear: np.ndarray
     factors: np.ndarray
+    telling: np.ndarray
 
 
 def term_buckets(text: str, settings: FmSettings, cache: dict[str, tuple[int, ...]]) -> set[int]:
@@ -93,11 +98,19 @@ def _row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return sums[ends[1:]] - sums[ends[:-1]]
 
 
-def _raw_scores(intercept, linear, factors, slots, ends, x):
-    """Scores before the logistic function, and the per-row factor sums; x: the value of each row's terms."""
+def _term_values(telling: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The scale of each row, and the values of its terms before it: rows of length one over either kind of terms."""
+    alone = np.maximum(_row_sums(telling.astype(np.float64), ends), 1)
+    others = np.maximum(_row_sums((~telling).astype(np.float64), ends), 1)
+    return 1.0 / np.sqrt(alone), np.where(telling, 1.0, np.repeat(np.sqrt(alone / others), np.diff(ends)))
+
+
+def _raw_scores(intercept, linear, factors, slots, ends, x, values=1.0):
+    """Scores before the logistic function, and the per-row factor sums; x: the scale of each row's term values."""
     each = np.diff(ends)
-    v = factors[slots]
-    first = _row_sums(linear[slots], ends) * x
+    values = np.broadcast_to(values, len(slots))
+    v = factors[slots] * values[:, None]
+    first = _row_sums(linear[slots] * values, ends) * x
     summed = _row_sums(v, ends) * x[:, None]
     squares = _row_sums(v * v, ends) * (x * x)[:, None]
     return intercept + first + 0.5 * (summed**2 - squares).sum(axis=1), summed, each
@@ -107,23 +120,25 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
 
 
-def _telling_buckets(values: np.ndarray, ends: np.ndarray, labels: np.ndarray, settings: FmSettings) -> np.ndarray:
-    """Buckets whose share of toxic rows differs by over `min_z` standard errors from that of all rows."""
+def _common_buckets(values: np.ndarray, ends: np.ndarray, labels: np.ndarray, settings: FmSettings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets in `min_rows` rows, and whether their share of toxic ones differs by `min_z` standard errors from that of all."""
     size, share = 1 << settings.bits, labels.mean()
     rows = np.bincount(values, minlength=size)
     toxic = np.bincount(values, np.repeat(labels, np.diff(ends)), size)
     z = np.abs(toxic - rows * share) / np.sqrt(np.maximum(rows, 1) * share * (1 - share))
-    return np.flatnonzero((rows >= settings.min_rows) & (z >= settings.min_z))
+    kept = np.flatnonzero(rows >= settings.min_rows)
+    telling = z[kept] >= settings.min_z
+    return kept, telling if telling.any() else np.ones(len(kept), dtype=bool)
 
 
 def fit_sample(lists: list[np.ndarray], labels: np.ndarray, settings: FmSettings) -> FmModel:
     """Minimise the logistic loss by mini-batches, with steps that shrink per weight as its gradients add up."""
     share = float(labels.mean()) if len(labels) else 0.0
-    none = FmModel(settings, share, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, settings.factors)))
+    none = FmModel(settings, share, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, settings.factors)), np.zeros(0, bool))
     if share in (0.0, 1.0):
         return none
     values, ends = _ragged(lists)
-    kept = _telling_buckets(values, ends, labels, settings)
+    kept, telling = _common_buckets(values, ends, labels, settings)
     if not len(kept):
         return none
     slot_of = np.full(1 << settings.bits, -1, dtype=np.int32)
@@ -138,6 +153,7 @@ def fit_sample(lists: list[np.ndarray], labels: np.ndarray, settings: FmSettings
     intercept = 0.0
     seen_linear, seen_factors = np.full(len(kept), 1e-2), np.full(factors.shape, 1e-2)
     # rare toxic rows weigh as much as the many clean ones together
+    pace = settings.step * np.where(telling, 1.0, settings.other_step)
     weights = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share))
     for _ in range(-(-settings.updates * settings.batch_rows // len(labels))):
         order = rng.permutation(len(labels))
@@ -146,23 +162,25 @@ def fit_sample(lists: list[np.ndarray], labels: np.ndarray, settings: FmSettings
             n = ends[rows + 1] - ends[rows]
             stop = np.concatenate([[0], np.cumsum(n)])
             at = np.repeat(ends[rows] - stop[:-1], n) + np.arange(stop[-1])
-            part, x = slots[at], 1.0 / np.sqrt(np.maximum(n, 1))
-            raw, summed, _ = _raw_scores(intercept, linear, factors, part, stop, x)
+            part = slots[at]
+            x, each = _term_values(telling[part], stop)
+            raw, summed, _ = _raw_scores(intercept, linear, factors, part, stop, x, each)
             off = (_logistic(raw) - labels[rows]) * weights[rows] / len(rows)
             intercept -= settings.step * float(off.sum())
             if not len(part):
                 continue
             used, where = np.unique(part, return_inverse=True)
             of = np.repeat(np.arange(len(rows)), n)
-            g = np.bincount(where, (off * x)[of], len(used)) + settings.decay * linear[used]
+            each = each * x[of]
+            g = np.bincount(where, off[of] * each, len(used)) + settings.decay * linear[used]
             seen_linear[used] += g * g
-            linear[used] -= settings.step * 10 * g / np.sqrt(seen_linear[used])
+            linear[used] -= pace[used] * 10 * g / np.sqrt(seen_linear[used])
             for f in range(settings.factors):
-                gf = np.bincount(where, (off * x)[of] * (summed[of, f] - factors[part, f] * x[of]), len(used))
+                gf = np.bincount(where, off[of] * each * (summed[of, f] - factors[part, f] * each), len(used))
                 gf += settings.decay * factors[used, f]
                 seen_factors[used, f] += gf * gf
-                factors[used, f] -= settings.step * gf / np.sqrt(seen_factors[used, f])
-    return FmModel(settings, intercept, kept, linear, factors)
+                factors[used, f] -= pace[used] * gf / np.sqrt(seen_factors[used, f])
+    return FmModel(settings, intercept, kept, linear, factors, telling)
 
 
 def score_texts(texts: list[str], model: FmModel, cache: dict) -> np.ndarray:
@@ -174,8 +192,8 @@ def score_texts(texts: list[str], model: FmModel, cache: dict) -> np.ndarray:
     at[at == len(model.kept)] = 0
     inside = model.kept[at] == values
     ends = np.concatenate([[0], np.cumsum(inside, dtype=np.int64)])[ends]
-    x = 1.0 / np.sqrt(np.maximum(np.diff(ends), 1))
-    return _logistic(_raw_scores(model.intercept, model.linear, model.factors, at[inside], ends, x)[0])
+    x, each = _term_values(model.telling[at[inside]], ends)
+    return _logistic(_raw_scores(model.intercept, model.linear, model.factors, at[inside], ends, x, each)[0])
 
 
 def train(
@@ -208,19 +226,21 @@ def train(
             return
         m = fit_sample(lists, np.concatenate(marks), settings)
         yield pa.RecordBatch.from_pydict(
-            {"i": [m.intercept], "k": [m.kept.tobytes()], "w": [m.linear.tobytes()], "v": [m.factors.tobytes()]}
+            {"i": [m.intercept], "k": [m.kept.tobytes()], "w": [m.linear.tobytes()], "v": [m.factors.tobytes()], "t": [m.telling.tobytes()]}
         )
 
     terms = rows.select("key", "body", F.col("y").cast("double")).mapInArrow(features, "key long, terms array<int>, y double")
+    # any number of documents may have one id
+    terms = terms.groupBy("key").agg(F.max("terms").alias("terms"), F.max("y").alias("y"))
     fitted = (
         terms.repartition(1).sortWithinPartitions("key", "terms").select("terms", "y")
-        .mapInArrow(fit, "i double, k binary, w binary, v binary").head()
+        .mapInArrow(fit, "i double, k binary, w binary, v binary, t binary").head()
     )
     if fitted is None:
         return fit_sample([], np.zeros(0), settings)
     return FmModel(
         settings, fitted.i, np.frombuffer(fitted.k, np.int64), np.frombuffer(fitted.w),
-        np.frombuffer(fitted.v).reshape(-1, settings.factors),
+        np.frombuffer(fitted.v).reshape(-1, settings.factors), np.frombuffer(fitted.t, bool),
     )
 
 

@@ -132,6 +132,24 @@ def test_toxicity_learns_pairs_that_linear_weights_miss():
     assert (toxicity._logistic(raw) > 0.5).tolist() == [True, False, False, True]
 
 
+def test_toxicity_learns_pairs_with_default_settings():
+    rng = np.random.default_rng(1)
+    pairs = rng.integers(0, 2, (1500, 2))
+    lists = [np.array([1 if x else 2, 3 if y else 4]) for x, y in pairs]
+    model = toxicity.fit_sample(lists, (pairs[:, 0] == pairs[:, 1]).astype(float), toxicity.FmSettings())
+    assert model.kept.tolist() == [1, 2, 3, 4]  # none tells anything alone
+    values, ends = toxicity._ragged([np.searchsorted(model.kept, t) for t in ([1, 3], [1, 4], [2, 3], [2, 4])])
+    raw, *_ = toxicity._raw_scores(model.intercept, model.linear, model.factors, values, ends, *toxicity._term_values(model.telling[values], ends))
+    assert (toxicity._logistic(raw) > 0.5).tolist() == [True, False, False, True]
+
+
+def test_toxicity_fits_one_row_of_an_id(spark):
+    documents = spark.createDataFrame([(i % 4, "you idiot" if i % 2 else "nice day") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, toxic int")
+    # two rows of either kind are less than `min_rows`, however often they repeat
+    assert not len(toxicity.train(documents, labels).kept)
+
+
 def test_toxicity_on_held_out_documents(spark, sf):
     large = sf.replace("0.001", "0.1")
     found = QUERIES["op10_factorization_machine_toxicity"](spark, large).where("held_out")
