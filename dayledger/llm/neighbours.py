@@ -2,13 +2,13 @@
 
 Every distinct vector is a node with its `degree` best neighbours found so far. They start from blocks: the vectors are
 sorted by the sides of random hyperplanes they lie on and cut into runs of equal size, several times, and each block is
-compared within itself. Then rounds of NN-descent: each node brings its neighbours and a sample of the nodes it is a
+compared within itself; the number of planes follows that of the nodes. Then rounds of NN-descent until few neighbours change: each node brings its neighbours and a sample of the nodes it is a
 neighbour of together, as neighbours of neighbours of each other; what beats a member's worst neighbour goes back to
 that member. All of this is joins and groups of bounded size: a block, or a cell of nodes chosen by hash.
 
 A search keeps, for each query, the best `beam` nodes seen. In each hop it sends the ones not yet expanded to the cells
 that hold them, where each node lies with the vectors of its neighbours, and takes back those neighbours that beat its worst one.
-It ends when no beam changes. Vectors travel in half precision; the best found are scored again in double precision on
+It ends when no beam has a node left to expand. Vectors travel in half precision; the best found are scored again in double precision on
 the original vectors. A query that is itself a node starts there; any other starts at a few fixed nodes.
 
 Defined cases: vectors that are NULL, zero, of another length than most, or hold a NULL or non-finite component take no
@@ -20,6 +20,7 @@ ties go to the smaller id; without valid vectors the result is empty.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +36,17 @@ _GRAPH = "id bigint, vec binary, near binary, scores binary"
 
 @dataclass(frozen=True)
 class GraphSettings:
+    """`planes` is the least number of planes; rounds end when at most the share `settled` of the neighbours is new."""
+
     degree: int = 20
     sampled: int = 20
     trees: int = 6
     planes: int = 6
     block: int = 500
-    rounds: int = 2
+    settled: float = 0.01
     sent: int = 8
     cell: int = 1000
     beam: int = 300
-    hops: int = 12
     starts: int = 16
     seed: int = 17
 
@@ -103,17 +105,24 @@ def _nodes(vectors: DataFrame) -> DataFrame:
     return vectors.mapInArrow(run, "id bigint, vec binary")
 
 
-def _blocks(nodes: DataFrame, s: GraphSettings) -> DataFrame:
+def planes_for(n: int, s: GraphSettings) -> int:
+    """Planes that split n nodes into cells of no more than a block on average."""
+    return max(s.planes, (max(1, -(-n // s.block)) - 1).bit_length())
+
+
+def _blocks(nodes: DataFrame, s: GraphSettings, n: int) -> DataFrame:
     """(id, vec, block): each node once a tree, in blocks of nodes on the same sides of that tree's planes."""
 
+    planes_used = planes_for(n, s)
+
     def run(batches):
         for batch in batches:
             v = _matrix(batch.column("vec"), np.float16).astype(np.float32) if len(batch) else np.zeros((0, 1), np.float32)
             rng = np.random.default_rng(s.seed)
             for tree in range(s.trees):
-                planes = rng.normal(size=(v.shape[1], s.planes + 1)).astype(np.float32)
+                planes = rng.normal(size=(v.shape[1], planes_used + 1)).astype(np.float32)
                 side = v @ planes
-                code = (side[:, : s.planes] > 0) @ (1 << np.arange(s.planes))
+                code = (side[:, :planes_used] > 0) @ (1 << np.arange(planes_used))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id"), batch.column("vec"), pa.array(np.full(len(v), tree)), pa.array(code.astype(np.int64)), pa.array(side[:, -1].astype(np.float64))],
                     ["id", "vec", "tree", "code", "side"],
@@ -136,7 +145,7 @@ def _first_graph(nodes: DataFrame, s: GraphSettings, n: int) -> DataFrame:
         near = np.where(np.isfinite(best), ids[top], -1)
         return pa.table({"id": ids, "vec": table.column("vec"), "near": _binary(near), "scores": _binary(best)})
 
-    return _merged(_blocks(nodes, s).groupBy("block").applyInArrow(inside, _GRAPH), s, n)
+    return _merged(_blocks(nodes, s, n).groupBy("block").applyInArrow(inside, _GRAPH), s, n)
 
 
 def _merged(parts: DataFrame, s: GraphSettings, n: int) -> DataFrame:
@@ -223,11 +232,14 @@ def build_graph(vectors: DataFrame, s: GraphSettings = GraphSettings()) -> DataF
     nodes = cut_lineage(_nodes(vectors), "nodes")
     n = nodes.count()
     graph = cut_lineage(_first_graph(nodes, s, n), "graph")
-    for round_number in range(s.rounds):
+    # neighbours only get better, so the rounds end
+    for round_number in count():
         better = cut_lineage(_descend(graph, s, round_number, n), "graph")
+        new = _links(better).join(_links(graph), ["id", "other"], "left_anti").count()
         remove_cut(graph)
         graph = better
-    return graph
+        if new <= s.settled * s.degree * n:
+            return graph
 
 
 _STATE = "query bigint, vec binary, ids binary, scores binary, done binary, open bigint"
@@ -362,9 +374,8 @@ def search(graph: DataFrame, queries: DataFrame, s: GraphSettings = GraphSetting
     rows = cut_lineage(_rows(graph, s, cells), "rows").repartition(cells, "cell").persist()
     states = cut_lineage(_started(queries, starts), "states")
     parts = F.pmod(F.xxhash64("query"), F.lit(_cells_of(queries.count(), s.cell // 10))).alias("part")
-    for _ in range(s.hops):
-        if states.where("open > 0").isEmpty():
-            break
+    # a node that has left a beam does not come back, so the hops end
+    while not states.where("open > 0").isEmpty():
         asked = _asked(states, cells, s.beam)
         found = rows.groupBy("cell").cogroup(asked.groupBy("cell")).applyInArrow(_expand(s.beam), "query bigint, ids binary, scores binary")
         both = states.select("query", "vec", "ids", "scores").unionByName(found, allowMissingColumns=True)

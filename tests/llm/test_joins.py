@@ -225,3 +225,17 @@ def test_neighbours_against_brute_force(spark):
     few = neighbours.nearest(frame.where("vec_id < 4"), F.col("vec_id") % 2 == 0).collect()
     assert len(few) == 6
     assert neighbours.nearest(frame.where("false"), F.col("vec_id") == 0).collect() == []
+
+
+def test_graph_settles_from_poor_blocks(spark):
+    assert [neighbours.planes_for(n, neighbours.GraphSettings()) for n in (0, 700, 64 * 500, 1_000_000)] == [6, 6, 6, 11]
+    vectors = np.random.default_rng(4).normal(size=(1500, 12)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, embedding array<float>")
+    settings = neighbours.GraphSettings(degree=10, sampled=10, trees=2, planes=1, block=12, sent=2)
+    graph = neighbours.build_graph(frame, settings).collect()
+    scores = vectors @ vectors.T
+    np.fill_diagonal(scores, -np.inf)
+    best = np.argsort(-scores, axis=1)[:, :10]
+    hits = sum(len(set(best[r.id]) & set(np.frombuffer(r.near, np.int64).tolist())) for r in graph)
+    assert hits >= 0.9 * 10 * len(vectors)
