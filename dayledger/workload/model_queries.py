@@ -26,8 +26,6 @@ from ..sources.schemas import (
 from . import inputs as I
 from .registry import query, rounded
 
-# Fixed value: boosting rounds of the registered fits; the operator's default is 200.
-ROUNDS = 20
 # the tables hold players without a segment, which would block the publish
 MAY_BE_NULL = ["vip_level"]
 NON_NULL = [c for c in V.CRITICAL_COLUMNS if c not in MAY_BE_NULL]
@@ -270,7 +268,7 @@ def preprocess_gbt(spark, sf):
 
 
 def _fit(spark, sf, name):
-    return training_run.train(_training_rows(spark, sf), (name,), ROUNDS)[0]
+    return training_run.train(_training_rows(spark, sf), (name,))[0]
 
 
 @query("train_lr")
@@ -297,7 +295,7 @@ def lr_importance(spark, sf):
 
 @query("gbt_importance")
 def gbt_importance(spark, sf):
-    model = M.fit_boosted_trees(_train_only(spark, sf), rounds=ROUNDS)
+    model = M.fit_boosted_trees(_train_only(spark, sf))
     names = M.transformed_feature_names(model, scale=False)
     return M.gbt_importance(model, names, fresh_path(spark, "trees"), spark)
 
@@ -305,7 +303,7 @@ def gbt_importance(spark, sf):
 @query("feature_contract")
 def feature_contract(spark, sf):
     """Names of the model inputs in vector order, after checking the fitted pipeline against the declared features."""
-    model = M.fit_logistic_regression(_train_only(spark, sf), max_iter=5)
+    model = M.fit_logistic_regression(_train_only(spark, sf))
     names = M.require_feature_contract(model, True, M.raw_feature_order(), model.stages[-1].numFeatures)
     return spark.createDataFrame(list(enumerate(names)), "slot int, feature string")
 
@@ -319,7 +317,7 @@ def score_splits(spark, sf):
 @query("model_runs")
 def model_runs(spark, sf):
     """Both models fitted, compared, saved and recorded; the champion's row is read back."""
-    fitted = training_run.train(_training_rows(spark, sf), rounds=ROUNDS)
+    fitted = training_run.train(_training_rows(spark, sf))
     runs = training_run.record(
         spark,
         fitted,

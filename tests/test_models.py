@@ -69,3 +69,29 @@ def test_run_records(spark):
         M.record_run(spark, "/nowhere", {**good, "run_id": "local_1", "is_champion": True}, datetime(2024, 1, 1))
     with pytest.raises(ValueError):
         M.model_version("a", " ", "b")
+
+
+def test_registered_fits_run_all_rounds(monkeypatch):
+    from dayledger.workload import model_queries as Q
+
+    class Stop(Exception):
+        pass
+
+    seen = []
+
+    def stop_with(*args, **settings):
+        seen.append((len(args), settings))
+        raise Stop
+
+    monkeypatch.setattr(Q, "_training_rows", lambda *_: None)
+    monkeypatch.setattr(Q, "_train_only", lambda *_: None)
+    monkeypatch.setattr(Q.training_run, "train", stop_with)
+    monkeypatch.setattr(Q.M, "fit_boosted_trees", stop_with)
+    monkeypatch.setattr(Q.M, "fit_logistic_regression", stop_with)
+    for name in ("train_gbt", "score_splits", "gbt_importance", "feature_contract", "model_runs"):
+        try:
+            getattr(Q, name)(None, None)
+        except Stop:
+            pass
+    # rows, and the names of models: no number of rounds or iterations
+    assert seen == [(2, {}), (2, {}), (1, {}), (1, {}), (1, {})]
