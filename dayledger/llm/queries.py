@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, fresh_path
-from . import bpe, decontamination, hidden_markov, language_id, near_dup, neighbours, quotes, toxicity, url_filter, warc
+from . import bpe, decontamination, hidden_markov, language_id, line_dedup, near_dup, neighbours, quotes, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -141,6 +141,12 @@ def op10_factorization_machine_toxicity(spark: SparkSession, sf: str) -> DataFra
     )
 
 
+@query
+def op12_two_bloom_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 # Five hex digits are twenty bits: four letters of base32.
 ORACLES["op7_boundary_chain_warc"] = """
 SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
@@ -149,3 +155,18 @@ SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
        CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> last THEN last END AS refers_to
 FROM (SELECT page_id, body, max(page_id) OVER (PARTITION BY body) AS last FROM (SELECT page_id, coalesce(html, '') AS body FROM pages))"""
+
+
+ORACLES["op12_two_bloom_line_dedup"] = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+    FROM documents
+), keyed AS (
+    SELECT doc_id, line, place, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), firsts AS (
+    SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE first <> doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE first IS NULL OR first = doc_id), '')) AS kept_sha256
+FROM keyed LEFT JOIN firsts USING (key) GROUP BY doc_id"""
