@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, fresh_path
-from . import bpe, decontamination, hidden_markov, language_id, line_dedup, near_dup, neighbours, quotes, toxicity, url_filter, warc
+from . import bpe, collocations, decontamination, hidden_markov, language_id, line_dedup, near_dup, neighbours, quotes, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -147,6 +147,11 @@ def op12_two_bloom_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def op13_setm_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents").select("lang", "text"))
+
+
 # Five hex digits are twenty bits: four letters of base32.
 ORACLES["op7_boundary_chain_warc"] = """
 SELECT page_id, strlen(body)::BIGINT AS payload_bytes,
@@ -170,3 +175,30 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE first <> doc_id) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE first IS NULL OR first = doc_id), '')) AS kept_sha256
 FROM keyed LEFT JOIN firsts USING (key) GROUP BY doc_id"""
+
+ORACLES["op13_setm_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+           string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS all_pieces
+    FROM documents
+), one AS (
+    SELECT lang, list_filter(string_split_regex(unnest(all_pieces), '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+), totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM one GROUP BY lang),
+grams AS (
+    SELECT lang, size, array_to_string(w[start:start + size - 1], ' ') AS phrase
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS start FROM one, range(1, 5) AS sizes(size))
+), f AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (
+    SELECT lang, phrase, f AS a, cut, array_to_string(string_split(phrase, ' ')[1:cut], ' ') AS head, array_to_string(string_split(phrase, ' ')[cut + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, size)) AS cut FROM f WHERE size > 1)
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, (2000000 * c.a::HUGEINT // (x.f + y.f))::BIGINT AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.tail
+), best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+kept AS (
+    SELECT * FROM best b WHERE NOT EXISTS (
+        SELECT 1 FROM f WHERE f.lang = b.lang AND f.size > len(string_split(b.phrase, ' ')) AND contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * f.f::HUGEINT >= 80 * b.a::HUGEINT)
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE C) AS rank FROM kept) JOIN totals USING (lang)
+WHERE rank <= 2000"""
