@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, fresh_path
-from . import bpe, collocations, decontamination, hidden_markov, language_id, line_dedup, near_dup, neighbours, quotes, toxicity, url_filter, warc
+from . import (
+    alignment, bpe, collocations, decontamination, hidden_markov, language_id, line_dedup, near_dup, neighbours, quotes, toxicity, url_filter, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,11 +31,11 @@ def fold(id: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
-def vocabulary() -> str:
-    """Path of the public vocabulary file; the operators take any."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public vocabulary file; the operators take any."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def token_columns() -> list[Column]:
@@ -141,6 +143,11 @@ def op10_factorization_machine_toxicity(spark: SparkSession, sf: str) -> DataFra
     )
 
 
+@query
+def op11_spill_counted_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(table(spark, sf, "documents").select("doc_id", "text"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+
+
 @query
 def op12_two_bloom_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(table(spark, sf, "documents").select("doc_id", "text"))
