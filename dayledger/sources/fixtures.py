@@ -45,6 +45,7 @@ def events(
     if last is not None:
         raw = raw.where(f"ts < CAST('{last + timedelta(days=1)}' AS {stamp})")
     return raw.selectExpr(
+        "event_id",
         "CAST(user_id AS STRING) AS login_name",
         "user_id",
         "ts",
@@ -213,6 +214,47 @@ def bets(spark: SparkSession, sf_dir: str, first_pt: str | None = None, last_pt:
     )
 
 
+# --- the strategy comparison: decisions, treatments with costs, bets at their moment ---------
+
+
+def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deposit or a withdrawal is a moment at which one of two strategies decides."""
+    made = events(spark, sf_dir).where("event_type IN ('signup', 'error')")
+    return made.selectExpr(
+        "login_name AS player_id",
+        "CAST(ts AS TIMESTAMP_NTZ) AS decision_timestamp",
+        "CASE WHEN event_type = 'signup' THEN 'churn_model_based' ELSE 'rule_based' END AS strategy_group",
+        "CASE WHEN event_type = 'signup' THEN 'churn_v2' ELSE 'rules_v1' END AS strategy_version",
+        "CASE WHEN k % 3 != 0 THEN 1L ELSE 0L END AS selected_flag",
+        "concat(event_type, '_', CAST(k % 5 AS STRING)) AS selection_reason_code",
+    )
+
+
+def treatment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vouchers and delivered messages with an actual cost, a fallback cost, both or none."""
+    sent = events(spark, sf_dir).where("event_type = 'click' OR (event_type = 'view' AND k % 10 < 7)")
+    return sent.selectExpr(
+        "login_name AS player_id",
+        "CAST(CASE WHEN event_type = 'click' AND k % 3 = 0 THEN ts + INTERVAL 1 HOUR ELSE ts END AS TIMESTAMP_NTZ) AS treatment_timestamp",
+        "CASE WHEN event_type = 'click' THEN 'voucher' ELSE 'sms' END AS treatment_type",
+        "concat('kind', CAST(k % 3 AS STRING)) AS treatment_subtype",
+        "CAST(event_id AS STRING) AS treatment_source_event_id",
+        "CAST(CASE WHEN k % 4 != 0 THEN CASE WHEN event_type = 'click' THEN value ELSE 0.07D END END AS DECIMAL(20,6)) AS treatment_cost_actual",
+        "CAST(CASE WHEN k % 5 != 0 THEN CASE WHEN event_type = 'click' THEN 5.0D ELSE 0.05D END END AS DECIMAL(20,6)) AS treatment_cost_fallback",
+        "CASE WHEN k % 4 != 0 OR k % 5 != 0 THEN 'EUR' END AS treatment_cost_currency",
+    )
+
+
+def timed_bets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = events(spark, sf_dir).where("event_type = 'purchase'")
+    return placed.selectExpr(
+        "login_name AS player_id",
+        "CAST(ts AS TIMESTAMP_NTZ) AS event_ts",
+        "CAST(value AS DECIMAL(20,6)) AS bet_amount",
+        "CAST(CAST(value AS DECIMAL(20,6)) - CAST(value AS DECIMAL(20,6)) * (k % 10) / 10 AS DECIMAL(20,6)) AS ggr",
+    )
+
+
 def fixed_score() -> Column:
     """A fixed logit in place of a fitted model, so the same score can be written in SQL."""
     logit = (

@@ -7,5 +7,6 @@ from . import (  # noqa: F401
     model_queries,
     monitoring_queries,
     scoring_queries,
+    strategy_queries,
 )
 from .registry import ORACLES, QUERIES  # noqa: F401

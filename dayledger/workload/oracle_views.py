@@ -7,7 +7,7 @@ import re
 VIEWS: dict[str, str] = {}
 
 VIEWS["fx_events"] = """
-SELECT CAST(user_id AS VARCHAR) AS login_name, user_id, ts, CAST(ts AS DATE) AS d,
+SELECT event_id, CAST(user_id AS VARCHAR) AS login_name, user_id, ts, CAST(ts AS DATE) AS d,
        event_type, value, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k
 FROM events"""
 

@@ -12,12 +12,20 @@ KEYS = "player_id string, assignment_date date, pt string"
 
 
 def test_counts_of_the_derived_tables(spark, sf):
-    assert I.mart(spark, sf).count() == 315
-    assert I.eligible_mart(spark, sf).count() == 307
-    assert fx.vouchers(spark, sf).count() == 210
-    assert fx.sms_sends(spark, sf).where("state = 3").count() == 129
-    assert fx.bets(spark, sf).where("bet_site_id IS NOT NULL").count() == 185
-    assert I.response(spark, sf).agg(F.sum("response_label_positive_3d")).first()[0] == 205
+    events = fx.given_table(spark, sf, "events")
+    users, days = events.select("user_id").distinct().count(), events.select(F.to_date("ts")).distinct().count()
+    assert I.mart(spark, sf).count() == users * days  # a row for each user and day
+    number = "try_cast(regexp_extract(props, '([0-9]+)', 1) as int)"
+    assert fx.vouchers(spark, sf).count() == events.where("event_type = 'click'").count()
+    assert fx.sms_sends(spark, sf).where("state = 3").count() == events.where(f"event_type = 'view' and {number} % 10 < 7").count()
+    assert fx.bets(spark, sf).where("bet_site_id IS NOT NULL").count() == events.where(f"event_type = 'purchase' and {number} % 11 != 0").count()
+
+
+def test_labels_are_those_of_later_bets(spark, sf):
+    bets = fx.bets(spark, sf).where("bet_amount > 0").select(F.col("login_name").alias("player_id"), "stat_date")
+    rows = I.response(spark, sf)
+    paired = rows.join(bets, "player_id").where("datediff(stat_date, assignment_date) BETWEEN 1 AND 3")
+    assert rows.agg(F.sum("response_label_positive_3d")).first()[0] == paired.select("player_id", "assignment_date").distinct().count() > 0
 
 
 def test_eligible_mart_is_the_eligible_part(spark, sf):
