@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +30,7 @@ QUANTILES = {
     "p99": 0.99,
 }
 LINEAGE = ["model_name", "model_version", "model_reference_path", "selected_threshold"]
-GLOBAL = ["metric_scope", "segment_value"]
+SCOPE = ["metric_scope", "segment_column", "segment_value"]
 
 
 def _moments() -> list[Column]:
@@ -151,76 +152,169 @@ def _metadata_missing() -> Column:
     return missing
 
 
-def partition_health(scored: DataFrame, threshold: float | None, group: Sequence[str]) -> DataFrame:
-    """Counts, freshness and moments per group.
+# --- one partition by scope: as a whole, and by each value of each segment column -----------
 
-    Repeated players are counted over one row per (group, player, partition), never by holding a player's rows.
-    """
-    positive = F.coalesce(F.col(SCORE) >= threshold, F.lit(False)) if threshold is not None else F.lit(False)
-    pairs = scored.groupBy(*group, "player_id", "pt").agg(F.count(F.lit(1)).alias("_n"))
-    players = pairs.groupBy(*group, "player_id").agg(F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_pair_extra"))
-    counts = players.groupBy(*group).agg(
-        F.count("player_id").alias("distinct_player_count"),
-        F.sum(F.col("_n") - 1).alias("duplicate_player_count"),
-        F.sum("_pair_extra").alias("duplicate_partition_count"),
+
+def with_segments(scored: DataFrame, segments: Sequence[str]) -> DataFrame:
+    """`scored` with its segment columns labelled, an absent one as `__missing__`; `_absent_<s>` tells these rows."""
+    marked = scored.withColumns({f"_absent_{s}": F.col(s).isNull() for s in segments})
+    return marked.withColumns({s: labelled(s, MISSING_IN_MONITORING) for s in segments})
+
+
+def by_scope(rows: DataFrame, segments: Sequence[str], measures: Sequence[Column], keep: Sequence[str] = ()) -> DataFrame:
+    """`measures` over all rows and over each value of each segment column (GROUPING SETS), within the `keep` columns."""
+    sets = [list(keep), *[[s, *keep] for s in segments]]
+    marks = [F.grouping(s).alias(f"_g_{s}") for s in segments]
+    grouped = rows.groupingSets(sets, *segments, *keep).agg(*measures, *marks)
+    own = [(s, F.col(f"_g_{s}") == 0) for s in segments]
+    names = [c for c in grouped.columns if c not in segments and c not in keep and not c.startswith("_g_")]
+    column = F.coalesce(*[F.when(used, F.lit(s)) for s, used in own])
+    return grouped.select(
+        F.when(column.isNull(), "global").otherwise("segment").alias("metric_scope"),
+        F.coalesce(column, F.lit("")).alias("segment_column"),
+        F.coalesce(*[F.when(used, F.col(s)) for s, used in own], F.lit("")).alias("segment_value"),
+        *keep,
+        *names,
     )
-    rows = scored.groupBy(*group).agg(
+
+
+BUCKET = "response_priority_bucket"
+
+
+def partition_cells(scored: DataFrame, threshold: float | None, segments: Sequence[str]) -> DataFrame:
+    """Sums that add up, by segments, bucket, snapshot day and model: a small table from one pass over the partition."""
+    positive = F.coalesce(F.col(SCORE) >= threshold, F.lit(False)) if threshold is not None else F.lit(False)
+    known = F.col("player_id").isNotNull()
+    spread = F.count(SCORE) * F.var_pop(SCORE)
+    return with_segments(scored, segments).groupBy(*segments, BUCKET, "snapshot_date", *LINEAGE[:3]).agg(
         F.count(F.lit(1)).alias("row_count"),
+        F.count_if(known).alias("known"),
         F.count_if(bad_score(SCORE)).alias("invalid_score_count"),
         F.count_if(_metadata_missing()).alias("metadata_missing_rows"),
         F.count_if(positive).alias("positive_prediction_count"),
-        *_freshness(),
-        F.count_distinct("snapshot_date").alias("snapshot_date_distinct_count"),
-        *_moments(),
-    )
-    p, n = F.col("positive_prediction_count"), F.col("row_count")
-    rate = ratio(p, n, 0.0)
-    return (
-        rows.join(counts, list(group))
-        .withColumn("negative_prediction_count", n - p)
-        .withColumn("predicted_positive_rate", rate)
-        .withColumn("predicted_negative_rate", 1 - rate)
+        F.count_if(known & F.col(BUCKET).isin(HIGH_PRIORITY_BUCKETS)).alias("top"),
+        F.count_if(known & F.col(f"_absent_{segments[0]}")).alias("no_segment"),
+        F.max("score_date").alias("score_date"),
+        F.count(SCORE).alias("scores"),
+        F.avg(SCORE).alias("mean"),
+        spread.alias("squares"),
+        F.min(SCORE).alias("lowest"),
+        F.max(SCORE).alias("highest"),
     )
 
 
-def scoped(scored: DataFrame, segment: str = "vip_level") -> tuple[DataFrame, DataFrame]:
-    """The rows keyed once as a whole and once per segment."""
-    whole = scored.withColumn("metric_scope", F.lit("global")).withColumn("segment_value", F.lit(""))
-    parts = with_monitored_segment(scored, segment).withColumn("metric_scope", F.lit("segment"))
-    return whole, parts
+def _combined_moments() -> list[Column]:
+    """Range, mean and deviation of the scores of several cells."""
+    n, total = F.sum("scores"), F.sum(F.col("mean") * F.col("scores"))
+    squares = F.sum("squares") + F.sum(F.col("scores") * F.col("mean") * F.col("mean")) - F.try_divide(total * total, n)
+    return [
+        F.min("lowest").alias("score_min"),
+        F.max("highest").alias("score_max"),
+        F.try_divide(total, n).alias("score_mean"),
+        F.when(n > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (n - 1))).alias("score_std"),
+    ]
+
 
+def distinct_players(scored: DataFrame, segments: Sequence[str]) -> DataFrame:
+    """Distinct players, repeated rows of a player, and repeated rows of a player and partition, by scope and bucket.
 
-def daily_metrics(scored: DataFrame, threshold: float | None, segment: str = "vip_level") -> DataFrame:
-    """One global row and one row per segment of every scalar metric of the daily table."""
-    whole, parts = scoped(scored, segment)
-    health = partition_health(whole, threshold, GLOBAL).unionByName(partition_health(parts, threshold, GLOBAL))
-    # scores are counted per segment once; the whole is the sum of its segments
-    per_segment = value_histogram(parts, SCORE, GLOBAL)
-    overall = per_segment.groupBy(SCORE).agg(F.sum("n").alias("n"))
-    histogram = per_segment.unionByName(
-        overall.select(F.lit("global").alias("metric_scope"), F.lit("").alias("segment_value"), SCORE, "n")
+    Rows are combined per player before they are multiplied by scopes; no player's rows are held together. Rows of all
+    buckets of a scope have bucket NULL and `all_buckets`.
+    """
+    pairs = with_segments(scored, segments).groupBy("player_id", "pt", *segments, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    each = [BUCKET, "player_id"]
+    whole = by_scope(pairs, segments, [F.sum("_n").alias("_n")], ["player_id", "pt"])
+    whole = whole.groupBy(*SCOPE, "player_id").agg(F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_pair_extra"))
+    parts = by_scope(pairs, segments, [F.sum("_n").alias("_n")], each).withColumn("all_buckets", F.lit(False))
+    both = whole.withColumn("all_buckets", F.lit(True)).unionByName(parts, allowMissingColumns=True)
+    return both.groupBy(*SCOPE, "all_buckets", BUCKET).agg(
+        F.count("player_id").alias("distinct_player_count"),
+        F.sum(F.col("_n") - 1).alias("duplicate_player_count"),
+        F.sum("_pair_extra").alias("duplicate_partition_count"),
     )
-    quantiles = exact_quantiles(histogram, SCORE, "n", QUANTILES, GLOBAL)
-    return health.join(quantiles, GLOBAL, "left").withColumn("score_median", F.col("p50"))
 
 
-def alert_inputs(
-    scored: DataFrame, metrics: DataFrame, reference_row_count: DataFrame, segment: str = "vip_level"
-) -> DataFrame:
-    """The one-row frame the daily rules read.
+def scope_quantiles(scored: DataFrame, segments: Sequence[str]) -> DataFrame:
+    """The nine quantiles of the score by scope, from counts per score and segment values."""
+    fine = value_histogram(with_segments(scored, segments), SCORE, segments)
+    return exact_quantiles(by_scope(fine, segments, [F.sum("n").alias("n")], [SCORE]), SCORE, "n", QUANTILES, SCOPE)
+
+
+class PartitionCube:
+    """The results of three passes over a scored partition; everything the daily table holds is put together from them."""
+
+    def __init__(self, scored: DataFrame, threshold: float | None, segments: Sequence[str] = ("vip_level",)):
+        self.segments = list(segments)
+        passes = {
+            "cells": lambda: partition_cells(scored, threshold, self.segments),
+            "players": lambda: distinct_players(scored, self.segments),
+            "quantiles": lambda: scope_quantiles(scored, self.segments),
+        }
+        # three jobs that need nothing of each other
+        with ThreadPoolExecutor(len(passes)) as pool:
+            written = pool.map(lambda name: cut_lineage(passes[name](), name), passes)
+            self.cells, self.players, self.quantiles = written
+
+    def metrics(self) -> DataFrame:
+        """One global row and one row per segment value of every scalar metric of the daily table."""
+        rows = by_scope(
+            self.cells,
+            self.segments,
+            [
+                *[F.sum(c).alias(c) for c in ("row_count", "invalid_score_count", "metadata_missing_rows", "positive_prediction_count")],
+                F.min("snapshot_date").alias("snapshot_date_min"),
+                F.max("snapshot_date").alias("snapshot_date_max"),
+                F.datediff(F.max("score_date"), F.max("snapshot_date")).cast("bigint").alias("snapshot_date_lag_days"),
+                F.count_distinct("snapshot_date").alias("snapshot_date_distinct_count"),
+                *_combined_moments(),
+            ],
+        )
+        p, n = F.col("positive_prediction_count"), F.col("row_count")
+        counts = self.players.where("all_buckets").drop("all_buckets", BUCKET)
+        return (
+            rows.join(counts, SCOPE)
+            .join(self.quantiles, SCOPE, "left")
+            .withColumn("score_median", F.col("p50"))
+            .withColumn("negative_prediction_count", n - p)
+            .withColumn("predicted_positive_rate", ratio(p, n, 0.0))
+            .withColumn("predicted_negative_rate", 1 - ratio(p, n, 0.0))
+        )
 
-    `metrics` is the global row; `reference_row_count` one row with that column (NULL or 0 without reference).
-    """
-    known = F.col("player_id").isNotNull()
-    top = known & F.col("response_priority_bucket").isin(HIGH_PRIORITY_BUCKETS)
-    shares = scored.agg(
-        F.count_if(known).alias("_k"),
-        F.count_if(top).alias("_top"),
-        F.count_if(known & F.col(segment).isNull()).alias("_novip"),
-    ).select(
-        ratio("_top", "_k", 0.0).alias("top_bucket_share"),
-        ratio("_novip", "_k", 0.0).alias("vip_missing_rate"),
-    )
+    def buckets(self) -> DataFrame:
+        """Known players, share and score range per scope and bucket."""
+        rows = by_scope(self.cells, self.segments, [F.sum("known").alias("row_count"), *_combined_moments()], [BUCKET]).drop("score_std")
+        counts = self.players.where("NOT all_buckets").select(*SCOPE, F.col(BUCKET).alias("bucket_name"), "distinct_player_count")
+        rows = rows.withColumnRenamed(BUCKET, "bucket_name").withColumn("_b", F.coalesce("bucket_name", F.lit("")))
+        counts = counts.withColumn("_b", F.coalesce("bucket_name", F.lit(""))).withColumn("_null", F.col("bucket_name").isNull()).drop("bucket_name")
+        joined = rows.withColumn("_null", F.col("bucket_name").isNull()).join(counts, [*SCOPE, "_b", "_null"]).drop("_b", "_null")
+        # one row per scope and bucket
+        everything = F.sum("row_count").over(Window.partitionBy(*SCOPE))
+        return joined.withColumn("row_share", ratio("row_count", everything, 0.0))
+
+    def segment_rows(self, metrics: DataFrame) -> DataFrame:
+        """Known players, share, mean and median score per segment value."""
+        known = by_scope(self.cells, self.segments, [F.sum("known").alias("row_count")]).where("metric_scope = 'segment'")
+        # one row a segment value
+        everything = F.sum("row_count").over(Window.partitionBy("segment_column"))
+        facts = metrics.select(*SCOPE, "distinct_player_count", F.col("score_mean").alias("avg_score"), F.col("score_median").alias("median_score"))
+        return known.withColumn("row_share", ratio("row_count", everything, 0.0)).join(facts, SCOPE).drop("metric_scope")
+
+    def segments_by_bucket(self, buckets: DataFrame) -> DataFrame:
+        rows = buckets.where("metric_scope = 'segment'")
+        return rows.select("bucket_name", "segment_column", "segment_value", "row_count", F.col("score_mean").alias("avg_score"))
+
+    def lineage(self) -> DataFrame:
+        """One row: the model names, versions and paths of the partition."""
+        return self.cells.agg(*[joined_values(c).alias(c) for c in LINEAGE[:3]])
+
+    def shares(self) -> DataFrame:
+        """One row: share of known players in the top buckets, and of those without the first segment."""
+        totals = self.cells.agg(*[F.sum(c).alias(c) for c in ("known", "top", "no_segment")])
+        return totals.select(ratio("top", "known", 0.0).alias("top_bucket_share"), ratio("no_segment", "known", 0.0).alias("vip_missing_rate"))
+
+
+def alert_inputs(cube: PartitionCube, metrics: DataFrame, reference_row_count: DataFrame) -> DataFrame:
+    """The one-row frame the daily rules read; `reference_row_count` is one row (NULL or 0 without reference)."""
     names = [
         "row_count",
         "duplicate_player_count",
@@ -232,7 +326,7 @@ def alert_inputs(
         "score_max",
     ]
     row = metrics.where(F.col("metric_scope") == "global").select(*names)
-    return side_by_side(row, shares, reference_row_count.select("reference_row_count"))
+    return side_by_side(row, cube.shares(), reference_row_count.select("reference_row_count"))
 
 
 def _json_list(rows: DataFrame, name: str, order: Column, fields: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
@@ -253,25 +347,24 @@ def monitor_daily(
     run_ts: datetime,
     run_label: str,
     scoring_table: str,
-    segment: str = "vip_level",
+    segments: Sequence[str] = ("vip_level",),
     limits: DailyLimits = DailyLimits(),
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows of the daily table (global first by scope) and the alerts behind its status."""
-    # a handful of rows, read by the table, the alerts and the segment list
-    metrics = cut_lineage(daily_metrics(scored, threshold, segment))
-    alerts = daily_alerts(alert_inputs(scored, metrics, reference_row_count, segment), limits)
-    lineage = scored.agg(*[joined_values(c).alias(c) for c in LINEAGE[:3]])
+    """Rows of the daily table (one global, one per value of each segment column) and the alerts behind its status.
 
-    whole, parts = scoped(scored, segment)
+    The partition is read three times whatever the number of segment columns: for sums, players and score counts.
+    """
+    cube = PartitionCube(scored, threshold, segments)
+    metrics = cut_lineage(cube.metrics(), "metrics")  # a handful of rows, read by the table, the alerts and the lists
+    alerts = cut_lineage(daily_alerts(alert_inputs(cube, metrics, reference_row_count), limits), "alerts")
+    lineage = cube.lineage()
+    rows = cut_lineage(cube.buckets(), "buckets")
     bucket_fields = ["bucket_name", "row_count", "distinct_player_count", "row_share", "score_min", "score_max", "score_mean"]
     by_size = F.struct((-F.col("row_count")).alias("n"), "bucket_name")
-    buckets = bucket_distribution(whole, GLOBAL).unionByName(bucket_distribution(parts, GLOBAL))
-    buckets = _json_list(buckets, "bucket_distribution_json", by_size, bucket_fields, GLOBAL)
-    medians = metrics.where("metric_scope = 'segment'").select("segment_value", F.col("score_median").alias("median_score"))
-    segments = segment_distribution(scored, segment, medians)
-    by_segment = score_by_segment(scored, segment)
-    by_segment_size = F.struct("bucket_name", (-F.col("row_count")).alias("n"), "segment_value")
-    vip_size = F.struct((-F.col("row_count")).alias("n"), "segment_value")
+    buckets = _json_list(rows, "bucket_distribution_json", by_size, bucket_fields, SCOPE)
+    segment_rows, by_segment = cube.segment_rows(metrics), cube.segments_by_bucket(rows)
+    segment_size = F.struct("segment_column", (-F.col("row_count")).alias("n"), "segment_value")
+    by_segment_size = F.struct("segment_column", "bucket_name", (-F.col("row_count")).alias("n"), "segment_value")
     status = overall_status(alerts)
 
     # results about the whole partition are single values, read as scalar subqueries by the global row
@@ -280,7 +373,7 @@ def monitor_daily(
 
     whole_row = F.col("metric_scope") == "global"
     columns = {
-        "vip_distribution_json": F.when(whole_row, text(segments, vip_size)),
+        "vip_distribution_json": F.when(whole_row, text(segment_rows, segment_size)),
         "score_by_segment_json": F.when(whole_row, text(by_segment, by_segment_size)),
         "eligible_population_json": F.when(whole_row, text(population, F.col("segment_value"))),
         "alerts_json": F.when(whole_row, text(alerts, F.struct("severity", "check_name"))).otherwise("[]"),
@@ -289,7 +382,7 @@ def monitor_daily(
         **{c: lineage.select(c).scalar() for c in LINEAGE[:3]},
         "monitor_run_ts": F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz"),
         "run_label": F.lit(run_label),
-        "segment_column": F.when(~whole_row, F.lit(segment)),
+        "segment_column": F.when(~whole_row, F.col("segment_column")),
         "segment_value": F.when(~whole_row, F.col("segment_value")),
         "scoring_table": F.lit(scoring_table),
         "reference_pt": F.lit(reference_pt).cast("string"),
@@ -298,7 +391,7 @@ def monitor_daily(
         "selected_threshold": F.lit(threshold).cast("double"),
         "pt": F.lit(pt),
     }
-    table = metrics.join(buckets, GLOBAL, "left").withColumns(columns)
+    table = metrics.join(buckets, SCOPE, "left").withColumns(columns)
     return align_to_schema(table, MONITORING_DAILY)[0], alerts
 
 

@@ -9,7 +9,6 @@ from ..operators import alerts as A
 from ..operators import contracts as V
 from ..operators import monitoring as M
 from ..operators import profiling as P
-from ..session import cut_lineage
 from ..sources import fixtures as fx
 from . import inputs as I
 from .registry import query, rounded
@@ -120,11 +119,16 @@ def single_value(spark, sf):
 
 # --- daily ---------------------------------------------------------------------------------
 
-_SCOPED = """(SELECT *, 'global' AS metric_scope, '' AS seg FROM v_flawed
-   UNION ALL SELECT *, 'segment' AS metric_scope, coalesce(vip_level, '__missing__') AS seg FROM v_flawed) scoped"""
+SEGMENTS = ["vip_level", "action_recommendation"]
+_SCOPED = "(" + " UNION ALL ".join(
+    [
+        "SELECT *, 'global' AS metric_scope, '' AS segcol, '' AS seg FROM v_flawed",
+        *(f"SELECT *, 'segment' AS metric_scope, '{c}' AS segcol, coalesce({c}, '__missing__') AS seg FROM v_flawed" for c in SEGMENTS),
+    ]
+) + ") scoped"
 _BAD_SCORE = f"{_S} IS NULL OR {_S} < 0.0 OR {_S} > 1.0"
 _NO_LINEAGE = "model_name IS NULL OR model_version IS NULL OR model_reference_path IS NULL OR selected_threshold IS NULL"
-_HEALTH = f"""SELECT metric_scope, seg, count(*) AS row_count, count(DISTINCT player_id) AS distinct_player_count,
+_HEALTH = f"""SELECT metric_scope, segcol, seg, count(*) AS row_count, count(DISTINCT player_id) AS distinct_player_count,
    count(*) - count(DISTINCT {{'p': player_id}}) AS duplicate_player_count,
    count(*) - count(DISTINCT {{'p': player_id, 'q': pt}}) AS duplicate_partition_count,
    count(*) FILTER (WHERE {_BAD_SCORE}) AS invalid_score_count,
@@ -133,7 +137,7 @@ _HEALTH = f"""SELECT metric_scope, seg, count(*) AS row_count, count(DISTINCT pl
    count(*) - count(*) FILTER (WHERE {_S} >= 0.5) AS negative_prediction_count,
    round(count(*) FILTER (WHERE {_S} >= 0.5) / count(*) + 1e-9, 6) AS predicted_positive_rate,
    round(1 - count(*) FILTER (WHERE {_S} >= 0.5) / count(*) + 1e-9, 6) AS predicted_negative_rate,
-   {_FRESHNESS}, {_MOMENTS}, {_QUANTILES} FROM {_SCOPED} GROUP BY metric_scope, seg"""
+   {_FRESHNESS}, {_MOMENTS}, {_QUANTILES} FROM {_SCOPED} GROUP BY metric_scope, segcol, seg"""
 
 _ALERT_INPUT = f"""
 SELECT h.*, (SELECT count(*) FROM fx_feature_mart WHERE pt = '20240125' AND is_eligible = 1) AS reference_row_count,
@@ -142,8 +146,32 @@ SELECT h.*, (SELECT count(*) FROM fx_feature_mart WHERE pt = '20240125' AND is_e
 FROM ({_HEALTH}) h WHERE metric_scope = 'global'"""
 
 
+# Texts of the alerts.
+_MESSAGES = {
+    ("critical", "empty_or_small_partition"): "The scored partition has fewer rows than the minimum.",
+    ("critical", "duplicate_player_ids"): "Players occur more than once.",
+    ("critical", "invalid_score_range"): "Scores are absent or outside 0 to 1.",
+    ("critical", "missing_model_metadata"): "Rows lack model lineage.",
+    ("warning", "snapshot_date_staleness"): "The feature snapshot is old.",
+    ("warning", "snapshot_date_dispersion"): "The partition mixes feature snapshots.",
+    ("critical", "row_count_drop"): "Far fewer rows than the reference.",
+    ("warning", "row_count_drop"): "Fewer rows than the reference.",
+    ("warning", "top_bucket_share"): "The share of high-priority rows is out of range.",
+    ("warning", "vip_level_missingness"): "Too many rows lack a segment.",
+    ("critical", "score_range"): "Scores are no probabilities.",
+    ("warning", "insufficient_rows"): "Few rows to evaluate.",
+    ("warning", "insufficient_positive_events"): "Few positive labels to evaluate.",
+    ("critical", "realized_response_collapse"): "Hardly any response was observed.",
+    ("warning", "realized_response_collapse"): "Little response was observed.",
+    ("critical", "calibration_gap"): "Scores and response rate are far apart.",
+    ("warning", "calibration_gap"): "Scores and response rate drift apart.",
+}
+
+
 def _alert_sql(severity, check, metric, observed, limit, condition, source, reference="NULL"):
-    return f"""SELECT '{severity}' AS severity, '{check}' AS check_name, '{metric}' AS metric_name,
+    growth = {"0.35": "Far more rows than the reference.", "0.15": "More rows than the reference."}
+    message = growth[limit] if check == "row_count_growth" else _MESSAGES[severity, check]
+    return f"""SELECT '{message}' AS message, '{severity}' AS severity, '{check}' AS check_name, '{metric}' AS metric_name,
         CAST({observed} AS VARCHAR) AS observed_value, '{limit}' AS threshold_value,
         CAST({reference} AS VARCHAR) AS reference_value FROM {source} WHERE {condition}"""
 
@@ -174,14 +202,14 @@ def _alerts_sql(rules: list[tuple], source: str) -> str:
     return " UNION ALL ".join(_alert_sql(*r[:6], source, *r[6:]) for r in rules)
 
 
-_DAILY_ALERTS = _alerts_sql(_RULES, f"({_ALERT_INPUT}) i")
+_DAILY_ALERTS_TOLD = _alerts_sql(_RULES, f"({_ALERT_INPUT}) i")
+_DAILY_ALERTS = f"SELECT * EXCLUDE (message) FROM ({_DAILY_ALERTS_TOLD}) told"
 _SHOWN = ["severity", "check_name", "metric_name", "observed_value", "threshold_value", "reference_value"]
 
 
 def _daily_inputs(spark, sf):
-    scored = I.flawed_scores(spark, sf)
-    metrics = cut_lineage(M.daily_metrics(scored, I.THRESHOLD))
-    return M.alert_inputs(scored, metrics, I.reference_row_count(spark, sf))
+    cube = M.PartitionCube(I.flawed_scores(spark, sf), I.THRESHOLD)
+    return M.alert_inputs(cube, cube.metrics(), I.reference_row_count(spark, sf))
 
 
 @query("daily_alerts", _DAILY_ALERTS)
@@ -200,12 +228,80 @@ def _monitored(spark, sf):
         run_ts=I.RUN_TS,
         run_label=RUN_LABEL,
         scoring_table=SCORING_TABLE,
+        segments=SEGMENTS,
     )
 
 
+# --- the lists of the daily table, as sorted lines ------------------------------------------
+
+#: Fields of each list: text, whole numbers (n) and doubles (d).
+_LISTS = {
+    "bucket_distribution_json": "bucket_name row_count:n distinct_player_count:n row_share:d score_min:d score_max:d score_mean:d",
+    "vip_distribution_json": "segment_column segment_value row_count:n distinct_player_count:n row_share:d avg_score:d median_score:d",
+    "score_by_segment_json": "segment_column segment_value bucket_name row_count:n avg_score:d",
+    "eligible_population_json": "segment_column segment_value eligible_row_count:n eligible_distinct_player_count:n reference_eligible_row_count:n "
+    "eligible_row_delta:n eligible_row_delta_ratio:d snapshot_date_min snapshot_date_max",
+    "alerts_json": "severity check_name metric_name observed_value threshold_value reference_value message context_json",
+}
+
+
+def _fields(name: str) -> list[tuple[str, str]]:
+    return [(f.split(":")[0], {"n": "bigint", "d": "double"}.get(f.partition(":")[2], "string")) for f in _LISTS[name].split()]
+
+
+def _lines(name: str) -> str:
+    """SQL: the row as a line."""
+    shown = [f"format('{{:.6f}}', round({f} + 1e-9, 6) + 0.0)" if t == "double" else f"CAST({f} AS VARCHAR)" for f, t in _fields(name)]
+    return f"concat_ws('|', {', '.join(f'coalesce({x}, {chr(39)}-{chr(39)})' for x in shown)})"
+
+
+def _listed(name: str, rows: str, where: str = "true") -> str:
+    return f"(SELECT string_agg({_lines(name)}, ';' ORDER BY {_lines(name)}) FROM ({rows}) listed WHERE {where})"
+
+
+def with_lines(table):
+    """The JSON lists of the daily table as sorted lines: their rows and values, whatever the spelling of the text."""
+
+    def shown(x, f, t):
+        value = F.format_string("%.6f", F.round(x[f] + 1e-9, 6) + 0.0) if t == "double" else x[f].cast("string")
+        return F.when(x[f].isNull(), "-").otherwise(value)
+
+    def line(name):
+        return lambda x: F.concat_ws("|", *[shown(x, f, t) for f, t in _fields(name)])
+
+    for name in _LISTS:
+        schema = "array<struct<" + ", ".join(f"{f}: {t}" for f, t in _fields(name)) + ">>"
+        lines = F.transform(F.from_json(name, schema), line(name))
+        table = table.withColumn(name, F.nullif(F.array_join(F.array_sort(lines), ";"), F.lit("")))
+    return table
+
+
+_BY_BUCKET = f"""SELECT metric_scope, segcol AS segment_column, seg AS segment_value, response_priority_bucket AS bucket_name, count(player_id) AS row_count,
+   count(DISTINCT player_id) AS distinct_player_count, count(player_id) / sum(count(player_id)) OVER (PARTITION BY metric_scope, segcol, seg) AS row_share,
+   min({_S}) AS score_min, max({_S}) AS score_max, avg({_S}) AS score_mean, avg({_S}) AS avg_score
+   FROM {_SCOPED} GROUP BY metric_scope, segcol, seg, response_priority_bucket"""
+_BY_SEGMENT = f"""SELECT segcol AS segment_column, seg AS segment_value, count(player_id) AS row_count, count(DISTINCT player_id) AS distinct_player_count,
+   count(player_id) / sum(count(player_id)) OVER (PARTITION BY segcol) AS row_share, avg({_S}) AS avg_score, quantile_cont({_S}, 0.5) AS median_score
+   FROM {_SCOPED} WHERE metric_scope = 'segment' GROUP BY segcol, seg"""
+_POPULATION = f"""SELECT 'vip_level' AS segment_column, coalesce(c.segment_value, r.segment_value) AS segment_value, coalesce(c.eligible_row_count, 0) AS eligible_row_count,
+   coalesce(c.eligible_distinct_player_count, 0) AS eligible_distinct_player_count, coalesce(r.eligible_row_count, 0) AS reference_eligible_row_count,
+   coalesce(c.eligible_row_count, 0) - coalesce(r.eligible_row_count, 0) AS eligible_row_delta,
+   (coalesce(c.eligible_row_count, 0) - r.eligible_row_count) / r.eligible_row_count AS eligible_row_delta_ratio, c.snapshot_date_min, c.snapshot_date_max
+   FROM ({_eligible_sql(I.SCORING_PT)}) c FULL JOIN ({_eligible_sql(I.REFERENCE_PT)}) r ON c.segment_value = r.segment_value"""
+_IN_SCOPE = "listed.metric_scope = h.metric_scope AND listed.segment_column = h.segcol AND listed.segment_value = h.seg"
+_GLOBAL_LISTS = {
+    "vip_distribution_json": _BY_SEGMENT,
+    "score_by_segment_json": f"SELECT * FROM ({_BY_BUCKET}) b WHERE metric_scope = 'segment'",
+    "eligible_population_json": _POPULATION,
+    "alerts_json": f"SELECT *, '{{}}' AS context_json FROM ({_DAILY_ALERTS_TOLD}) told",
+}
+
+
 @query(
     "monitor_daily",
-    f"""SELECT h.* EXCLUDE (seg), CASE WHEN h.metric_scope = 'segment' THEN 'vip_level' END AS segment_column,
+    f"""SELECT h.* EXCLUDE (seg, segcol), {_listed('bucket_distribution_json', _BY_BUCKET, _IN_SCOPE)} AS bucket_distribution_json,
+        {', '.join(f"CASE WHEN h.metric_scope = 'global' THEN {_listed(n, rows)} END AS {n}" for n, rows in _GLOBAL_LISTS.items())},
+        CASE WHEN h.metric_scope = 'segment' THEN h.segcol END AS segment_column,
         CASE WHEN h.metric_scope = 'segment' THEN h.seg END AS segment_value,
         CASE WHEN h.metric_scope = 'segment' THEN 'ok' ELSE (SELECT CASE WHEN bool_or(severity = 'critical') THEN 'critical'
              WHEN bool_or(severity = 'warning') THEN 'warning' ELSE 'ok' END FROM ({_DAILY_ALERTS}) a) END AS monitor_status,
@@ -217,9 +313,8 @@ def _monitored(spark, sf):
         '20240126' AS pt FROM ({_HEALTH}) h""",
 )
 def monitor_daily(spark, sf):
-    """The scalar columns; the JSON columns hold the rows of the four distribution queries."""
-    table, _ = _monitored(spark, sf)
-    return rounded(table.drop(*[c for c in table.columns if c.endswith("_json")]))
+    """All 48 columns for two segment columns; the lists as sorted lines."""
+    return rounded(with_lines(_monitored(spark, sf)[0]))
 
 
 @query(
@@ -317,7 +412,8 @@ _PERFORMANCE_RULES = [
 ]
 _PERFORMANCE_INPUT = f"""(SELECT count(*) AS row_count, sum(label)::BIGINT AS positive_label_count, avg({_S}) AS avg_s,
    avg(label) AS rate FROM v_observed) i"""
-_PERFORMANCE_ALERTS = _alerts_sql(_PERFORMANCE_RULES, _PERFORMANCE_INPUT)
+_PERFORMANCE_ALERTS_TOLD = _alerts_sql(_PERFORMANCE_RULES, _PERFORMANCE_INPUT)
+_PERFORMANCE_ALERTS = f"SELECT * EXCLUDE (message) FROM ({_PERFORMANCE_ALERTS_TOLD}) told"
 
 
 @query("performance_alerts", _PERFORMANCE_ALERTS)
@@ -328,15 +424,14 @@ def performance_alerts(spark, sf):
 @query(
     "alerts_table",
     f"""SELECT TIMESTAMP '2024-01-27 02:00:00' AS monitor_run_ts, '{RUN_LABEL}' AS run_label, mode, severity, check_name,
-        metric_name, observed_value, threshold_value, reference_value, '{{}}' AS context_json, '20240126' AS pt
-        FROM (SELECT 'daily' AS mode, * FROM ({_DAILY_ALERTS}) d
-              UNION ALL SELECT 'performance' AS mode, * FROM ({_PERFORMANCE_ALERTS}) p) a""",
+        metric_name, observed_value, threshold_value, reference_value, message, '{{}}' AS context_json, '20240126' AS pt
+        FROM (SELECT 'daily' AS mode, * FROM ({_DAILY_ALERTS_TOLD}) d
+              UNION ALL SELECT 'performance' AS mode, * FROM ({_PERFORMANCE_ALERTS_TOLD}) p) a""",
 )
 def alerts_table(spark, sf):
-    """Without the message texts."""
     daily = A.alert_rows(A.daily_alerts(_daily_inputs(spark, sf)), I.SCORING_PT, "daily", RUN_LABEL, I.RUN_TS)
     late = A.alert_rows(A.performance_alerts(_performance(spark, sf)), I.SCORING_PT, "performance", RUN_LABEL, I.RUN_TS)
-    return daily.unionByName(late).drop("message")
+    return daily.unionByName(late)
 
 
 
