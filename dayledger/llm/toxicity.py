@@ -10,13 +10,17 @@ weights cannot say. Every text is scored whole, in one narrow pass.
 
 Both kinds of rows weigh the same in the fit, in which an even score of 0.5 means no evidence either way.
 
+Linear weights and pairs see a text on different scales. A pair may matter though neither of its terms tells anything
+alone, so the factors know no such evidence: every term has the value 1/sqrt(number of terms). A linear weight can only
+say what a term tells alone, so its value follows the term's own evidence, the standard errors by which its share of
+toxic rows stands out, up to `evidence`; the values of a text have length one at most. Terms without evidence fade
+out there gradually instead of adding the noise of thousands of weights.
+
 The fit uses a bounded sample of the labelled rows (`FmSettings.sample_rows`, drawn by a hash of the id, so it does
 not depend on partitions); all of them where there are fewer. The sample is chosen on the label table before any
 text is read, and is small enough to be sent to the tasks that hold the texts, so no text is shuffled. Its term
 lists, not its texts, meet in one task for the fit: one list an id, at most `sample_rows` lists. Every bucket that
-`min_rows` of them have takes part, also one that tells nothing alone, as it may in a pair. In the value of its terms a text
-is scaled to length one twice: over the terms that tell something alone and over the many others, which so do not drown
-the first; the weights of the others move by smaller steps.
+`min_rows` of them have takes part.
 
 Defined cases: a NULL or empty text has no terms and scores the intercept; a label that is NULL or belongs to no
 document is not used; several labels of one id count as toxic if one does; repeated documents are scored each, and
@@ -42,33 +46,34 @@ WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class FmSettings:
-    """`sample_rows` bounds the labelled rows of the fit; a bucket takes part if `min_rows` of them have it, and tells
-    something alone if its share of toxic ones stands out by `min_z`; steps of other buckets are `other_step` of full ones."""
+    """`sample_rows` bounds the labelled rows of the fit; a bucket takes part if `min_rows` of them have it. A linear
+    value is (standard errors / `evidence`) to the power `sharpness`, at most one."""
 
     bits: int = 20
     factors: int = 4
     prefixes: tuple[int, ...] = (4, 5, 6)
     sample_rows: int = 20_000
     min_rows: int = 3
-    min_z: float = 3.0
-    other_step: float = 0.1
-    updates: int = 3_000
+    evidence: float = 3.0
+    sharpness: int = 4
+    updates: int = 1_500
     batch_rows: int = 64
     step: float = 0.1
     decay: float = 1e-5
+    spread: float = 0.1
     seed: int = 7
 
 
 @dataclass(frozen=True)
 class FmModel:
-    """Weights of the buckets in `kept` (sorted), and which of them tell something alone; other buckets weigh nothing."""
+    """Weights of the buckets in `kept` (sorted), and the evidence of each alone; other buckets weigh nothing."""
 
     settings: FmSettings
     intercept: float
     kept: np.ndarray
     linear: np.ndarray
     factors: np.ndarray
-    telling: np.ndarray
+    alone: np.ndarray
 
 
 def term_buckets(text: str, settings: FmSettings, cache: dict[str, tuple[int, ...]]) -> set[int]:
@@ -98,22 +103,21 @@ def _row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return sums[ends[1:]] - sums[ends[:-1]]
 
 
-def _term_values(telling: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The scale of each row, and the values of its terms before it: rows of length one over either kind of terms."""
-    alone = np.maximum(_row_sums(telling.astype(np.float64), ends), 1)
-    others = np.maximum(_row_sums((~telling).astype(np.float64), ends), 1)
-    return 1.0 / np.sqrt(alone), np.where(telling, 1.0, np.repeat(np.sqrt(alone / others), np.diff(ends)))
+def _term_values(alone: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Linear and pair values of the terms of each row, and the row of each term."""
+    n = np.diff(ends)
+    of = np.repeat(np.arange(len(n)), n)
+    length = np.sqrt(np.maximum(_row_sums(alone * alone, ends), 1.0))
+    return alone / length[of], (1.0 / np.sqrt(np.maximum(n, 1)))[of], of
 
 
-def _raw_scores(intercept, linear, factors, slots, ends, x, values=1.0):
-    """Scores before the logistic function, and the per-row factor sums; x: the scale of each row's term values."""
-    each = np.diff(ends)
-    values = np.broadcast_to(values, len(slots))
-    v = factors[slots] * values[:, None]
-    first = _row_sums(linear[slots] * values, ends) * x
-    summed = _row_sums(v, ends) * x[:, None]
-    squares = _row_sums(v * v, ends) * (x * x)[:, None]
-    return intercept + first + 0.5 * (summed**2 - squares).sum(axis=1), summed, each
+def _raw_scores(intercept, linear, factors, alone, slots, ends):
+    """Scores before the logistic function; also the scaled factors, their row sums, and the values of the terms."""
+    own, paired, of = _term_values(alone[slots], ends)
+    v = factors[slots] * paired[:, None]
+    summed = _row_sums(v, ends)
+    raw = intercept + _row_sums(linear[slots] * own, ends) + 0.5 * (summed**2 - _row_sums(v * v, ends)).sum(axis=1)
+    return raw, v, summed, own, paired, of
 
 
 def _logistic(z: np.ndarray) -> np.ndarray:
@@ -121,39 +125,40 @@ def _logistic(z: np.ndarray) -> np.ndarray:
 
 
 def _common_buckets(values: np.ndarray, ends: np.ndarray, labels: np.ndarray, settings: FmSettings) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets in `min_rows` rows, and whether their share of toxic ones differs by `min_z` standard errors from that of all."""
+    """Buckets in `min_rows` rows, and what each tells alone, from 0 to 1."""
     size, share = 1 << settings.bits, labels.mean()
     rows = np.bincount(values, minlength=size)
     toxic = np.bincount(values, np.repeat(labels, np.diff(ends)), size)
-    z = np.abs(toxic - rows * share) / np.sqrt(np.maximum(rows, 1) * share * (1 - share))
+    errors = np.abs(toxic - rows * share) / np.sqrt(np.maximum(rows, 1) * share * (1 - share))
     kept = np.flatnonzero(rows >= settings.min_rows)
-    telling = z[kept] >= settings.min_z
-    return kept, telling if telling.any() else np.ones(len(kept), dtype=bool)
+    return kept, np.minimum(1.0, errors[kept] / settings.evidence) ** settings.sharpness
+
+
+def _slots(values: np.ndarray, ends: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in `kept` of the values that are there, and the row ends over these."""
+    at = np.searchsorted(kept, values)
+    at[at == len(kept)] = 0
+    inside = kept[at] == values
+    return at[inside], np.concatenate([[0], np.cumsum(inside, dtype=np.int64)])[ends]
 
 
 def fit_sample(lists: list[np.ndarray], labels: np.ndarray, settings: FmSettings) -> FmModel:
     """Minimise the logistic loss by mini-batches, with steps that shrink per weight as its gradients add up."""
     share = float(labels.mean()) if len(labels) else 0.0
-    none = FmModel(settings, share, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, settings.factors)), np.zeros(0, bool))
+    none = FmModel(settings, share, np.zeros(0, np.int64), np.zeros(0), np.zeros((0, settings.factors)), np.zeros(0))
     if share in (0.0, 1.0):
         return none
     values, ends = _ragged(lists)
-    kept, telling = _common_buckets(values, ends, labels, settings)
+    kept, alone = _common_buckets(values, ends, labels, settings)
     if not len(kept):
         return none
-    slot_of = np.full(1 << settings.bits, -1, dtype=np.int32)
-    slot_of[kept] = np.arange(len(kept))
-    slots = slot_of[values]
-    inside = slots >= 0
-    ends = np.concatenate([[0], np.cumsum(inside, dtype=np.int64)])[ends]
-    slots = slots[inside]
+    slots, ends = _slots(values, ends, kept)
     rng = np.random.default_rng(settings.seed)
     linear = np.zeros(len(kept))
-    factors = rng.normal(0, 0.01, (len(kept), settings.factors))
+    factors = rng.normal(0, settings.spread, (len(kept), settings.factors))
     intercept = 0.0
     seen_linear, seen_factors = np.full(len(kept), 1e-2), np.full(factors.shape, 1e-2)
     # rare toxic rows weigh as much as the many clean ones together
-    pace = settings.step * np.where(telling, 1.0, settings.other_step)
     weights = np.where(labels > 0, 0.5 / share, 0.5 / (1 - share))
     for _ in range(-(-settings.updates * settings.batch_rows // len(labels))):
         order = rng.permutation(len(labels))
@@ -161,39 +166,33 @@ def fit_sample(lists: list[np.ndarray], labels: np.ndarray, settings: FmSettings
             rows = order[start : start + settings.batch_rows]
             n = ends[rows + 1] - ends[rows]
             stop = np.concatenate([[0], np.cumsum(n)])
-            at = np.repeat(ends[rows] - stop[:-1], n) + np.arange(stop[-1])
-            part = slots[at]
-            x, each = _term_values(telling[part], stop)
-            raw, summed, _ = _raw_scores(intercept, linear, factors, part, stop, x, each)
+            part = slots[np.repeat(ends[rows] - stop[:-1], n) + np.arange(stop[-1])]
+            raw, v, summed, own, paired, of = _raw_scores(intercept, linear, factors, alone, part, stop)
             off = (_logistic(raw) - labels[rows]) * weights[rows] / len(rows)
             intercept -= settings.step * float(off.sum())
             if not len(part):
                 continue
             used, where = np.unique(part, return_inverse=True)
-            of = np.repeat(np.arange(len(rows)), n)
-            each = each * x[of]
-            g = np.bincount(where, off[of] * each, len(used)) + settings.decay * linear[used]
+            g = np.bincount(where, off[of] * own, len(used)) + settings.decay * linear[used]
             seen_linear[used] += g * g
-            linear[used] -= pace[used] * 10 * g / np.sqrt(seen_linear[used])
+            linear[used] -= settings.step * 10 * g / np.sqrt(seen_linear[used])
             for f in range(settings.factors):
-                gf = np.bincount(where, off[of] * each * (summed[of, f] - factors[part, f] * each), len(used))
-                gf += settings.decay * factors[used, f]
+                gf = np.bincount(where, off[of] * paired * (summed[of, f] - v[:, f]), len(used)) + settings.decay * factors[used, f]
                 seen_factors[used, f] += gf * gf
-                factors[used, f] -= pace[used] * gf / np.sqrt(seen_factors[used, f])
-    return FmModel(settings, intercept, kept, linear, factors, telling)
+                factors[used, f] -= settings.step * gf / np.sqrt(seen_factors[used, f])
+    return FmModel(settings, intercept, kept, linear, factors, alone)
 
 
-def score_texts(texts: list[str], model: FmModel, cache: dict) -> np.ndarray:
+def score_lists(lists: list[np.ndarray], model: FmModel) -> np.ndarray:
+    """Scores of texts given as sorted buckets of their terms."""
     if not len(model.kept):
-        return np.full(len(texts), model.intercept)
-    lists = [np.fromiter(s, np.int64, len(s)) for s in (term_buckets(t, model.settings, cache) for t in texts)]
-    values, ends = _ragged(lists)
-    at = np.searchsorted(model.kept, values)
-    at[at == len(model.kept)] = 0
-    inside = model.kept[at] == values
-    ends = np.concatenate([[0], np.cumsum(inside, dtype=np.int64)])[ends]
-    x, each = _term_values(model.telling[at[inside]], ends)
-    return _logistic(_raw_scores(model.intercept, model.linear, model.factors, at[inside], ends, x, each)[0])
+        return np.full(len(lists), model.intercept)
+    slots, ends = _slots(*_ragged(lists), model.kept)
+    return _logistic(_raw_scores(model.intercept, model.linear, model.factors, model.alone, slots, ends)[0])
+
+
+def score_texts(texts: list[str], model: FmModel, cache: dict) -> np.ndarray:
+    return score_lists([np.fromiter(s, np.int64, len(s)) for s in (term_buckets(t, model.settings, cache) for t in texts)], model)
 
 
 def train(
@@ -226,7 +225,7 @@ def train(
             return
         m = fit_sample(lists, np.concatenate(marks), settings)
         yield pa.RecordBatch.from_pydict(
-            {"i": [m.intercept], "k": [m.kept.tobytes()], "w": [m.linear.tobytes()], "v": [m.factors.tobytes()], "t": [m.telling.tobytes()]}
+            {"i": [m.intercept], "k": [m.kept.tobytes()], "w": [m.linear.tobytes()], "v": [m.factors.tobytes()], "t": [m.alone.tobytes()]}
         )
 
     terms = rows.select("key", "body", F.col("y").cast("double")).mapInArrow(features, "key long, terms array<int>, y double")
@@ -240,7 +239,7 @@ def train(
         return fit_sample([], np.zeros(0), settings)
     return FmModel(
         settings, fitted.i, np.frombuffer(fitted.k, np.int64), np.frombuffer(fitted.w),
-        np.frombuffer(fitted.v).reshape(-1, settings.factors), np.frombuffer(fitted.t, bool),
+        np.frombuffer(fitted.v).reshape(-1, settings.factors), np.frombuffer(fitted.t),
     )
 
 

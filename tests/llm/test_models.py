@@ -4,6 +4,7 @@ import collections
 import math
 import re
 import zlib
+from dataclasses import replace
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -118,29 +119,49 @@ def test_bundles_equal_the_definition():
     assert (language_id._bundle(codes, rows, 1, 64, 3)[0] == want).all()
 
 
-def test_toxicity_learns_pairs_that_linear_weights_miss():
-    rng = np.random.default_rng(1)
-    settings = toxicity.FmSettings(bits=10, updates=3000, min_z=0.0)
+def paired_rows(rows, seed, telling):
+    """Toxic if two terms agree, of which neither tells anything alone, amid 30 neutral words; some by a telling term."""
+    rng = np.random.default_rng(seed)
     lists, labels = [], []
-    for _ in range(1500):
+    for _ in range(rows):
         x, y = rng.integers(0, 2, 2)
-        lists.append(np.array([1 if x else 2, 3 if y else 4]))
-        labels.append(float(x == y))  # neither term tells anything alone
-    model = toxicity.fit_sample(lists, np.array(labels), settings)
-    values, ends = toxicity._ragged([np.searchsorted(model.kept, t) for t in ([1, 3], [1, 4], [2, 3], [2, 4])])
-    raw, *_ = toxicity._raw_scores(model.intercept, model.linear, model.factors, values, ends, np.full(4, 1 / np.sqrt(2)))
-    assert (toxicity._logistic(raw) > 0.5).tolist() == [True, False, False, True]
-
-
-def test_toxicity_learns_pairs_with_default_settings():
-    rng = np.random.default_rng(1)
-    pairs = rng.integers(0, 2, (1500, 2))
-    lists = [np.array([1 if x else 2, 3 if y else 4]) for x, y in pairs]
-    model = toxicity.fit_sample(lists, (pairs[:, 0] == pairs[:, 1]).astype(float), toxicity.FmSettings())
-    assert model.kept.tolist() == [1, 2, 3, 4]  # none tells anything alone
-    values, ends = toxicity._ragged([np.searchsorted(model.kept, t) for t in ([1, 3], [1, 4], [2, 3], [2, 4])])
-    raw, *_ = toxicity._raw_scores(model.intercept, model.linear, model.factors, values, ends, *toxicity._term_values(model.telling[values], ends))
-    assert (toxicity._logistic(raw) > 0.5).tolist() == [True, False, False, True]
+        terms, toxic = [1 if x else 2, 3 if y else 4, *(rng.choice(400, 30, replace=False) + 100)], float(x == y)
+        if telling and rng.random() < 0.2:
+            terms, toxic = [*terms, 9], 1.0
+        lists.append(np.sort(terms))
+        labels.append(toxic)
+    return lists, np.array(labels)
+
+
+def area(scores, labels):
+    ranks = np.argsort(np.argsort(scores, kind="stable"))
+    positive = labels > 0
+    return (ranks[positive].sum() - positive.sum() * (positive.sum() - 1) / 2) / (positive.sum() * (~positive).sum())
+
+
+def test_toxicity_learns_pairs_amid_ordinary_words():
+    for telling in (False, True):
+        for seed in (1, 2):
+            lists, labels = paired_rows(3000, seed, telling)
+            model = toxicity.fit_sample(lists, labels, toxicity.FmSettings())
+            asked, truth = paired_rows(800, 100 + seed, telling)
+            assert area(toxicity.score_lists(asked, model), truth) > 0.95
+            # linear weights alone miss them
+            plain = replace(model, factors=np.zeros_like(model.factors))
+            assert area(toxicity.score_lists(asked, plain), truth) < 0.8
+
+
+def test_scores_equal_the_sum_over_all_pairs():
+    rng = np.random.default_rng(3)
+    settings = toxicity.FmSettings(factors=3)
+    model = toxicity.FmModel(settings, 0.3, np.arange(2, 12), rng.normal(size=10), rng.normal(size=(10, 3)), rng.random(10))
+    lists = [np.array([], dtype=np.int64), np.array([2, 5, 7, 99]), np.array([0, 1]), np.arange(2, 12)]
+    for terms, found in zip(lists, toxicity.score_lists(lists, model)):
+        at = [t - 2 for t in terms if 2 <= t < 12]
+        length = max(1.0, np.sqrt(sum(model.alone[i] ** 2 for i in at)))
+        z = 0.3 + sum(model.linear[i] * model.alone[i] / length for i in at)
+        z += sum(model.factors[i] @ model.factors[j] / len(at) for n, i in enumerate(at) for j in at[:n])
+        assert abs(found - 1 / (1 + np.exp(-z))) < 1e-12
 
 
 def test_toxicity_fits_one_row_of_an_id(spark):
