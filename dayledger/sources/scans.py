@@ -70,6 +70,7 @@ def reference_partition(listing: DataFrame, current_pt: str, wanted: str | None
 
 
 def partition_row_count(table: DataFrame, pt: str) -> DataFrame:
+    """Rows of one partition, and whether it has any: only the partition's files are opened, and no column is read."""
     counted = table.where(F.col("pt") == pt).agg(F.count(F.lit(1)).alias("row_count"))
     return counted.select(F.lit(pt).alias("pt"), "row_count", (F.col("row_count") > 0).alias("partition_exists"))
 
@@ -94,6 +95,12 @@ def schema_inventory(schema: T.StructType, partition_columns: Iterable[str] = ("
     ]
 
 
+def catalog_inventory(spark: SparkSession, name: str) -> DataFrame:
+    """(column_name, data_type, comment, is_partition) of a catalog table, as the catalog tells it; one row a column."""
+    rows = [(c.name, c.dataType, c.description or "", c.isPartition) for c in spark.catalog.listColumns(name)]
+    return spark.createDataFrame(rows, "column_name string, data_type string, comment string, is_partition boolean")
+
+
 def sample_rows(table: DataFrame, pt: str, rows: int = 5) -> DataFrame:
     """A few rows of one partition, the same ones on every run."""
     return table.where(F.col("pt") == pt).orderBy("player_id").limit(rows)

@@ -14,12 +14,51 @@ _TYPES = {
 }
 
 
+# What the columns of the dataset and of the scores hold, as the catalog tells readers.
+COMMENTS = {
+    "player_id": "player",
+    "assignment_date": "day the row describes",
+    "treatment_timestamp": "first voucher or message of the day",
+    "treatment_flag": "1 if the player was treated that day",
+    "raw_assignment_event_count": "vouchers and messages of the day",
+    "has_voucher_treatment": "1 if a voucher was given",
+    "has_sms_treatment": "1 if a message was delivered",
+    "feature_snapshot_date": "last day the features look at",
+    "recency_last_bet_to_t": "days since the last bet",
+    "feature_create_time": "when the features were made",
+    "data_version": "version of the features",
+    "vip_level": "segment, absent for some players",
+    "outcome_gross_bet_3d_value": "bets of the three days after the assignment day",
+    "outcome_gross_ggr_3d_value": "gross gaming revenue of these days",
+    "outcome_source_row_count_3d": "bet rows of these days",
+    "outcome_distinct_source_keys_3d": "different days and sites among them",
+    "first_outcome_event_date": "first day with a bet",
+    "last_outcome_event_date": "last day with a bet",
+    "response_label_positive_3d": "1 if the bets of these days are above zero",
+    "score_date": "day the score is for",
+    "predicted_response_score": "probability of a response",
+    "score_rank": "rank by score, best first",
+    "score_percentile": "1 for the best rank",
+}
+
+
+def comment_of(column: str) -> str:
+    """The comment of a column; features of a window say which days they cover."""
+    days = {"_7d": "of the 7 days before", "_30d": "of the 30 days before"}
+    for end, text in days.items():
+        if column.endswith(end) and column not in COMMENTS:
+            return f"{column.removesuffix(end).split('_', 1)[1].replace('_', ' ')} {text}"
+    return COMMENTS.get(column, "")
+
+
 def _schema(text: str, partition_note: str) -> T.StructType:
     """Build a schema from lines of `type: name, name, ...`; `pt` comes last."""
     fields = []
     for line in text.strip().splitlines():
         kind, names = line.split(":")
-        fields += [T.StructField(name.strip(), _TYPES[kind.strip()], True) for name in names.split(",")]
+        for name in map(str.strip, names.split(",")):
+            note = comment_of(name)
+            fields.append(T.StructField(name, _TYPES[kind.strip()], True, {"comment": note} if note else None))
     fields.append(T.StructField("pt", T.StringType(), True, {"comment": partition_note}))
     return T.StructType(fields)
 

@@ -92,10 +92,12 @@ def drop_expired(spark: SparkSession, path: str, listing: DataFrame, as_of: date
 
 
 def create_table_sql(name: str, table: str, location: str | None = None) -> str:
-    """DDL of one of the produced tables, registered in the catalog under `name`."""
-    columns = ",\n  ".join(
-        f"{f.name} {f.dataType.simpleString()}" for f in TABLES[table].fields
-    )
+    """DDL of one of the produced tables with its column comments, registered in the catalog under `name`."""
+    def column(field: T.StructField) -> str:
+        note = (field.metadata or {}).get("comment", "").replace("'", "\\'")
+        return f"{field.name} {field.dataType.simpleString()}" + (f" COMMENT '{note}'" if note else "")
+
+    columns = ",\n  ".join(map(column, TABLES[table].fields))
     where = f"\nLOCATION '{location}'" if location else ""
     return (
         f"CREATE TABLE IF NOT EXISTS {name} (\n  {columns}\n) USING parquet\nPARTITIONED BY (pt){where}\n"

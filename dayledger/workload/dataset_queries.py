@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import dataset as D
 from ..operators import profiling as P
 from ..operators import splits as S
+from ..session import fresh_path
 from ..sources import fixtures as fx
 from ..sources import scans, sinks
-from ..sources.schemas import NUMERIC_FEATURES, RESPONSE_DATASET, RESPONSE_SCORES
+from ..sources.schemas import NUMERIC_FEATURES, RESPONSE_DATASET, RESPONSE_SCORES, comment_of
 from . import inputs as I
 from .registry import query, rounded, rounded_sql
 
@@ -69,14 +72,22 @@ def split_row_counts(spark, sf):
     return scans.split_row_counts(I.base(spark, sf, first, last), windows)
 
 
-@query("schema_inventory")
+_INVENTORY_SQL = " UNION ALL ".join(
+    f"""SELECT '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, '{comment_of(f.name) or f.metadata.get("comment", "")}' AS comment,
+        {str(f.name == "pt").lower()} AS is_partition, count(*) FILTER (WHERE {f.name} IS NULL) AS missing_rows,
+        round(count(*) FILTER (WHERE {f.name} IS NULL) / count(*) + 1e-9, 6) AS missing_rate FROM v_response"""
+    for f in RESPONSE_DATASET.fields
+)
+
+
+@query("schema_inventory", _INVENTORY_SQL)
 def schema_inventory(spark, sf):
-    """The schema of the dataset next to the missing rows of each column."""
-    inventory = spark.createDataFrame(
-        scans.schema_inventory(RESPONSE_DATASET),
-        "column_name string, data_type string, comment string, is_partition boolean",
-    )
-    return inventory.join(P.missingness(I.response(spark, sf)), "column_name")
+    """The columns of the dataset with the comments that the catalog gives back, next to the missing rows of each."""
+    path, name = fresh_path(spark, "inventory"), f"inventory_{uuid.uuid4().hex}"
+    spark.sql(sinks.create_table_sql(name, "response_dataset", path))
+    inventory = scans.catalog_inventory(spark, name)
+    spark.sql(f"DROP TABLE {name}")
+    return rounded(inventory.join(P.missingness(I.response(spark, sf)), "column_name"))
 
 
 @query(
@@ -88,9 +99,23 @@ def expired_partitions(spark, sf):
     return sinks.expired_partitions(fx.partition_days(spark, sf), I.AS_OF, 14)
 
 
-@query("sample_rows")
+@query("sample_rows", rounded_sql("SELECT * FROM v_response WHERE pt = '20240126' ORDER BY player_id LIMIT 5", _DATASET_DOUBLES))
 def sample_rows(spark, sf):
-    return scans.sample_rows(I.response(spark, sf, I.MATURE_PT, I.MATURE_PT), I.MATURE_PT)
+    return rounded(scans.sample_rows(I.response(spark, sf, I.MATURE_PT, I.MATURE_PT), I.MATURE_PT))
+
+
+@query(
+    "partition_row_count",
+    """SELECT d.pt, count(r.pt) AS row_count, count(r.pt) > 0 AS partition_exists
+       FROM (VALUES ('20240110'), ('20240126'), ('20240301')) AS d(pt) LEFT JOIN v_response r ON r.pt = d.pt GROUP BY d.pt""",
+)
+def partition_row_count(spark, sf):
+    """Rows of written partitions and of one that is not there."""
+    path = fresh_path(spark, "response_dataset")
+    sinks.write_dataset(I.response(spark, sf), path, RESPONSE_DATASET)
+    table = sinks.read_table(spark, path, RESPONSE_DATASET)
+    counted = [scans.partition_row_count(table, pt) for pt in ("20240110", "20240126", "20240301")]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
 @query(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.stat import Summarizer
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import contracts as V
 from ..operators import evaluation as E
 from ..operators import models as M
+from ..operators import optimality as O
 from ..operators import profiling as P
 from ..plans import dataset_run, monitoring_run, scoring_run, training_run
 from ..session import cut_lineage, fresh_path
@@ -143,7 +145,17 @@ def scoring_run_summary(spark, sf):
     return rounded(scoring_run.run_summary(written, I.SCORING_PT, I.THRESHOLD, counts))
 
 
-@query("write_monitoring")
+@query(
+    "write_monitoring",
+    """SELECT 'monitoring_daily' AS table_name, '20240126' AS pt, 1 + count(DISTINCT coalesce(vip_level, '__missing__')) AS row_count FROM v_scores WHERE pt = '20240126'
+       UNION ALL SELECT 'monitoring_performance', '20240126', 1
+       UNION ALL SELECT 'monitoring_alerts', '20240126', alerts FROM (
+           SELECT (abs(n / before - 1) >= 0.1 AND n < before OR n / before - 1 >= 0.15)::BIGINT + (top < 0.01 OR top > 0.7)::BIGINT + (bare > 0.05)::BIGINT
+                + (n < 1000)::BIGINT + (positives < 25)::BIGINT + (rate <= 0.01)::BIGINT + (gap >= 0.08)::BIGINT AS alerts
+           FROM (SELECT count(*) AS n, avg((response_priority_bucket IN ('very_high', 'high'))::INT) AS top, avg((vip_level IS NULL)::INT) AS bare FROM v_scores WHERE pt = '20240126') s,
+                (SELECT count(*) AS before FROM fx_feature_mart WHERE pt = '20240125' AND is_eligible = 1) r,
+                (SELECT sum(label) AS positives, avg(label) AS rate, abs(avg(predicted_response_score) - avg(label)) AS gap FROM v_observed) o) c WHERE alerts > 0""",
+)
 def write_monitoring(spark, sf):
     """Both partitions published, the later one monitored, the three tables read back."""
     folder = fresh_path(spark, "monitoring")
@@ -300,7 +312,15 @@ def gbt_importance(spark, sf):
     return M.gbt_importance(model, names, fresh_path(spark, "trees"), spark)
 
 
-@query("feature_contract")
+_NUMERIC_SLOTS = ", ".join(f"({i}, '{f}')" for i, f in enumerate(NUMERIC_FEATURES))
+
+
+@query(
+    "feature_contract",
+    f"""SELECT slot::INT AS slot, feature FROM (VALUES {_NUMERIC_SLOTS}) AS n(slot, feature)
+        UNION ALL SELECT ({len(NUMERIC_FEATURES)} + row_number() OVER (ORDER BY level COLLATE C) - 1)::INT, concat('vip_level_', level)
+        FROM (SELECT DISTINCT coalesce(vip_level, '__missing__') AS level FROM {_TRAIN}) levels""",
+)
 def feature_contract(spark, sf):
     """Names of the model inputs in vector order, after checking the fitted pipeline against the declared features."""
     model = M.fit_logistic_regression(_train_only(spark, sf))
@@ -308,6 +328,67 @@ def feature_contract(spark, sf):
     return spark.createDataFrame(list(enumerate(names)), "slot int, feature string")
 
 
+# --- proofs of the fits: what holds at an optimum, recomputed from the rows ------------------
+
+_SLOTS = f"""SELECT '(intercept)' AS feature UNION ALL SELECT feature FROM (VALUES {_NUMERIC_SLOTS}) AS n(slot, feature)
+   UNION ALL SELECT DISTINCT concat('vip_level_', coalesce(vip_level, '__missing__')) FROM {_TRAIN}"""
+#: How far from zero the gradient of the mean loss may be: the fitter stops by the change of the loss.
+GRADIENT_TOLERANCE = 5e-5
+
+
+@query("lr_optimality", f"SELECT feature, true AS optimal, true AS penalty_balances_data FROM ({_SLOTS}) s")
+def lr_optimality(spark, sf):
+    """Every slot of the fitted linear model: the gradient vanishes, as the data pull as much as the penalty holds."""
+    train = _train_only(spark, sf)
+    slots = O.logistic_gradient(M.fit_logistic_regression(train), train)
+    near = F.abs(F.col("data_gradient") + F.col("penalty")) <= GRADIENT_TOLERANCE
+    return slots.select("feature", (F.abs("gradient") <= GRADIENT_TOLERANCE).alias("optimal"), near.alias("penalty_balances_data"))
+
+
+@query(
+    "score_splits_checked",
+    """SELECT split, count(*) AS row_count, sum(target)::BIGINT AS positives, count(DISTINCT (player_id, assignment_date)) AS distinct_rows,
+       true AS scores_are_probabilities, true AS scores_follow_from_coefficients FROM v_splits GROUP BY split""",
+)
+def score_splits_checked(spark, sf):
+    """Scores of all splits by the fitted linear model, against intercept and coefficients by the inputs of each row."""
+    rows = cut_lineage(_training_rows(spark, sf))
+    model = M.fit_logistic_regression(rows.where("split = 'train'"))
+    scored = O.linear_scores(model, rows)
+    return scored.groupBy("split").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(M.TARGET).alias("positives"),
+        F.count_distinct("player_id", "assignment_date").alias("distinct_rows"),
+        F.min(F.col("score").between(0.0, 1.0)).alias("scores_are_probabilities"),
+        (F.max(F.abs(F.col("score") - F.col("recomputed"))) < 1e-9).alias("scores_follow_from_coefficients"),
+    )
+
+
+@query(
+    "gbt_audit",
+    """SELECT range::INT AS tree, true AS leaves_hold_rows_enough, true AS leaves_hold_means, true AS loss_falls, true AS splits_agree, true AS scores_agree
+       FROM range(200)""",
+)
+def gbt_audit(spark, sf):
+    """Every tree of the fitted ensemble, after routing all training rows through the saved nodes."""
+    train = _train_only(spark, sf)
+    model = M.fit_boosted_trees(train)
+    path = fresh_path(spark, "trees")
+    names = M.transformed_feature_names(model, scale=False)
+    trees = O.tree_audit(model, train, path, ["player_id", "assignment_date"])
+    # a split more per leaf but one; all splits of all trees are those the importances count
+    counted = M.gbt_importance(model, names, f"{path}-importance", spark).agg(F.sum("importance_split").alias("all_splits"))
+    total = F.sum(F.col("leaves") - 1).over(Window.partitionBy())  # one row a tree
+    return trees.withColumns({"splits": total, "all_splits": counted.scalar()}).select(
+        F.col("tree").cast("int").alias("tree"),
+        (F.col("smallest_leaf") >= 50).alias("leaves_hold_rows_enough"),
+        (F.col("leaf_error") < 1e-9).alias("leaves_hold_means"),
+        (F.col("loss_before").isNull() | (F.col("loss") <= F.col("loss_before"))).alias("loss_falls"),
+        (F.col("splits") == F.col("all_splits")).alias("splits_agree"),
+        (F.coalesce("score_error", F.lit(0.0)) < 1e-9).alias("scores_agree"),
+    )
+
+
 @query("score_splits")
 def score_splits(spark, sf):
     """Every labelled row with the score of the fitted linear model."""

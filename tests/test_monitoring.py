@@ -235,3 +235,21 @@ def test_feasibility_reasons(spark):
     ]
     good = X.feasibility(rows, maturity.select(F.lit(1.0).alias("matured_share")), timing, flags.where("imbalance_flag = 0")).first()
     assert good.true_uplift_feasible and not good.multi_treatment_uplift_feasible
+
+
+def test_catalog_tells_comments_and_partition(spark, tmp_path):
+    spark.sql(sinks.create_table_sql("told", "response_scores", str(tmp_path / "told")))
+    told = {r.column_name: (r.data_type, r.comment, r.is_partition) for r in scans.catalog_inventory(spark, "told").collect()}
+    spark.sql("DROP TABLE told")
+    assert told["score_rank"] == ("bigint", "rank by score, best first", False)
+    assert told["pt"] == ("string", "scored day, yyyymmdd", True)
+
+
+def test_counting_a_partition_reads_no_column(spark, tmp_path):
+    spark.range(10).selectExpr("id", "CAST(id % 2 AS STRING) AS pt").write.partitionBy("pt").parquet(str(tmp_path / "t"))
+    table = spark.read.schema("id long, pt string").parquet(str(tmp_path / "t"))
+    counted = scans.partition_row_count(table, "1")
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan and "PartitionFilters: [isnotnull(pt" in plan
+    assert counted.first() == ("1", 5, True)
+    assert scans.partition_row_count(table, "7").first() == ("7", 0, False)

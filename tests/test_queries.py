@@ -6,15 +6,13 @@ import __spark_entry__ as entry
 from dayledger.workload import load
 from tests.compare import difference
 
-SLOW_FITS = {"model_runs", "train_gbt", "segment_metrics_fitted", "score_splits"}
-
 
 @pytest.mark.parametrize("name", sorted(load.ORACLES))
 def test_equals_sql(spark, name):
     assert difference(spark, name, "0.001") is None
 
 
-@pytest.mark.parametrize("name", sorted(set(load.QUERIES) - set(load.ORACLES) - SLOW_FITS))
+@pytest.mark.parametrize("name", sorted(set(load.QUERIES) - set(load.ORACLES)))
 def test_gives_rows(spark, sf, name):
     assert not entry.queries()[name](spark, sf).isEmpty()
 
