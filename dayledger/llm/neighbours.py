@@ -8,7 +8,7 @@ that member. All of this is joins and groups of bounded size: a block, or a cell
 
 A search keeps, for each query, the best `beam` nodes seen. In each hop it sends the ones not yet expanded to the cells
 that hold them, where each node lies with the vectors of its neighbours, and takes back those neighbours that beat its worst one.
-It ends when no beam has a node left to expand. Vectors travel in half precision; the best found are scored again in double precision on
+It ends when no beam has a node left to expand. Vectors travel in half precision, each with a scale of its own; the best found are scored again in double precision on
 the original vectors. A query that is itself a node starts there; any other starts at a few fixed nodes.
 
 Defined cases: vectors that are NULL, zero, of another length than most, or hold a NULL or non-finite component take no
@@ -93,14 +93,45 @@ def _best(owner: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int, k: int
     return near, best
 
 
-def _nodes(vectors: DataFrame) -> DataFrame:
-    """(id, vec) of (id, embedding): the components in half precision."""
+#: A vector shorter than the largest by more than this counts as this long among the candidates; its direction stays.
+_SHORTEST = 1e-18
+
+
+def _unit(v: np.ndarray, largest: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows scaled to a largest component of one, and what that is beside the `largest` of all rows."""
+    own = np.abs(v).max(axis=1, keepdims=True)
+    return v / own, np.maximum(own / largest, _SHORTEST).astype(np.float32)
+
+
+def _decode(raw: np.ndarray) -> np.ndarray:
+    """Vectors of the rows of bytes that `_nodes` makes."""
+    scale = np.ascontiguousarray(raw[:, :4]).view(np.float32)
+    return np.ascontiguousarray(raw[:, 4:]).view(np.float16).astype(np.float32) * scale
+
+
+def _vectors(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return _decode(_matrix(column, np.uint8)) if len(column) else np.zeros((0, 1), np.float32)
+
+
+def largest_component(vectors: DataFrame) -> float:
+    """The largest absolute component of all vectors: one number."""
+    most = F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double"))))
+    return vectors.agg(F.max(most)).first()[0] or 1.0
+
+
+def _nodes(vectors: DataFrame, largest: float) -> DataFrame:
+    """(id, vec) of (id, embedding): a scale for the row in single precision, then its components in half precision.
+
+    Half precision alone would lose vectors of components over 65,504 or under a millionth.
+    """
 
     def run(batches):
         for batch in batches:
             column = batch.column("embedding")
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float16).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), _binary(flat)], ["id", "vec"])
+            if len(column):
+                v, scale = _unit(column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1), largest)
+                rows = np.concatenate([scale.view(np.uint8), v.astype(np.float16).view(np.uint8)], axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("id"), _binary(rows)], ["id", "vec"])
 
     return vectors.mapInArrow(run, "id bigint, vec binary")
 
@@ -117,7 +148,7 @@ def _blocks(nodes: DataFrame, s: GraphSettings, n: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            v = _matrix(batch.column("vec"), np.float16).astype(np.float32) if len(batch) else np.zeros((0, 1), np.float32)
+            v = _vectors(batch.column("vec"))
             rng = np.random.default_rng(s.seed)
             for tree in range(s.trees):
                 planes = rng.normal(size=(v.shape[1], planes_used + 1)).astype(np.float32)
@@ -136,7 +167,7 @@ def _blocks(nodes: DataFrame, s: GraphSettings, n: int) -> DataFrame:
 def _first_graph(nodes: DataFrame, s: GraphSettings, n: int) -> DataFrame:
     def inside(table: pa.Table) -> pa.Table:
         ids = table.column("id").to_numpy()
-        v = _matrix(table.column("vec"), np.float16).astype(np.float32)
+        v = _vectors(table.column("vec"))
         scores = v @ v.T
         scores[ids[:, None] == ids[None, :]] = -np.inf
         k = min(s.degree, len(ids))
@@ -196,7 +227,7 @@ def _descend(graph: DataFrame, s: GraphSettings, salt: int, n: int) -> DataFrame
     def meet(table: pa.Table) -> pa.Table:
         table = table.sort_by("center")
         center, ids = table.column("center").to_numpy(), table.column("id").to_numpy()
-        v, worst = _matrix(table.column("vec"), np.float16).astype(np.float32), table.column("worst").to_numpy()
+        v, worst = _vectors(table.column("vec")), table.column("worst").to_numpy()
         edges = np.flatnonzero(np.concatenate([[True], center[1:] != center[:-1], [True]]))
         out_ids, out_near, out_scores = [], [], []
         for a, b in zip(edges[:-1], edges[1:]):
@@ -227,9 +258,9 @@ def _descend(graph: DataFrame, s: GraphSettings, salt: int, n: int) -> DataFrame
     return _merged(graph.unionByName(met), s, n)
 
 
-def build_graph(vectors: DataFrame, s: GraphSettings = GraphSettings()) -> DataFrame:
+def build_graph(vectors: DataFrame, largest: float, s: GraphSettings = GraphSettings()) -> DataFrame:
     """(id, vec, near, scores) of distinct vectors (id, embedding)."""
-    nodes = cut_lineage(_nodes(vectors), "nodes")
+    nodes = cut_lineage(_nodes(vectors, largest), "nodes")
     n = nodes.count()
     graph = cut_lineage(_first_graph(nodes, s, n), "graph")
     # neighbours only get better, so the rounds end
@@ -250,7 +281,7 @@ def _rows(graph: DataFrame, s: GraphSettings, cells: int) -> DataFrame:
 
     def pack(table: pa.Table) -> pa.Table:
         table = table.sort_by("id")
-        ids, other, v = table.column("id").to_numpy(), table.column("other").to_numpy(), _matrix(table.column("vec"), np.float16)
+        ids, other, v = table.column("id").to_numpy(), table.column("other").to_numpy(), _matrix(table.column("vec"), np.uint8)
         edges = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1], [True]]))
         runs = list(zip(edges[:-1], edges[1:]))
         own = ids[edges[:-1]]
@@ -266,17 +297,20 @@ def _rows(graph: DataFrame, s: GraphSettings, cells: int) -> DataFrame:
     return linked.groupBy(parts).applyInArrow(pack, "cell bigint, id bigint, ids binary, vecs binary")
 
 
-def _started(queries: DataFrame, starts: list[int]) -> DataFrame:
-    """First states of (query, embedding, node): the query's own node, or the fixed ones."""
+def _started(queries: DataFrame, starts: list[int], largest: float) -> DataFrame:
+    """First states of (query, embedding, node): the query's own node, or the fixed ones.
+
+    A query is scaled to a largest component of one, which leaves the order of its candidates as it is.
+    """
 
     def run(batches):
         for batch in batches:
             rows = []
             for query, vector, node in zip(*(batch.column(c).to_pylist() for c in ("query", "embedding", "node"))):
-                v = np.array(vector, dtype=np.float32)
+                (v,), ((scale,),) = _unit(np.array([vector], dtype=np.float64), largest)
                 ids = np.array(starts if node is None else [node], dtype=np.int64)
-                scores = np.full(len(ids), -np.inf if node is None else float(v @ v), dtype=np.float32)
-                rows.append((query, v.tobytes(), ids.tobytes(), scores.tobytes(), bytes(len(ids)), len(ids)))
+                scores = np.full(len(ids), -np.inf if node is None else float(v @ v) * scale, dtype=np.float32)
+                rows.append((query, v.astype(np.float32).tobytes(), ids.tobytes(), scores.tobytes(), bytes(len(ids)), len(ids)))
             columns = zip(*rows) if rows else [[]] * 6
             kinds = [pa.int64(), *[pa.binary()] * 4, pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["query", "vec", "ids", "scores", "done", "open"])
@@ -308,8 +342,8 @@ def _expand(beam: int):
     def run(nodes: pa.Table, asked: pa.Table) -> pa.Table:
         place = {i: k for k, i in enumerate(nodes.column("id").to_pylist())} if len(nodes) else {}
         lists = [np.frombuffer(x, np.int64) for x in nodes.column("ids").to_pylist()] if place else []
-        packed = [np.frombuffer(x, np.float16) for x in nodes.column("vecs").to_pylist()] if place else []
-        vectors = [v.reshape(len(i), -1).astype(np.float32) for i, v in zip(lists, packed)]
+        packed = [np.frombuffer(x, np.uint8) for x in nodes.column("vecs").to_pylist()] if place else []
+        vectors = [_decode(v.reshape(len(i), -1)) for i, v in zip(lists, packed)]
         queries, out_ids, out_scores = [], [], []
         columns = [asked.column(c).to_pylist() for c in ("query", "vec", "worst", "ids")] if len(asked) else [[]] * 4
         for query, vec, worst, wanted in zip(*columns):
@@ -366,13 +400,13 @@ def _advance(beam: int):
     return run
 
 
-def search(graph: DataFrame, queries: DataFrame, s: GraphSettings = GraphSettings(), top: int = 40) -> DataFrame:
+def search(graph: DataFrame, queries: DataFrame, largest: float, s: GraphSettings = GraphSettings(), top: int = 40) -> DataFrame:
     """(query, id) of the `top` best nodes found for each of (query, embedding, node); node: where it starts, or NULL."""
     n = graph.count()
     cells = _cells_of(n, s.cell)
     starts = [r.id for r in graph.select("id").orderBy(F.xxhash64("id"), "id").limit(s.starts).collect()]
     rows = cut_lineage(_rows(graph, s, cells), "rows").repartition(cells, "cell").persist()
-    states = cut_lineage(_started(queries, starts), "states")
+    states = cut_lineage(_started(queries, starts, largest), "states")
     parts = F.pmod(F.xxhash64("query"), F.lit(_cells_of(queries.count(), s.cell // 10))).alias("part")
     # a node that has left a beam does not come back, so the hops end
     while not states.where("open > 0").isEmpty():
@@ -405,13 +439,14 @@ def nearest(
     rows = rows.select(F.col(id).cast("bigint").alias("vec_id"), F.col(embedding).alias("embedding"), queries.alias("asks"))
     rows = rows.where(F.size("embedding") == (common.n if common else 0))
     classes = cut_lineage(rows.groupBy("embedding").agg(F.min("vec_id").alias("id")), "classes")
-    graph = build_graph(classes, s)
+    largest = largest_component(classes)
+    graph = build_graph(classes, largest, s)
     members = cut_lineage(rows.join(classes, "embedding").select("id", "vec_id", "asks").distinct(), "members")
     exact = classes.select("id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     asked = members.where("asks").select(F.col("vec_id").alias("query"), F.col("id").alias("node")).join(
         classes.select(F.col("id").alias("node"), "embedding"), "node"
     )
-    found = search(graph, asked.select("query", "embedding", "node"), s, max(2 * k, k + 10))
+    found = search(graph, asked.select("query", "embedding", "node"), largest, s, max(2 * k, k + 10))
     pairs = found.join(exact.select("id", F.col("v").alias("b")), "id").join(
         asked.select("query", F.transform("embedding", lambda x: x.cast("double")).alias("a")), "query"
     )

@@ -19,6 +19,7 @@ yield no record.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ from ..session import cut_lineage, remove_cut
 MAGIC = "WARC/1.0\r\n"
 _END = "\r\n\r\n"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+# Fixed value: the profile of a revisit whose payload is that of the record it refers to.
+_SAME_PAYLOAD = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 Derived = dict[str, Callable[[Column], Column]]
@@ -44,8 +47,12 @@ def base32_sha1(payload: Column) -> Column:
 
 def write_archives(
     pages: DataFrame, path: str, id: str = "page_id", url: str = "url", payload: str = "html", least_bytes: int = 0,
+    written: datetime | None = None,
 ) -> None:
-    """Write one record a row to `path`; equal payloads of at least `least_bytes` bytes become revisits."""
+    """Write one record a row to `path`; equal payloads of at least `least_bytes` bytes become revisits.
+
+    `written` is the date of the records, by default now."""
+    stamp = (written or datetime.now(timezone.utc)).strftime("%Y-%m-%dT%H:%M:%SZ")
     body = F.coalesce(F.col(payload), F.lit(""))
     rows = pages.select(F.col(id).cast("bigint").alias("id"), F.col(url).alias("url"), body.alias("body"))
     rows = rows.withColumn("digest", base32_sha1(F.col("body").cast("binary")))
@@ -62,9 +69,10 @@ def write_archives(
         F.lit(MAGIC),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         line("WARC-Record-ID", urn("id")),
+        line("WARC-Date", F.lit(stamp)),
         line("WARC-Target-URI", safe_url),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
-        F.when(revisit, line("WARC-Refers-To", urn("target"))).otherwise(""),
+        F.when(revisit, F.concat(line("WARC-Refers-To", urn("target")), line("WARC-Profile", F.lit(_SAME_PAYLOAD)))).otherwise(""),
         line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", F.octet_length(block).cast("string")),
         F.lit("\r\n"),
@@ -74,7 +82,10 @@ def write_archives(
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(file, range, at, value): what follows each magic, in order within a byte range of a file."""
+    """(file, range, at, value): what follows each magic, in order within a byte range of a file.
+
+    `range` and `at` depend on how a scan happens to be cut; they order the pieces of one scan and name none in another.
+    """
     lines = spark.read.option("lineSep", MAGIC).text(path)
     return lines.select(
         F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"),
@@ -107,7 +118,8 @@ def _before(rows: DataFrame, value: Column, name: str, how: Callable[[Column], C
 
 def reachable(candidates: DataFrame) -> DataFrame:
     """(file, offset) of the candidates (file, offset, next) that the chain from offset 0 of their file reaches."""
-    known = candidates.select("file", F.col("offset").alias("next"), F.lit(True).alias("exists"))
+    # offsets compress so well that file sizes do not bound what a broadcast would hold: these joins merge
+    known = candidates.select("file", F.col("offset").alias("next"), F.lit(True).alias("exists")).hint("merge")
     chain = candidates.join(known, ["file", "next"], "left").select(
         "file", "offset", F.when(F.col("exists"), F.col("next")).alias("jump"), (F.col("offset") == 0).alias("reached")
     )
@@ -116,7 +128,7 @@ def reachable(candidates: DataFrame) -> DataFrame:
         marks = chain.where("reached and jump is not null").select("file", F.col("jump").alias("offset"), F.lit(True).alias("marked")).distinct()
         ahead = chain.select("file", F.col("offset").alias("jump"), F.col("jump").alias("far"))
         doubled = cut_lineage(
-            chain.join(ahead, ["file", "jump"], "left").join(marks, ["file", "offset"], "left").select(
+            chain.join(ahead.hint("merge"), ["file", "jump"], "left").join(marks.hint("merge"), ["file", "offset"], "left").select(
                 "file", "offset", F.col("far").alias("jump"), (F.col("reached") | F.coalesce("marked", F.lit(False))).alias("reached")
             ),
             "chain",
@@ -146,7 +158,7 @@ def read_archives(spark: SparkSession, path: str, derive: Derived | None = None)
     names = {"record_id": "WARC-Record-ID", "record_type": "WARC-Type", "uri": "WARC-Target-URI", "digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To"}
     own = _payload(F.col("value"), F.col("skip"), F.col("length"), F.col("http"))
     light = told.select(
-        "file", "range", "at", "bytes", "skip", "length", "http", "whole",
+        "file", "range", "at", "bytes", "skip", "length", "http", "whole", F.sha2(F.col("value").cast("binary"), 256).alias("content"),
         *[_field("header", n).alias(c) for c, n in names.items()],
         *[F.when(F.col("whole"), f(own)).alias(c) for c, f in derive.items()],
     )
@@ -159,7 +171,7 @@ def read_archives(spark: SparkSession, path: str, derive: Derived | None = None)
     candidates = placed.where("offset >= 0 and length is not null")
     after = F.col("offset") + step + F.col("skip") + F.col("length") + 4
     true = reachable(candidates.select("file", "offset", after.alias("next")))
-    records = candidates.join(true, ["file", "offset"])
+    records = candidates.join(true.hint("merge"), ["file", "offset"])
     columns = [*names, *derive]
     found = records.where("whole").select(*columns)
     broken = records.where("not whole").select("file", "offset", "skip", "length", "http", *names, after.alias("next"))
@@ -168,12 +180,16 @@ def read_archives(spark: SparkSession, path: str, derive: Derived | None = None)
         return found
     # the pieces of the records that hold a magic: those between their own offset and their successor's
     marked = placed.join(broken.select("file", "offset", F.lit(True).alias("opens")), ["file", "offset"], "left").join(
-        true.select("file", "offset", F.lit(True).alias("starts")), ["file", "offset"], "left"
+        true.select("file", "offset", F.lit(True).alias("starts")).hint("merge"), ["file", "offset"], "left"
     )
     owner = F.when(F.col("starts"), F.col("offset"))
     owned = _before(marked, owner, "owner", lambda c: F.last(c, ignorenulls=True), F.coalesce)
-    wanted = owned.join(broken.select("file", F.col("offset").alias("owner")), ["file", "owner"], "left_semi").select("file", "range", "at", "offset", "owner")
-    parts = pieces.join(cut_lineage(wanted, "wanted"), ["file", "range", "at"])
+    wanted = owned.join(broken.select("file", F.col("offset").alias("owner")), ["file", "owner"], "left_semi").select("file", "offset", "owner", "content")
+    # the second scan may be cut in other ways than the first, so a piece is found again by what it holds
+    wanted = cut_lineage(wanted, "wanted")
+    values = pieces.select(F.sha2(F.col("value").cast("binary"), 256).alias("content"), "value")
+    values = values.join(wanted.select("content").distinct().hint("merge"), "content", "left_semi").dropDuplicates(["content"])
+    parts = wanted.join(values, "content")
     # the bytes of one record
     joined = parts.groupBy("file", F.col("owner").alias("offset")).agg(F.array_sort(F.collect_list(F.struct("offset", "value"))).alias("parts"))
     whole = F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC)

@@ -56,6 +56,23 @@ def test_archives_round_trip_over_small_byte_ranges(spark):
     assert warc.read_archives(spark, empty).collect() == []
 
 
+def test_archives_read_by_other_ranges_than_they_were_looked_at(spark):
+    rows = [(i, "http://a", f"{FAKE}{i}" if i % 3 else f"plain {i}") for i in range(300)]
+    path, size = fresh_path(spark, "archives"), "spark.sql.files.maxPartitionBytes"
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), path)
+    before = spark.conf.get(size)
+    try:
+        for first, second in (("2000", "128m"), ("128m", "700")):
+            spark.conf.set(size, first)
+            records = warc.read_archives(spark, path)
+            spark.conf.set(size, second)
+            assert sorted(bytes(r.payload).decode() for r in records.collect()) == sorted(r[2] for r in rows)
+    finally:
+        spark.conf.set(size, before)
+    text = spark.read.option("lineSep", "\r\n\r\n").text(path).where("value LIKE 'WARC/1.0%WARC-Target-URI%'")
+    assert text.where("value NOT LIKE '%WARC-Date: 20__-__-__T%Z%'").isEmpty()
+
+
 def test_archive_query(spark, sf):
     rows = table(spark, sf, "pages").collect()
     last = {}
@@ -227,13 +244,31 @@ def test_neighbours_against_brute_force(spark):
     assert neighbours.nearest(frame.where("false"), F.col("vec_id") == 0).collect() == []
 
 
+def test_large_small_and_mixed_vectors(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(200, 8))
+    mixed = base * 10.0 ** rng.integers(-9, 7, (200, 1))
+    one_large = base * np.where(np.arange(200) == 77, 1e12, 1e-9)[:, None]
+    for vectors in (base * 1e6, base * 1e-9, mixed, one_large, base * 1e150):
+        frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+        found = collections.defaultdict(list)
+        for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0, k=10).orderBy("query_id", "rank").collect():
+            found[r.query_id].append(r.vec_id)
+        assert sorted(found) == list(range(0, 200, 20)) and all(len(x) == 10 for x in found.values())
+        hits = 0
+        for q, got in found.items():
+            scores = vectors @ vectors[q]
+            hits += len(set(got) & set([int(i) for i in np.lexsort((np.arange(200), -scores)) if i != q][:10]))
+        assert hits >= 0.95 * 100
+
+
 def test_graph_settles_from_poor_blocks(spark):
     assert [neighbours.planes_for(n, neighbours.GraphSettings()) for n in (0, 700, 64 * 500, 1_000_000)] == [6, 6, 6, 11]
     vectors = np.random.default_rng(4).normal(size=(1500, 12)).astype(np.float32)
     vectors /= np.linalg.norm(vectors, axis=1)[:, None]
     frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, embedding array<float>")
     settings = neighbours.GraphSettings(degree=10, sampled=10, trees=2, planes=1, block=12, sent=2)
-    graph = neighbours.build_graph(frame, settings).collect()
+    graph = neighbours.build_graph(frame, neighbours.largest_component(frame), settings).collect()
     scores = vectors @ vectors.T
     np.fill_diagonal(scores, -np.inf)
     best = np.argsort(-scores, axis=1)[:, :10]
