@@ -19,6 +19,7 @@ ties go to the smaller id; without valid vectors the result is empty.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from itertools import count
 
@@ -93,14 +94,15 @@ def _best(owner: np.ndarray, ids: np.ndarray, scores: np.ndarray, n: int, k: int
     return near, best
 
 
-#: A vector shorter than the largest by more than this counts as this long among the candidates; its direction stays.
-_SHORTEST = 1e-18
+#: Lengths of vectors beside the middle one, so that products of two stay within single precision. A vector beyond counts
+#: as this short or long during the search; its direction stays.
+_SHORTEST, _LONGEST = 1e-16, 1e16
 
 
-def _unit(v: np.ndarray, largest: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows scaled to a largest component of one, and what that is beside the `largest` of all rows."""
+def _unit(v: np.ndarray, middle: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows scaled to a largest component of one, and what that is beside the `middle` of all rows."""
     own = np.abs(v).max(axis=1, keepdims=True)
-    return v / own, np.maximum(own / largest, _SHORTEST).astype(np.float32)
+    return v / own, np.clip(own / middle, _SHORTEST, _LONGEST).astype(np.float32)
 
 
 def _decode(raw: np.ndarray) -> np.ndarray:
@@ -113,13 +115,14 @@ def _vectors(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return _decode(_matrix(column, np.uint8)) if len(column) else np.zeros((0, 1), np.float32)
 
 
-def largest_component(vectors: DataFrame) -> float:
-    """The largest absolute component of all vectors: one number."""
-    most = F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double"))))
-    return vectors.agg(F.max(most)).first()[0] or 1.0
+def middle_length(vectors: DataFrame) -> float:
+    """Half way, in orders of magnitude, between the vectors of the smallest and of the largest greatest component."""
+    most = F.log(F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double")))))
+    row = vectors.agg(F.min(most).alias("least"), F.max(most).alias("most")).first()  # two numbers
+    return 1.0 if row.least is None else math.exp((row.least + row.most) / 2)
 
 
-def _nodes(vectors: DataFrame, largest: float) -> DataFrame:
+def _nodes(vectors: DataFrame, middle: float) -> DataFrame:
     """(id, vec) of (id, embedding): a scale for the row in single precision, then its components in half precision.
 
     Half precision alone would lose vectors of components over 65,504 or under a millionth.
@@ -129,7 +132,7 @@ def _nodes(vectors: DataFrame, largest: float) -> DataFrame:
         for batch in batches:
             column = batch.column("embedding")
             if len(column):
-                v, scale = _unit(column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1), largest)
+                v, scale = _unit(column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1), middle)
                 rows = np.concatenate([scale.view(np.uint8), v.astype(np.float16).view(np.uint8)], axis=1)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), _binary(rows)], ["id", "vec"])
 
@@ -258,9 +261,9 @@ def _descend(graph: DataFrame, s: GraphSettings, salt: int, n: int) -> DataFrame
     return _merged(graph.unionByName(met), s, n)
 
 
-def build_graph(vectors: DataFrame, largest: float, s: GraphSettings = GraphSettings()) -> DataFrame:
+def build_graph(vectors: DataFrame, middle: float, s: GraphSettings = GraphSettings()) -> DataFrame:
     """(id, vec, near, scores) of distinct vectors (id, embedding)."""
-    nodes = cut_lineage(_nodes(vectors, largest), "nodes")
+    nodes = cut_lineage(_nodes(vectors, middle), "nodes")
     n = nodes.count()
     graph = cut_lineage(_first_graph(nodes, s, n), "graph")
     # neighbours only get better, so the rounds end
@@ -297,7 +300,7 @@ def _rows(graph: DataFrame, s: GraphSettings, cells: int) -> DataFrame:
     return linked.groupBy(parts).applyInArrow(pack, "cell bigint, id bigint, ids binary, vecs binary")
 
 
-def _started(queries: DataFrame, starts: list[int], largest: float) -> DataFrame:
+def _started(queries: DataFrame, starts: list[int], middle: float) -> DataFrame:
     """First states of (query, embedding, node): the query's own node, or the fixed ones.
 
     A query is scaled to a largest component of one, which leaves the order of its candidates as it is.
@@ -307,7 +310,7 @@ def _started(queries: DataFrame, starts: list[int], largest: float) -> DataFrame
         for batch in batches:
             rows = []
             for query, vector, node in zip(*(batch.column(c).to_pylist() for c in ("query", "embedding", "node"))):
-                (v,), ((scale,),) = _unit(np.array([vector], dtype=np.float64), largest)
+                (v,), ((scale,),) = _unit(np.array([vector], dtype=np.float64), middle)
                 ids = np.array(starts if node is None else [node], dtype=np.int64)
                 scores = np.full(len(ids), -np.inf if node is None else float(v @ v) * scale, dtype=np.float32)
                 rows.append((query, v.astype(np.float32).tobytes(), ids.tobytes(), scores.tobytes(), bytes(len(ids)), len(ids)))
@@ -400,13 +403,13 @@ def _advance(beam: int):
     return run
 
 
-def search(graph: DataFrame, queries: DataFrame, largest: float, s: GraphSettings = GraphSettings(), top: int = 40) -> DataFrame:
+def search(graph: DataFrame, queries: DataFrame, middle: float, s: GraphSettings = GraphSettings(), top: int = 40) -> DataFrame:
     """(query, id) of the `top` best nodes found for each of (query, embedding, node); node: where it starts, or NULL."""
     n = graph.count()
     cells = _cells_of(n, s.cell)
     starts = [r.id for r in graph.select("id").orderBy(F.xxhash64("id"), "id").limit(s.starts).collect()]
     rows = cut_lineage(_rows(graph, s, cells), "rows").repartition(cells, "cell").persist()
-    states = cut_lineage(_started(queries, starts, largest), "states")
+    states = cut_lineage(_started(queries, starts, middle), "states")
     parts = F.pmod(F.xxhash64("query"), F.lit(_cells_of(queries.count(), s.cell // 10))).alias("part")
     # a node that has left a beam does not come back, so the hops end
     while not states.where("open > 0").isEmpty():
@@ -439,14 +442,14 @@ def nearest(
     rows = rows.select(F.col(id).cast("bigint").alias("vec_id"), F.col(embedding).alias("embedding"), queries.alias("asks"))
     rows = rows.where(F.size("embedding") == (common.n if common else 0))
     classes = cut_lineage(rows.groupBy("embedding").agg(F.min("vec_id").alias("id")), "classes")
-    largest = largest_component(classes)
-    graph = build_graph(classes, largest, s)
+    middle = middle_length(classes)
+    graph = build_graph(classes, middle, s)
     members = cut_lineage(rows.join(classes, "embedding").select("id", "vec_id", "asks").distinct(), "members")
     exact = classes.select("id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     asked = members.where("asks").select(F.col("vec_id").alias("query"), F.col("id").alias("node")).join(
         classes.select(F.col("id").alias("node"), "embedding"), "node"
     )
-    found = search(graph, asked.select("query", "embedding", "node"), largest, s, max(2 * k, k + 10))
+    found = search(graph, asked.select("query", "embedding", "node"), middle, s, max(2 * k, k + 10))
     pairs = found.join(exact.select("id", F.col("v").alias("b")), "id").join(
         asked.select("query", F.transform("embedding", lambda x: x.cast("double")).alias("a")), "query"
     )
