@@ -1,16 +1,17 @@
 """Byte-level BPE encoding and decoding of whole texts, with tree concatenation of long unsplit text.
 
-Most texts are encoded where they lie, in one narrow pass. A text with a stretch that the split pattern leaves in one
-piece (no space in it, say, or nothing but spaces) over `leaf` characters long would keep one task busy alone. Such
-texts become rows: runs of ordinary pieces, and the halves of halves of each long piece. Spark deals the rows out,
-each is encoded on its own, and then neighbours are joined in rounds, as many as the tree is deep. A join re-encodes a
+Most texts are encoded where they lie, in one narrow pass. A text over `leaf` characters long, and one with a stretch
+over `piece` characters that the split pattern leaves in one piece (no space in it, say, or nothing but spaces), becomes
+rows: runs of ordinary pieces, and the halves of halves of each long piece. Spark deals the rows out, so no text keeps
+one task busy alone; each is encoded on its own, and then neighbours are joined in rounds, as many as the tree is deep. A join re-encodes a
 window around the seam and lets it grow until its first token is the left side's and its last token the right side's.
 Then every two neighbouring tokens of the result stood together in some encoding, which for BPE means that the whole
 is the encoding of the joined text.
 
 The split pattern needs at most the characters up to the next piece, so a run of whole pieces is encoded alone as it
-is inside its text. Character classes of the libraries differ in rare scripts; only texts within `AGREED` are cut up or
-given to the faster of the two libraries, all others go to the library of the vocabulary file whole.
+is inside its text. Character classes of the libraries differ in rare scripts; texts within `AGREED` are cut by the
+pattern and given to the faster of the two libraries, all others are cut and encoded by the library of the vocabulary
+file, whose own splitter tells the pieces.
 
 Defined cases: NULL counts as the empty text, which has no tokens; the text of a special token becomes that token, as
 in the library; rows that repeat are encoded each, but long texts with equal content once; extra columns go through.
@@ -34,6 +35,7 @@ from pyspark.sql import types as T
 
 from ..session import cut_lineage, remove_cut
 from .batches import slices
+from .packed import free_name
 
 #: Fixed: the split pattern of the vocabulary's pre-tokenizer.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -41,7 +43,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Characters whose classes (letter, number, space, other) all libraries agree on; the tests go through them.
 AGREED = re.compile("[\0-ɏͰ-ͷΑ-ΡΣ-ϿЀ-ԯ‐-‧‰-⁞₠-₿ぁ-ゖァ-ヺ一-龥가-힣]*")
 
-LEAF = 8192
+#: Characters of a text that are encoded in one go, and of an unsplit piece: hardly a word of prose is as long.
+LEAF, PIECE = 8192, 32
 #: Tokens that a task decodes together; a longer single text is taken alone.
 _TOKENS = 300_000
 
@@ -75,6 +78,13 @@ class Codec:
             return self.fast.encode_to_numpy(text, allowed_special=self.allowed)
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
+    def pieces(self, text: str) -> Iterator[tuple[int, int]]:
+        """Start and end of the pieces that are encoded each on its own."""
+        if AGREED.fullmatch(text):
+            yield from (found.span() for found in _pattern().finditer(text))
+        else:
+            yield from (span for _, span in self.whole.pre_tokenizer.pre_tokenize_str(text))
+
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.whole.decode_batch(ids, skip_special_tokens=False)
 
@@ -87,6 +97,13 @@ def _byte_of_letter() -> dict[str, int]:
     return letters | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+@cache
+def _pattern():
+    import regex
+
+    return regex.compile(SPLIT)
+
+
 @cache
 def codec(path: str) -> Codec:
     return Codec(path)
@@ -115,33 +132,32 @@ def join_encodings(
         grow *= 2
 
 
-def cut_text(text: str, leaf: int, special: list[str]) -> Iterator[tuple[int, int, int, str]]:
+def cut_text(text: str, leaf: int, own: Codec, longest: int = PIECE) -> Iterator[tuple[int, int, int, str]]:
     """(piece, leaf number, leaves of the piece, text): in order, runs of pieces and the halves of long pieces."""
     import regex
 
-    pattern = regex.compile(SPLIT)
     at = 0
-    marks = regex.split("(" + "|".join(map(regex.escape, special)) + ")", text) if special else [text]
+    marks = regex.split("(" + "|".join(map(regex.escape, own.special)) + ")", text) if own.special else [text]
     for number, part in enumerate(marks):
         if number % 2:
             yield at, 0, 1, part
             at += 1
             continue
         start = 0
-        for found in pattern.finditer(part):
-            if found.end() - found.start() > leaf:
-                if found.start() > start:
-                    yield at, 0, 1, part[start : found.start()]
+        for begin, end in own.pieces(part):
+            if end - begin > longest:
+                if begin > start:
+                    yield at, 0, 1, part[start:begin]
                     at += 1
-                piece, leaves = found.group(), 1
-                while len(piece) > leaf * leaves:
+                piece, leaves = part[begin:end], 1
+                while len(piece) > min(leaf, longest) * leaves:
                     leaves *= 2
                 for k in range(leaves):
                     yield at, k, leaves, piece[len(piece) * k // leaves : len(piece) * (k + 1) // leaves]
-                at, start = at + 1, found.end()
-            elif found.end() - start > leaf:
-                yield at, 0, 1, part[start : found.end()]
-                at, start = at + 1, found.end()
+                at, start = at + 1, end
+            elif end - start > leaf:
+                yield at, 0, 1, part[start:end]
+                at, start = at + 1, end
         if start < len(part):
             yield at, 0, 1, part[start:]
             at += 1
@@ -169,19 +185,19 @@ def _encoded(rows: DataFrame, path: str, text: str, output: str) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(output, T.ArrayType(T.IntegerType()))]))
 
 
-def encode_long(texts: DataFrame, path: str, leaf: int) -> DataFrame:
+def encode_long(texts: DataFrame, path: str, leaf: int, piece: int) -> DataFrame:
     """(key, ids) of (key, body) by tree concatenation."""
 
     columns = pa.schema([("key", pa.string()), ("piece", pa.int32()), ("leaf", pa.int32()), ("leaves", pa.int32()), ("body", pa.string())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        special = codec(path).special
+        own = codec(path)
         for batch in batches:
             for key, body in zip(batch.column("key").to_pylist(), batch.column("body").to_pylist()):
-                rows = list(cut_text(body, leaf, special)) if AGREED.fullmatch(body) else [(0, 0, 1, body)]
-                piece, number, leaves, part = zip(*rows)
+                rows = list(cut_text(body, leaf, own, piece))
+                place, number, leaves, part = zip(*rows)
                 yield pa.RecordBatch.from_pydict(
-                    {"key": [key] * len(rows), "piece": piece, "leaf": number, "leaves": leaves, "body": part}, columns
+                    {"key": [key] * len(rows), "piece": place, "leaf": number, "leaves": leaves, "body": part}, columns
                 )
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
@@ -210,20 +226,21 @@ def encode_long(texts: DataFrame, path: str, leaf: int) -> DataFrame:
     return done.groupBy("key").agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"))
 
 
-def encode(documents: DataFrame, path: str, text: str = "text", output: str = "ids", leaf: int = LEAF) -> DataFrame:
+def encode(documents: DataFrame, path: str, text: str = "text", output: str = "ids", leaf: int = LEAF, piece: int = PIECE) -> DataFrame:
     """`documents` with the token ids of `text` in `output`; a column of that name is replaced."""
     kept = documents.drop(output)
     body = F.coalesce(F.col(text), F.lit(""))
-    long = (F.length(body) > leaf) & body.rlike(rf"(?U)(\S{{{leaf - 1},}}|\s{{{leaf - 1},}})")
+    # a piece is a space at most and characters other than spaces, or nothing but spaces
+    long = (F.length(body) > leaf) | body.rlike(rf"(?U)(\S{{{piece},}}|\s{{{piece},}})")
     plain = _encoded(kept.where(~long), path, text, output)
     texts = cut_lineage(kept.where(long).select(F.sha2(body, 256).alias("key"), body.alias("body")).dropDuplicates(["key"]), "long")
     if texts.isEmpty():
         remove_cut(texts)
         return plain
-    mark = "_".join(kept.columns)  # a name that no column has
-    ids = encode_long(texts, path, leaf).select(F.col("key").alias(mark), F.col("ids").alias(f"{mark}_"))
+    mark, listed = free_name(kept.columns, "key"), free_name(kept.columns, "ids")
+    ids = encode_long(texts, path, leaf, piece).select(F.col("key").alias(mark), F.col("ids").alias(listed))
     found = kept.where(long).withColumn(mark, F.sha2(body, 256)).join(ids, mark)
-    return plain.unionByName(found.select(*kept.columns, F.col(f"`{mark}_`").alias(output)))
+    return plain.union(found.select(*[F.col(f"`{c}`") for c in kept.columns], F.col(listed).alias(output)))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", output: str = "decoded") -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from dayledger.llm import bpe
 
@@ -41,11 +42,34 @@ def test_round_trip_of_all_kinds_of_text(spark):
     texts = [
         "a" * 5000 + " b", None, "", "x<|endoftext|>y" + "日本" * 3000 + " z", " " * 4000 + "x'll", "\0 \x85 ᠎",
         "word " * 3000 + noise + "!" * 3000, "hello world", "\U0001f600" * 10, noise, noise,
+        "مرحبا بالعالم " * 900, "नमस्ते" * 300 + "\U0001f600" * 300 + " สวัสดี" * 800, "é́" * 100,
     ]
     frame = spark.createDataFrame([(i % 9, t, "k") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
     whole = bpe.codec(PATH).whole
     want = sorted((whole.encode(t or "", add_special_tokens=False).ids, t or "") for t in texts)
-    for leaf in (64, 8192):
-        found = bpe.decode(bpe.encode(frame, PATH, leaf=leaf), PATH).collect()
+    for leaf, piece in ((64, 64), (8192, 32), (8192, 8192), (10**9, 10**9)):
+        found = bpe.decode(bpe.encode(frame, PATH, leaf=leaf, piece=piece), PATH).collect()
         assert sorted((r.ids, r.decoded) for r in found) == want
     assert bpe.encode(frame.where("false"), PATH).collect() == []
+
+
+def test_one_column_and_clashing_names(spark):
+    texts = ["a" * 100, "short", "b" * 100]
+    alone = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert sorted(r.text for r in bpe.encode(alone, PATH).collect()) == sorted(texts)
+    named = alone.withColumn("key", F.lit("k")).withColumn("IDS_", F.lit("i"))
+    found = bpe.encode(named, PATH, output="tokens")
+    assert found.columns == ["text", "key", "IDS_", "tokens"]
+    whole = bpe.codec(PATH).whole
+    assert sorted((r.text, r.key, r.tokens) for r in found.collect()) == sorted((t, "k", whole.encode(t).ids) for t in texts)
+
+
+def test_texts_of_the_tables_take_the_tree(spark, sf):
+    """Long texts and long pieces of the given documents are cut, joined, and equal to the library's encoding."""
+    documents = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    texts = documents.where("length(text) > 8192 or text rlike '[^ \\n]{32,}'")
+    own = bpe.codec(PATH)
+    rows = {r.doc_id: r.text for r in texts.collect()}
+    cut = [max(leaves for _, _, leaves, _ in bpe.cut_text(t, bpe.LEAF, own)) for t in rows.values()]
+    assert len(rows) > 20 and max(cut) > 1
+    assert {r.doc_id: r.ids for r in bpe.encode(texts, PATH).collect()} == {i: own.whole.encode(t, add_special_tokens=False).ids for i, t in rows.items()}
