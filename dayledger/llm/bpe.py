@@ -1,17 +1,19 @@
 """Byte-level BPE encoding and decoding of whole texts, with tree concatenation of long unsplit text.
 
-Most texts are encoded where they lie, in one narrow pass. A text over `leaf` characters long, and one with a stretch
-over `piece` characters that the split pattern leaves in one piece (no space in it, say, or nothing but spaces), becomes
-rows: runs of ordinary pieces, and the halves of halves of each long piece. Spark deals the rows out, so no text keeps
-one task busy alone; each is encoded on its own, and then neighbours are joined in rounds, as many as the tree is deep. A join re-encodes a
-window around the seam and lets it grow until its first token is the left side's and its last token the right side's.
-Then every two neighbouring tokens of the result stood together in some encoding, which for BPE means that the whole
-is the encoding of the joined text.
-
-The split pattern needs at most the characters up to the next piece, so a run of whole pieces is encoded alone as it
-is inside its text. Character classes of the libraries differ in rare scripts; texts within `AGREED` are cut by the
-pattern and given to the faster of the two libraries, all others are cut and encoded by the library of the vocabulary
-file, whose own splitter tells the pieces.
+Most texts are encoded where they lie, in one narrow pass. A text over `leaf` characters long becomes rows, the halves
+of halves of the text, cut wherever the middle falls. Spark deals the rows out, so no text keeps one task busy alone; each
+is encoded on its own, and then neighbours are joined in rounds, as many as the tree is deep. A join re-encodes a window
+around the seam and lets it grow until both sides agree exactly:
+
+- The split pattern goes from left to right and looks three characters ahead at most, so what it finds up to three
+  characters before the end of the left side holds for the whole. A window from such a place grows to the right until it
+  ends a piece where the right side does; from there on both are split alike.
+- If the seam lies inside one piece, the halves of that piece are joined by tokens: a window of some tokens on either side
+  grows until its first token is the left side's and its last token the right side's. Then every two neighbouring tokens
+  of the result stood together in some encoding, which for BPE means that the whole is the encoding of the joined piece.
+
+Character classes of the libraries differ in rare scripts; texts within `AGREED` are split by the pattern and given to
+the faster of the two libraries, all others are split and encoded by the library of the vocabulary file.
 
 Defined cases: NULL counts as the empty text, which has no tokens; the text of a special token becomes that token, as
 in the library; rows that repeat are encoded each, but long texts with equal content once; extra columns go through.
@@ -43,8 +45,10 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Characters whose classes (letter, number, space, other) all libraries agree on; the tests go through them.
 AGREED = re.compile("[\0-ɏͰ-ͷΑ-ΡΣ-ϿЀ-ԯ‐-‧‰-⁞₠-₿ぁ-ゖァ-ヺ一-龥가-힣]*")
 
-#: Characters of a text that are encoded in one go, and of an unsplit piece: hardly a word of prose is as long.
-LEAF, PIECE = 8192, 32
+#: Characters of a text that are encoded in one go.
+LEAF = 8192
+#: Characters from its start on that the split pattern looks at to settle a piece, besides the piece itself.
+_AHEAD = 3
 #: Tokens that a task decodes together; a longer single text is taken alone.
 _TOKENS = 300_000
 
@@ -132,35 +136,51 @@ def join_encodings(
         grow *= 2
 
 
-def cut_text(text: str, leaf: int, own: Codec, longest: int = PIECE) -> Iterator[tuple[int, int, int, str]]:
-    """(piece, leaf number, leaves of the piece, text): in order, runs of pieces and the halves of long pieces."""
-    import regex
+def join_texts(left: str, left_ids: np.ndarray, right: str, right_ids: np.ndarray, own: Codec, grow: int = 2) -> np.ndarray:
+    """The encoding of left + right; `grow`: pieces on either side of the seam to begin with."""
+    if not left or not right:
+        return right_ids if not left else left_ids
+    left_starts = [x for x, _ in own.pieces(left)]
+    right_ends = [y for _, y in own.pieces(right)]
+    sure = [x for x in left_starts if x <= len(left) - _AHEAD] or [0]
+    known = {0, *right_ends}
+    left_at, right_at = np.cumsum(own.lengths[left_ids]), np.cumsum(own.lengths[right_ids])
+    while True:
+        start, stop = sure[-min(grow, len(sure))], right_ends[min(grow, len(right_ends)) - 1]
+        window, seam = left[start:] + right[:stop], len(left) - start
+        settled = len(window) if stop == len(right) else len(window) - _AHEAD
+        spans = list(own.pieces(window))
+        agreed = [k for k, (_, y) in enumerate(spans) if seam <= y <= settled and y - seam in known]
+        if agreed:
+            break
+        grow *= 2
+    keep = int(np.searchsorted(left_at, len(left[:start].encode()), side="right"))
+    out = [left_ids[:keep]]
+    for x, y in spans[: agreed[0] + 1]:
+        split_alike = x < seam < y and start + x in left_starts[-1:] and y - seam == right_ends[0]
+        if split_alike:  # both sides hold their part of the piece as a piece of its own
+            a, b = left[start + x :], right[: y - seam]
+            i = int(np.searchsorted(left_at, len(left[: start + x].encode()), side="right"))
+            j = int(np.searchsorted(right_at, len(b.encode()), side="left")) + 1
+            out.append(join_encodings(a, left_ids[i:], b, right_ids[:j], own.encode, own.lengths))
+        else:
+            out.append(own.encode(window[x:y]))
+    end = len(right[: spans[agreed[0]][1] - seam].encode())
+    out.append(right_ids[int(np.searchsorted(right_at, end, side="right")) :])
+    return np.concatenate([np.asarray(x, dtype=np.int64) for x in out])
 
-    at = 0
-    marks = regex.split("(" + "|".join(map(regex.escape, own.special)) + ")", text) if own.special else [text]
-    for number, part in enumerate(marks):
-        if number % 2:
-            yield at, 0, 1, part
-            at += 1
+
+def cut_text(text: str, leaf: int, special: list[str]) -> Iterator[tuple[int, int, int, str]]:
+    """(part, leaf number, leaves of the part, text): the halves of halves of the text between special tokens, in order."""
+    marks = re.split("(" + "|".join(map(re.escape, special)) + ")", text) if special else [text]
+    for at, part in enumerate(marks):
+        if not part:
             continue
-        start = 0
-        for begin, end in own.pieces(part):
-            if end - begin > longest:
-                if begin > start:
-                    yield at, 0, 1, part[start:begin]
-                    at += 1
-                piece, leaves = part[begin:end], 1
-                while len(piece) > min(leaf, longest) * leaves:
-                    leaves *= 2
-                for k in range(leaves):
-                    yield at, k, leaves, piece[len(piece) * k // leaves : len(piece) * (k + 1) // leaves]
-                at, start = at + 1, end
-            elif end - start > leaf:
-                yield at, 0, 1, part[start:end]
-                at, start = at + 1, end
-        if start < len(part):
-            yield at, 0, 1, part[start:]
-            at += 1
+        leaves = 1
+        while len(part) > leaf * leaves and at % 2 == 0:
+            leaves *= 2
+        for k in range(leaves):
+            yield at, k, leaves, part[len(part) * k // leaves : len(part) * (k + 1) // leaves]
 
 
 def _id_lists(lists: list[np.ndarray]) -> pa.Array:
@@ -185,16 +205,16 @@ def _encoded(rows: DataFrame, path: str, text: str, output: str) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(output, T.ArrayType(T.IntegerType()))]))
 
 
-def encode_long(texts: DataFrame, path: str, leaf: int, piece: int) -> DataFrame:
+def encode_long(texts: DataFrame, path: str, leaf: int) -> DataFrame:
     """(key, ids) of (key, body) by tree concatenation."""
 
     columns = pa.schema([("key", pa.string()), ("piece", pa.int32()), ("leaf", pa.int32()), ("leaves", pa.int32()), ("body", pa.string())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)
+        special = codec(path).special
         for batch in batches:
             for key, body in zip(batch.column("key").to_pylist(), batch.column("body").to_pylist()):
-                rows = list(cut_text(body, leaf, own, piece))
+                rows = list(cut_text(body, leaf, special))
                 place, number, leaves, part = zip(*rows)
                 yield pa.RecordBatch.from_pydict(
                     {"key": [key] * len(rows), "piece": place, "leaf": number, "leaves": leaves, "body": part}, columns
@@ -206,7 +226,7 @@ def encode_long(texts: DataFrame, path: str, leaf: int, piece: int) -> DataFrame
         first = rows[0] | {"leaf": rows[0]["leaf"] // 2, "leaves": rows[0]["leaves"] // 2}
         if len(rows) == 2:
             ids = [np.asarray(r["ids"], dtype=np.int64) for r in rows]
-            joined = join_encodings(rows[0]["body"], ids[0], rows[1]["body"], ids[1], own.encode, own.lengths)
+            joined = join_texts(rows[0]["body"], ids[0], rows[1]["body"], ids[1], own)
             first |= {"body": rows[0]["body"] + rows[1]["body"], "ids": joined.astype(np.int32)}
         return pd.DataFrame([first])[list(group.columns)]
 
@@ -226,19 +246,18 @@ def encode_long(texts: DataFrame, path: str, leaf: int, piece: int) -> DataFrame
     return done.groupBy("key").agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"))
 
 
-def encode(documents: DataFrame, path: str, text: str = "text", output: str = "ids", leaf: int = LEAF, piece: int = PIECE) -> DataFrame:
+def encode(documents: DataFrame, path: str, text: str = "text", output: str = "ids", leaf: int = LEAF) -> DataFrame:
     """`documents` with the token ids of `text` in `output`; a column of that name is replaced."""
     kept = documents.drop(output)
     body = F.coalesce(F.col(text), F.lit(""))
-    # a piece is a space at most and characters other than spaces, or nothing but spaces
-    long = (F.length(body) > leaf) | body.rlike(rf"(?U)(\S{{{piece},}}|\s{{{piece},}})")
+    long = F.length(body) > leaf
     plain = _encoded(kept.where(~long), path, text, output)
     texts = cut_lineage(kept.where(long).select(F.sha2(body, 256).alias("key"), body.alias("body")).dropDuplicates(["key"]), "long")
     if texts.isEmpty():
         remove_cut(texts)
         return plain
     mark, listed = free_name(kept.columns, "key"), free_name(kept.columns, "ids")
-    ids = encode_long(texts, path, leaf, piece).select(F.col("key").alias(mark), F.col("ids").alias(listed))
+    ids = encode_long(texts, path, leaf).select(F.col("key").alias(mark), F.col("ids").alias(listed))
     found = kept.where(long).withColumn(mark, F.sha2(body, 256)).join(ids, mark)
     return plain.union(found.select(*[F.col(f"`{c}`") for c in kept.columns], F.col(listed).alias(output)))
 
