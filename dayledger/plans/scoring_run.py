@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import contracts as V
 from ..operators import scoring as C
 from ..operators.ordering import side_by_side
+from ..sources import releases
 from ..sources.schemas import RESPONSE_SCORES
 from ..sources.sinks import read_table, write_partition
 
@@ -49,6 +50,24 @@ def publish(
     return written, {"thresholds": thresholds, "rows_before": before["row_count"], "rows_after": after["row_count"]}
 
 
+def publish_staged(
+    spark: SparkSession, scored: DataFrame, pt: str, table: str, *, scoring_ts: datetime, non_null: Sequence[str] = tuple(V.CRITICAL_COLUMNS), **lineage
+) -> tuple[DataFrame, releases.Release]:
+    """As `publish`, but readers of `table` see the partition only once both gates have passed.
+
+    The rows are staged, the staged files are read and held against the same counts and lineage, and then the manifest
+    switches. Whatever fails on the way, readers stay on the release they had.
+    """
+    output, _ = C.score_output(scored, pt, scoring_ts=scoring_ts, **lineage)
+    before = V.require_clean(V.prewrite_gate(output, pt, non_null=non_null), "pre-write gate")
+
+    def gate(staged: DataFrame) -> None:
+        V.require_clean(V.postwrite_gate(staged, pt, before["row_count"], lineage, non_null=non_null), "post-write gate")
+
+    release = releases.publish(output, table, RESPONSE_SCORES, pt, gate)
+    return releases.read_current(spark, table, RESPONSE_SCORES, [pt]), release
+
+
 def run_summary(written: DataFrame, pt: str, threshold: float, counts: dict) -> DataFrame:
     """One row about a published partition."""
     volume = C.prediction_volume(written, threshold)

@@ -15,7 +15,7 @@ from ..operators import profiling as P
 from ..plans import dataset_run, monitoring_run, scoring_run, training_run
 from ..session import cut_lineage, fresh_path
 from ..sources import fixtures as fx
-from ..sources import sinks
+from ..sources import releases, sinks
 from ..sources.schemas import (
     CATEGORICAL_FEATURES,
     MONITORING_ALERTS,
@@ -229,6 +229,44 @@ def schema_contract(spark, sf):
     return rows.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("player_id").alias("players"))
 
 
+_SPOILT = "CAST(player_id AS BIGINT) % 29 = 3", "CAST(player_id AS BIGINT) % 31 = 5"
+
+
+@query(
+    "publish_release",
+    f"""SELECT '20240126' AS pt, count(*) FILTER (NOT ({_SPOILT[0]} OR {_SPOILT[1]})) AS kept, count(*) FILTER ({_SPOILT[0]} OR {_SPOILT[1]}) AS rejected,
+        count(*) FILTER ({_SPOILT[0]}) AS lost_scores, count(*) FILTER ({_SPOILT[1]}) AS lost_ranks,
+        count(*) FILTER (NOT ({_SPOILT[0]} OR {_SPOILT[1]})) AS seen, round(sum(predicted_response_score) FILTER (NOT ({_SPOILT[0]} OR {_SPOILT[1]})) + 1e-9, 6) AS seen_scores,
+        true AS refused_left_readers_alone FROM v_scores WHERE pt = '20240126'""",
+)
+def publish_release(spark, sf):
+    """A partition whose scores and ranks come as text, some of them unreadable: good rows are released behind the gate,
+    the others kept aside with their values; a later release that the gate refuses changes nothing for readers."""
+    table = fresh_path(spark, "released_scores")
+    clean = I.scores(spark, sf)
+    text = clean.withColumns(
+        {
+            "predicted_response_score": F.when(F.expr(_SPOILT[0]), "n/a").otherwise(F.col("predicted_response_score").cast("string")),
+            "score_rank": F.when(F.expr(_SPOILT[1]), "12x").otherwise(F.col("score_rank").cast("string")),
+        }
+    )
+    ordered = lambda rows: V.require_columns(rows, RESPONSE_SCORES.fieldNames(), "scores", ordered=True)
+    done = releases.publish(text, table, RESPONSE_SCORES, I.SCORING_PT, ordered, on_lost="aside")
+
+    def refuse(rows):
+        raise ValueError("refused")
+
+    try:
+        releases.publish(clean, table, RESPONSE_SCORES, I.SCORING_PT, refuse)
+        alone = False
+    except ValueError as error:
+        alone = str(error) == "refused" and releases.current(spark, table) == {I.SCORING_PT: done.name}
+    seen = releases.read_current(spark, table, RESPONSE_SCORES).agg(F.count(F.lit(1)).alias("seen"), F.sum("predicted_response_score").alias("seen_scores"))
+    told = {"kept": done.kept, "rejected": done.rejected, "lost_scores": done.lost.get("predicted_response_score", 0), "lost_ranks": done.lost.get("score_rank", 0)}
+    facts = {"pt": F.lit(done.pt), **{k: F.lit(v).cast("bigint") for k, v in told.items()}, "refused_left_readers_alone": F.lit(alone)}
+    return rounded(seen.withColumns(facts))
+
+
 # --- fits ----------------------------------------------------------------------------------
 
 
