@@ -10,8 +10,9 @@ The rest is joins. Texts with equal sets are one class with one member that stan
 Bands of the signature are buckets; each bucket names its smallest member, all others are compared with that one, on
 their full sets. Where a bucket then still holds several components, its members of different components meet in
 blocks of bounded size, on sketches first and on their full sets where those come near the threshold; only links leave
-a block. So no link of a bucket is lost, and none is looked for between members that are already connected. A pair at the threshold shares no bucket with
-a chance of 2 in a million (28 bands of 6 slots, 0.85).
+a block. So no link of a bucket is lost, and none is looked for between members that are already connected. Bands follow
+the threshold, so that a pair at it shares no bucket with a chance of 2 in a million (28 bands of 6 slots at 0.85, 34 of
+5 at 0.8).
 
 Defined cases: text that is NULL, empty or all white space has no shingle and is linked with nothing; fewer words than
 a shingle are one shingle; rows that repeat a doc_id count as one document; a row whose doc_id is NULL is its own
@@ -20,6 +21,7 @@ group, with component NULL, and kept. Sets are sets of 64-bit hashes of the shin
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,26 @@ from .batches import slices
 from .components import components
 from .shingles import mix, shared_counts, shingle_sets
 
-BANDS, ROWS = 28, 6
+#: Chance that a pair at the threshold shares no bucket, and slots of a signature that are affordable for it.
+MISSED, SLOTS = 2e-6, 175
+
+
+def bands_for(percent: int) -> tuple[int, int]:
+    """Bands and slots a band: the most slots a band, so the fewest chance buckets, with which no more are missed.
+
+    A low threshold that cannot be had with `SLOTS` takes single slots, as many as it needs."""
+    for rows in range(12, 0, -1):
+        bands = bands_needed(percent, rows)
+        if bands * rows <= SLOTS or rows == 1:
+            return bands, rows
+    raise AssertionError
+
+
+def bands_needed(percent: int, rows: int) -> int:
+    same = min(0.999999, percent / 100) ** rows
+    return max(1, math.ceil(math.log(MISSED) / math.log1p(-same)))
+
+
 _UNSET = np.uint64(2**64 - 1)
 _FEATURES = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, sketch binary"
 
@@ -65,37 +86,38 @@ def superminhash(found: np.ndarray, counts: np.ndarray, slots: int) -> np.ndarra
     return signature
 
 
-def band_keys(signature: np.ndarray) -> np.ndarray:
-    keys = np.empty((len(signature), BANDS), dtype=np.uint64)
-    for band in range(BANDS):
+def band_keys(signature: np.ndarray, rows: int) -> np.ndarray:
+    bands = signature.shape[1] // rows
+    keys = np.empty((len(signature), bands), dtype=np.uint64)
+    for band in range(bands):
         key = np.full(len(signature), band + 1, dtype=np.uint64)
-        for slot in range(band * ROWS, (band + 1) * ROWS):
+        for slot in range(band * rows, (band + 1) * rows):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + signature[:, slot])
         keys[:, band] = key
     return keys
 
 
-def text_features(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def text_features(texts: list[str], width: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Set sizes, two halves of a fingerprint of the set, band keys, and one byte of each signature slot."""
     found, counts = shingle_sets(texts, width)
-    signature = superminhash(found, counts, BANDS * ROWS)
+    signature = superminhash(found, counts, bands * rows)
     ends = np.concatenate([[0], np.cumsum(counts)])
     halves = []
     for salt in (0x243F6A8885A308D3, 0x13198A2E03707344):
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(found ^ np.uint64(salt)))])
         halves.append(mix(sums[ends[1:]] - sums[ends[:-1]] + counts.astype(np.uint64)))
-    return counts, halves[0], halves[1], band_keys(signature), (mix(signature) & np.uint64(255)).astype(np.uint8)
+    return counts, halves[0], halves[1], band_keys(signature, rows), (mix(signature) & np.uint64(255)).astype(np.uint8)
 
 
-def features(documents: DataFrame, id: str, text: str, width: int) -> DataFrame:
+def features(documents: DataFrame, id: str, text: str, width: int, bands: int, slots: int) -> DataFrame:
     """Per row: set size, set fingerprint, band keys and sketch; no text goes on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
             for part in slices(batch.column("body"), 1_000_000):
-                counts, a, b, keys, sketch = text_features(part, width)
-                keys = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1).view(np.int64)), BANDS)
+                counts, a, b, keys, sketch = text_features(part, width, bands, slots)
+                keys = pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1).view(np.int64)), bands)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(at, len(part)), pa.array(counts.astype(np.int64)),
@@ -128,10 +150,10 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
     return pairs.join(body_u, "u").join(body_v, "v").select("u", "v", "body_u", "body_v").mapInArrow(run, "u bigint, v bigint")
 
 
-def _links_of_blocks(percent: int, width: int):
+def _links_of_blocks(percent: int, width: int, slots: int):
     """Links between members of one bucket in different components; a pair counts in its first shared bucket only."""
     share = percent / 100
-    least = share - 5 * (share * (1 - share) / (BANDS * ROWS)) ** 0.5  # five standard errors below the threshold
+    least = share - 5 * (share * (1 - share) / slots) ** 0.5  # five standard errors below the threshold
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         ids, component, part = (group[c].to_numpy() for c in ("node", "component", "part"))
@@ -169,7 +191,8 @@ def near_duplicates(
 
     `block` bounds the members of a bucket that one task compares with each other.
     """
-    rows = cut_lineage(features(documents, id, text, width), "features")
+    bands, slots = bands_for(percent)
+    rows = cut_lineage(features(documents, id, text, width, bands, slots), "features")
     sets = rows.where("n_shingles > 0 and doc_id is not null")
     classes = cut_lineage(sets.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.count("*").alias("size")), "classes")
     stand_for = classes.select(F.col("node").alias("doc_id")).distinct()
@@ -197,7 +220,7 @@ def near_duplicates(
         "key", "node", "component", "part",
         (F.shiftleft(F.least("part", "other").cast("bigint"), 20) + F.greatest("part", "other")).alias("block"),
     ).join(nodes.select("node", "bands", "sketch"), "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
-    more = blocks.groupBy("key", "block").applyInPandas(_links_of_blocks(percent, width), "u bigint, v bigint")
+    more = blocks.groupBy("key", "block").applyInPandas(_links_of_blocks(percent, width, bands * slots), "u bigint, v bigint")
     links = links.unionByName(cut_lineage(more, "more"))
     labels = components(links)
     grouped = classes.join(labels, "node", "left").select("set_a", "set_b", F.coalesce("component", "node").alias("component_id"))

@@ -34,3 +34,43 @@ def test_empty_and_odd_tables(spark, sf):
         for _, stage in corpus_pipeline.STAGES:
             rows = stage(spark, rows, sf)
             rows.collect()
+
+
+def test_further_columns_of_any_name_go_through(spark, sf):
+    docs = table(spark, sf, "documents").limit(40)
+    named = docs.selectExpr("*", "doc_id AS score", "concat('l', doc_id) AS found", "1.5D AS cosine", "'d' AS decoded", "7 AS _lang", "'c' AS contaminated", "array(1) AS matches")
+    want = {r.doc_id: r[5:] for r in named.collect()}
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        named = stage(spark, named, sf)
+        assert {r.doc_id: r[5:] for r in named.collect()}.items() <= want.items() and named.columns[5:10] == ["score", "found", "cosine", "decoded", "_lang"]
+    tokens = corpus_pipeline.encode_tokens(spark, named, sf)
+    assert all(r.decoded == "d" and r.round_trip for r in tokens.collect())
+
+
+def test_of_repeated_ids_the_same_row_stays(spark, sf):
+    schema = table(spark, sf, "documents").schema
+    rows = [(1, f"text number {i} of one id with words enough", "en", "s", i) for i in range(6)] + [(2, None, None, None, None), (2, "", "en", "s", 0), (3, "alone", "en", "s", 5)]
+    kept = [sorted(map(str, corpus_pipeline.keep_one_of_each_group(spark, spark.createDataFrame(x, schema).repartition(n), sf).collect())) for x, n in ((rows, 3), (rows[::-1], 1))]
+    assert kept[0] == kept[1] and len(kept[0]) == 3
+
+
+def test_lettered_junk_goes_and_short_text_stays(spark, sf):
+    import random
+
+    rng = random.Random(6)
+    docs = table(spark, sf.replace("0.001", "0.01"), "documents")
+    junk = [" ".join("".join(rng.choice("0123456789abcdef") for _ in range(8)) for _ in range(60)) for _ in range(40)]
+    junk += [" ".join("".join(rng.choice("qxzjkvwpybgf") for _ in range(7)) for _ in range(60)) for _ in range(40)]
+    odd = spark.createDataFrame([(-1 - i, t, None, "s", len(t)) for i, t in enumerate(junk)] + [(10**9, "A", None, "s", 1)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.drop_unknown_language(spark, docs.unionByName(odd), sf).collect()}
+    assert {r.doc_id for r in docs.collect()} <= kept and 10**9 in kept
+    assert sum(i < 0 for i in kept) <= 4
+
+
+def test_bands_follow_the_threshold():
+    from dayledger.llm import near_dup
+
+    assert near_dup.bands_for(85) == (28, 6) and near_dup.bands_for(80) == (34, 5)
+    for percent in (50, 70, 80, 85, 90, 95, 100):
+        bands, rows = near_dup.bands_for(percent)
+        assert (1 - min(0.999999, percent / 100) ** rows) ** bands <= 2e-6
