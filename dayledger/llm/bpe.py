@@ -46,9 +46,13 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 AGREED = re.compile("[\0-ɏͰ-ͷΑ-ΡΣ-ϿЀ-ԯ‐-‧‰-⁞₠-₿ぁ-ゖァ-ヺ一-龥가-힣]*")
 
 #: Characters of a text that are encoded in one go.
-LEAF = 8192
+LEAF = 32_768
 #: Characters from its start on that the split pattern looks at to settle a piece, besides the piece itself.
 _AHEAD = 3
+#: Characters on either side of a seam that are split into pieces to begin with.
+_NEAR = 512
+#: A space between two letters starts a piece, wherever the pattern comes from.
+_START = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 #: Tokens that a task decodes together; a longer single text is taken alone.
 _TOKENS = 300_000
 
@@ -136,33 +140,40 @@ def join_encodings(
         grow *= 2
 
 
-def join_texts(left: str, left_ids: np.ndarray, right: str, right_ids: np.ndarray, own: Codec, grow: int = 2) -> np.ndarray:
-    """The encoding of left + right; `grow`: pieces on either side of the seam to begin with."""
+def join_texts(left: str, left_ids: np.ndarray, right: str, right_ids: np.ndarray, own: Codec, near: int = _NEAR) -> np.ndarray:
+    """The encoding of left + right; `near`: characters on either side of the seam to begin with."""
     if not left or not right:
         return right_ids if not left else left_ids
-    left_starts = [x for x, _ in own.pieces(left)]
-    right_ends = [y for _, y in own.pieces(right)]
-    sure = [x for x in left_starts if x <= len(left) - _AHEAD] or [0]
-    known = {0, *right_ends}
-    left_at, right_at = np.cumsum(own.lengths[left_ids]), np.cumsum(own.lengths[right_ids])
     while True:
-        start, stop = sure[-min(grow, len(sure))], right_ends[min(grow, len(right_ends)) - 1]
-        window, seam = left[start:] + right[:stop], len(left) - start
-        settled = len(window) if stop == len(right) else len(window) - _AHEAD
-        spans = list(own.pieces(window))
-        agreed = [k for k, (_, y) in enumerate(spans) if seam <= y <= settled and y - seam in known]
-        if agreed:
-            break
-        grow *= 2
-    keep = int(np.searchsorted(left_at, len(left[:start].encode()), side="right"))
-    out = [left_ids[:keep]]
+        # where the left side's pieces surely start: from the start of the text or a certain start of a piece on
+        tail = 0 if near >= len(left) else max(0, len(left) - near)
+        if tail:
+            found = _START.search(left, tail)
+            tail = found.start() if found else len(left)
+        head = min(near, len(right))
+        starts = [tail + x for x, _ in own.pieces(left[tail:])]
+        sure = [x for x in starts if x <= len(left) - _AHEAD] or ([0] if tail == 0 else [])
+        ends = [y for _, y in own.pieces(right[:head])]
+        ends = ends if head == len(right) else [y for y in ends if y <= head - _AHEAD]
+        if sure and ends:
+            start = sure[max(0, len(sure) - 4)]
+            window, seam = left[start:] + right[: ends[-1]], len(left) - start
+            settled = len(window) if ends[-1] == len(right) else len(window) - _AHEAD
+            spans, known = list(own.pieces(window)), {0, *ends}
+            agreed = [k for k, (_, y) in enumerate(spans) if seam <= y <= settled and y - seam in known]
+            if agreed:
+                break
+        near *= 2
+    left_at, right_at = np.cumsum(own.lengths[left_ids]), np.cumsum(own.lengths[right_ids])
+    total = int(left_at[-1])
+    behind = lambda at: int(np.searchsorted(left_at, total - len(left[at:].encode()), side="right"))  # noqa: E731  tokens before a character
+    out = [left_ids[: behind(start)]]
     for x, y in spans[: agreed[0] + 1]:
-        split_alike = x < seam < y and start + x in left_starts[-1:] and y - seam == right_ends[0]
-        if split_alike:  # both sides hold their part of the piece as a piece of its own
+        alike = x < seam < y and start + x in starts[-1:] and y - seam == ends[0]
+        if alike:  # both sides hold their part of the piece as a piece of its own
             a, b = left[start + x :], right[: y - seam]
-            i = int(np.searchsorted(left_at, len(left[: start + x].encode()), side="right"))
             j = int(np.searchsorted(right_at, len(b.encode()), side="left")) + 1
-            out.append(join_encodings(a, left_ids[i:], b, right_ids[:j], own.encode, own.lengths))
+            out.append(join_encodings(a, left_ids[behind(start + x) :], b, right_ids[:j], own.encode, own.lengths))
         else:
             out.append(own.encode(window[x:y]))
     end = len(right[: spans[agreed[0]][1] - seam].encode())
