@@ -87,12 +87,6 @@ def labelled(value: str | Column, missing: str) -> Column:
     return F.coalesce(col(value).cast("string"), F.lit(missing))
 
 
-def joined_values(value: str | Column) -> Column:
-    """Aggregate: the single distinct value, or all of them sorted and comma-joined, or NULL."""
-    text = F.array_join(F.array_sort(F.collect_set(col(value).cast("string"))), ",")
-    return F.nullif(text, F.lit(""))
-
-
 def treatment_combo(tokens: str | Column, flag: str | Column) -> Column:
     """Label of the channels named in a pipe-separated list, read as a set."""
     named = F.array_sort(

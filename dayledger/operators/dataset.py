@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,25 @@ def base_population(mart: DataFrame, first_pt: str | None = None, last_pt: str |
     )
 
 
+#: Tasks among which rows without a player are dealt.
+NULL_PARTS = 1024
+
+
+def left_join_by_player(left: DataFrame, right: DataFrame, keys: Sequence[str] = tuple(KEYS)) -> DataFrame:
+    """`left` with the columns of `right` for the same keys, the first of which names the player.
+
+    Rows without a player match nothing, but a plain join would send all of them to one task. Here each gets a stand-in of
+    its own for the join, dealt by the other values of the row, so that no task holds more of them than others. `right`
+    has one row per key at most: it is combined by player and day before, so a busy player is a row a day there.
+    """
+    player, *rest = keys
+    spread = F.pmod(F.xxhash64(*[c for c in left.columns if c != player]), F.lit(NULL_PARTS)).cast("string")
+    stand_in = F.coalesce(F.col(player), F.concat(F.lit("\0"), spread))
+    known = right.where(F.col(player).isNotNull()).withColumnRenamed(player, "_player")
+    joined = left.withColumn("_player", stand_in).join(known, ["_player", *rest], "left")
+    return joined.select(*left.columns, *[c for c in right.columns if c not in keys])
+
+
 def require_unique_grain(base: DataFrame, keys: list[str] = KEYS) -> None:
     """Raise when a player-day occurs twice; joined rollups would otherwise describe it twice."""
     twice = base.groupBy(*keys).count().where("count > 1")
@@ -108,7 +129,7 @@ def treatment_rollup(base: DataFrame, vouchers: DataFrame, sends: DataFrame) ->
     def flag(n: Column) -> Column:
         return F.when(n > 0, 1).otherwise(0).cast("bigint")
 
-    joined = base.join(treatments_by_player_day(vouchers, sends), KEYS, "left")
+    joined = left_join_by_player(base, treatments_by_player_day(vouchers, sends))
     return joined.select(
         *base.columns,
         "treatment_timestamp",
@@ -162,7 +183,7 @@ def outcomes_by_assignment(bets: DataFrame, window_days: int = 3) -> DataFrame:
 def outcome_rollup(base: DataFrame, bets: DataFrame, window_days: int = 3) -> DataFrame:
     """The base columns plus the outcome of (assignment_date, assignment_date + window]."""
     n = f"{window_days}d"
-    joined = base.join(outcomes_by_assignment(bets, window_days), KEYS, "left")
+    joined = left_join_by_player(base, outcomes_by_assignment(bets, window_days))
     return joined.select(
         *base.columns,
         F.coalesce("gross_bet", F.lit(0.0)).alias(f"outcome_gross_bet_{n}_value"),
@@ -192,15 +213,16 @@ def response_dataset(
 
 
 def dataset_reconcile(actual: DataFrame, base: DataFrame, vouchers: DataFrame, sends: DataFrame, bets: DataFrame) -> DataFrame:
-    """Labels recomputed from the raw bets, against the built dataset, per partition."""
-    raw = bets.select(
-        F.col("login_name").cast("string").alias("player_id"),
-        F.col("bet_amount").cast("double").alias("bet_amount"),
-        F.explode(assignment_days("stat_date", 3)).alias("assignment_date"),
-    )
-    expected = raw.groupBy(*KEYS).agg(
-        F.sum("bet_amount").alias("expected_bet"), F.count("player_id").alias("expected_rows")
+    """Labels recomputed from the raw bets, against the built dataset, per partition.
+
+    Bets are added up by player and day before a day is given to the three assignment days it can follow.
+    """
+    player, day = F.col("login_name").cast("string"), F.col("stat_date").cast("date")
+    daily = bets.groupBy(player.alias("player_id"), day.alias("stat_date")).agg(
+        F.sum(F.col("bet_amount").cast("double")).alias("bet"), F.count(F.lit(1)).alias("n")
     )
+    raw = daily.withColumn("assignment_date", F.explode(assignment_days("stat_date", 3)))
+    expected = raw.groupBy(*KEYS).agg(F.sum("bet").alias("expected_bet"), F.sum("n").alias("expected_rows"))
     treated = treatments_by_player_day(vouchers, sends).select(*KEYS, F.lit(True).alias("treated"))
     rows = (
         actual.select("pt", *KEYS, F.col("response_label_positive_3d").cast("bigint").alias("label"))
@@ -240,7 +262,7 @@ def observed_outcomes(scores: DataFrame, bets: DataFrame, window_days: int = 3)
     """Scored players with the outcome observed in (score_date, score_date + window]."""
     n = f"{window_days}d"
     outcomes = outcomes_by_assignment(bets, window_days).withColumnRenamed("assignment_date", "score_date")
-    return scores.join(outcomes, ["player_id", "score_date"], "left").select(
+    return left_join_by_player(scores, outcomes, ["player_id", "score_date"]).select(
         "player_id",
         F.col("scoring_pt").alias("pt"),
         "predicted_response_score",
@@ -273,7 +295,7 @@ def audit_dataset(dataset: DataFrame, bets: DataFrame) -> DataFrame:
         return F.when(F.col(value) > 0, 1).otherwise(0).cast("bigint")
 
     week = outcomes_by_assignment(bets, 7).select(*KEYS, F.col("gross_bet").alias("outcome_gross_bet_7d_value"))
-    return dataset.join(week, KEYS, "left").select(
+    return left_join_by_player(dataset, week).select(
         *dataset.columns,
         kind.alias("treatment_type"),
         F.when(F.col("treatment_flag") == 0, "control").otherwise(kind).alias("treatment_group"),

@@ -9,11 +9,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import MISSING_IN_MONITORING, bad_score, joined_values, labelled, ratio
+from ..functions.columns import MISSING_IN_MONITORING, bad_score, labelled, ratio
 from ..session import cut_lineage
 from ..sources.schemas import MONITORING_DAILY, MONITORING_PERFORMANCE
 from ..sources.sinks import align_to_schema
 from .alerts import DailyLimits, daily_alerts, overall_status
+from .lists import joined_values
 from .ordering import exact_quantiles, side_by_side, value_histogram
 from .scoring import HIGH_PRIORITY_BUCKETS, SCORE
 
@@ -305,7 +306,7 @@ class PartitionCube:
 
     def lineage(self) -> DataFrame:
         """One row: the model names, versions and paths of the partition."""
-        return self.cells.agg(*[joined_values(c).alias(c) for c in LINEAGE[:3]])
+        return joined_values(self.cells, LINEAGE[:3])
 
     def shares(self) -> DataFrame:
         """One row: share of known players in the top buckets, and of those without the first segment."""
@@ -457,11 +458,8 @@ def monitor_performance(
 ) -> DataFrame:
     """The performance row of one partition; before maturity a row of zero counts with the reason."""
     if labels_mature:
-        totals = _marked(observed).agg(
-            *performance_measures(window_days),
-            joined_values("model_name").alias("model_name"),
-            joined_values("model_version").alias("model_version"),
-        )
+        lineage = joined_values(observed, ["model_name", "model_version"])
+        totals = side_by_side(_marked(observed).agg(*performance_measures(window_days)), lineage)
         row_so_far = _with_ratios(totals).withColumn("evaluated_row_count", F.col("row_count"))
         status, reason = "evaluated", None
     else:

@@ -15,6 +15,7 @@ from ..functions.columns import (
     treatment_combo,
     week_start,
 )
+from .lists import MOST_VALUES, few_values
 
 LABEL = "response_label_positive_3d"
 
@@ -176,12 +177,11 @@ def outcome_distribution(dataset: DataFrame, columns: Sequence[str]) -> DataFram
     )
 
 
-def outcome_distribution_json(distribution: DataFrame) -> DataFrame:
-    """The same as one JSON map per column, for columns with few values such as flags."""
+def outcome_distribution_json(distribution: DataFrame, most: int = MOST_VALUES) -> DataFrame:
+    """The same as one JSON map per column, for columns with few values such as flags; over `most` values are refused."""
+    few = few_values(distribution, ["outcome_column"], "outcome_value", most)
     pairs = F.sort_array(F.collect_list(F.struct(F.col("outcome_value").cast("string").alias("k"), "row_count")))
-    return distribution.groupBy("outcome_column", "mean", "missing_rate").agg(
-        F.to_json(F.map_from_entries(pairs)).alias("distribution_json")
-    )
+    return few.groupBy("outcome_column", "mean", "missing_rate").agg(F.to_json(F.map_from_entries(pairs)).alias("distribution_json"))
 
 
 def _rows_and_users(df: DataFrame, *keys: Column) -> DataFrame:

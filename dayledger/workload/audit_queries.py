@@ -118,6 +118,23 @@ def outcome_distribution(spark, sf):
     return rounded(P.outcome_distribution(rows, V.OUTCOME_COLUMNS))
 
 
+_FLAGS = [c for c in V.OUTCOME_COLUMNS if not c.endswith("_value")]
+
+
+@query(
+    "outcome_distribution_json",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS outcome_column, round(avg({c}) + 1e-9, 6) AS mean, 0.0::DOUBLE AS missing_rate,
+            concat('{{', concat_ws(',', IF(bool_or({c} = 0), concat('"0.0":', count(*) FILTER ({c} = 0)), NULL), IF(bool_or({c} = 1), concat('"1.0":', count(*) FILTER ({c} = 1)), NULL)), '}}') AS distribution_json
+            FROM v_audited"""
+        for c in _FLAGS
+    ),
+)
+def outcome_distribution_json(spark, sf):
+    """The outcome flags, each as one map of its values."""
+    return rounded(P.outcome_distribution_json(P.outcome_distribution(I.audited(spark, sf), _FLAGS)))
+
+
 @query(
     "assignment_coverage",
     "SELECT assignment_date, count(*) AS row_count, count(DISTINCT player_id) AS unique_users FROM v_response GROUP BY assignment_date",
@@ -249,10 +266,12 @@ def group_comparability(spark, sf):
           control AND treated AND maturity_ok AND timing_ok AND balance_ok AS binary_treatment_uplift_feasible,
           control AND combos AND maturity_ok AND timing_ok AND balance_ok AS multi_treatment_uplift_feasible,
           NOT (control AND treated AND maturity_ok AND timing_ok AND balance_ok) AS policy_evaluation_only,
-          control AS has_control_group, maturity_ok, timing_ok, balance_ok AS imbalance_ok, round(imbalance + 1e-9, 6) AS imbalance_flag_rate FROM a""",
+          control AS has_control_group, maturity_ok, timing_ok, balance_ok AS imbalance_ok, round(imbalance + 1e-9, 6) AS imbalance_flag_rate,
+          concat_ws('; ', IF(control, NULL, 'no untreated rows'), IF(maturity_ok, NULL, 'outcome windows not complete'), IF(timing_ok, NULL, 'timing violations'),
+            IF(balance_ok, NULL, 'groups differ before treatment'), IF(combos, NULL, 'not every channel combination present')) AS reasons FROM a""",
 )
 def feasibility(spark, sf):
-    """Without the text of reasons. The audited rows are written once for the four results made from them."""
+    """The audited rows are written once for the four results made from them."""
     rows = cut_lineage(I.audited(spark, sf))
     result = X.feasibility(
         rows,
@@ -260,7 +279,7 @@ def feasibility(spark, sf):
         X.timing_violations(rows),
         X.group_comparability(rows, NUMERIC_FEATURES),
     )
-    return rounded(result.drop("reasons"))
+    return rounded(result)
 
 
 _CONTRACT_SQL = " UNION ALL ".join(

@@ -188,9 +188,7 @@ def response_dataset(spark, sf):
     return rounded(I.response(spark, sf))
 
 
-@query(
-    "dataset_reconcile",
-    """WITH expected AS (
+RECONCILE_SQL = """WITH expected AS (
          SELECT b.pt, b.player_id, b.assignment_date, coalesce(sum(o.bet_amount), 0.0) AS bet, count(o.login_name) AS n
          FROM v_base b LEFT JOIN fx_bets o ON o.login_name = b.player_id AND o.stat_date > b.assignment_date
           AND o.stat_date <= CAST(b.assignment_date + INTERVAL 3 DAY AS DATE)
@@ -206,8 +204,10 @@ def response_dataset(spark, sf):
               count(*) FILTER (WHERE (a.response_label_positive_3d = 1) <> (e.bet > 0)) AS mismatching_label_rows
        FROM v_response a JOIN expected e ON a.pt = e.pt AND a.player_id = e.player_id AND a.assignment_date = e.assignment_date
        LEFT JOIN treated t ON a.pt = t.pt AND a.player_id = t.player_id AND a.assignment_date = t.assignment_date
-       GROUP BY a.pt""",
-)
+       GROUP BY a.pt"""
+
+
+@query("dataset_reconcile", RECONCILE_SQL)
 def dataset_reconcile(spark, sf):
     first, last = I.first_day(spark, sf), I.MATURE_PT
     return rounded(

@@ -26,6 +26,8 @@ from ..sources.schemas import (
     RESPONSE_SCORES,
 )
 from . import inputs as I
+from .dataset_queries import RECONCILE_SQL
+from .oracle_views import with_views
 from .registry import query, rounded
 
 # the tables hold players without a segment, which would block the publish
@@ -57,8 +59,7 @@ def write_dataset(spark, sf):
 
 @query(
     "build_dataset",
-    """SELECT pt, count(*) AS base_rows, count(*) AS matching_label_rows, 0::BIGINT AS mismatching_label_rows
-       FROM v_response WHERE pt BETWEEN '20240110' AND '20240112' GROUP BY pt""",
+    "SELECT * FROM (" + with_views(RECONCILE_SQL) + ") whole WHERE pt BETWEEN '20240110' AND '20240112'",
 )
 def build_dataset(spark, sf):
     """Three days rebuilt into the table and reconciled."""
@@ -73,7 +74,7 @@ def build_dataset(spark, sf):
         first,
         last,
     )
-    return result.select("pt", "base_rows", "matching_label_rows", "mismatching_label_rows")
+    return rounded(result)
 
 
 @query(

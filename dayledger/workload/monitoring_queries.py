@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import joined_values
 from ..operators import alerts as A
 from ..operators import contracts as V
 from ..operators import monitoring as M
 from ..operators import profiling as P
+from ..operators.lists import joined_values
 from ..sources import fixtures as fx
 from . import inputs as I
 from .registry import query, rounded
@@ -114,7 +114,7 @@ def _joined(column: str) -> str:
 )
 def single_value(spark, sf):
     names = ["model_name", "response_priority_bucket", "scoring_pt"]
-    return I.flawed_scores(spark, sf).agg(*[joined_values(c).alias(c) for c in names])
+    return joined_values(I.flawed_scores(spark, sf), names)
 
 
 # --- daily ---------------------------------------------------------------------------------
