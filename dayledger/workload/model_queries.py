@@ -15,7 +15,7 @@ from ..operators import profiling as P
 from ..plans import dataset_run, monitoring_run, scoring_run, training_run
 from ..session import cut_lineage, fresh_path
 from ..sources import fixtures as fx
-from ..sources import releases, sinks
+from ..sources import registry, releases, sinks
 from ..sources.schemas import (
     CATEGORICAL_FEATURES,
     MONITORING_ALERTS,
@@ -450,6 +450,44 @@ def model_runs(spark, sf):
     return M.champion_run(runs)
 
 
+@query(
+    "champion_pointer",
+    f"""SELECT 'logistic_regression' AS model_name, 'response_model__logistic_regression__response_20240130T000000Z' AS model_version, 1 AS moves,
+        (SELECT string_agg(feature, ',' ORDER BY slot) FROM (VALUES {_NUMERIC_SLOTS}, ({len(NUMERIC_FEATURES)}, 'vip_level')) AS n(slot, feature)) AS raw_feature_order,
+        '{M.TARGET}' AS target_column, (SELECT count(*) FROM v_splits WHERE split = 'validation') AS scored_by_saved_model,
+        true AS stale_run_refused, true AS saved_model_scores_alike""",
+)
+def champion_pointer(spark, sf):
+    """A fitted model recorded, promoted, loaded through the pointer and used; a run that looked earlier is refused."""
+    from pyspark.ml import PipelineModel
+
+    rows = cut_lineage(_training_rows(spark, sf))
+    fitted = training_run.train(rows, ("logistic_regression",))
+    folder = fresh_path(spark, "models")
+    settings = {"run_id": "response_20240130T000000Z", "iteration_id": "response_model", "source_table": "response_dataset", "created_at": I.RUN_TS}
+    runs = training_run.record(spark, fitted, folder, **settings)
+    version = runs.first().model_version  # one model was recorded
+    registry.promote(spark, folder, runs, version, None)
+    try:
+        registry.promote(spark, folder, runs, version, None)
+        refused = False
+    except RuntimeError:
+        refused = True
+    told = registry.champion(spark, folder)
+    again = M.score_splits(PipelineModel.load(told["model_path"]), rows.where("split = 'validation'")).withColumnRenamed("score", "loaded")
+    both = again.join(fitted[0].scored.select("player_id", "assignment_date", "score"), ["player_id", "assignment_date"])
+    return both.agg(
+        F.count(F.lit(1)).alias("scored_by_saved_model"), (F.max(F.abs(F.col("loaded") - F.col("score"))) < 1e-12).alias("saved_model_scores_alike")
+    ).withColumns(
+        {
+            **{c: F.lit(told[c]) for c in ("model_name", "model_version", "target_column")},
+            "raw_feature_order": F.lit(",".join(told["raw_feature_order"])),
+            "moves": F.lit(registry.history(spark, folder).count()).cast("int"),
+            "stale_run_refused": F.lit(refused),
+        }
+    )
+
+
 @query("score_with_champion")
 def score_with_champion(spark, sf):
     """The champion, loaded from its record, scores and publishes the partition."""
