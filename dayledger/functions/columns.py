@@ -52,10 +52,6 @@ def week_start(day: str | Column) -> Column:
 # --- numbers -------------------------------------------------------------------------------
 
 
-def r6(value: str | Column) -> Column:
-    return F.round(col(value), 6)
-
-
 def ratio(numerator: str | Column, denominator: str | Column, undefined: float | None = None) -> Column:
     """Quotient as double; `undefined` (NULL unless given) where the denominator is zero."""
     quotient = F.try_divide(col(numerator).cast("double"), col(denominator).cast("double"))

@@ -25,18 +25,24 @@ def partition_summary(spark, sf):
     return rounded(P.partition_summary(I.response(spark, sf), "20240122"))
 
 
-@query(
-    "overall_summary",
-    f"""SELECT count(*) AS total_rows, count(DISTINCT concat(player_id, '|', assignment_date)) AS distinct_player_day_rows,
+_OVERALL = f"""SELECT count(*) AS total_rows, count(DISTINCT concat(player_id, '|', assignment_date)) AS distinct_player_day_rows,
         count(DISTINCT player_id) AS distinct_players, min(assignment_date) AS min_assignment_date,
         max(assignment_date) AS max_assignment_date, min(feature_snapshot_date) AS min_feature_snapshot_date,
         max(feature_snapshot_date) AS max_feature_snapshot_date, sum(response_label_positive_3d)::BIGINT AS positive_rows, {_RATE}
-        FROM v_response""",
-)
+        FROM v_response"""
+
+
+@query("overall_summary", _OVERALL)
 def overall_summary(spark, sf):
     return rounded(P.overall_summary(I.response(spark, sf)))
 
 
+@query("overall_summary_mature", f"{_OVERALL} WHERE pt <= '20240122'")
+def overall_summary_mature(spark, sf):
+    """The same over the partitions that modelling may use."""
+    return rounded(P.overall_summary(I.response(spark, sf, None, "20240122")))
+
+
 @query(
     "treatment_mix",
     """SELECT treatment_flag, has_voucher_treatment, has_sms_treatment, count(*) AS row_count FROM v_response

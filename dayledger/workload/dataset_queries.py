@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import to_day
 from ..operators import dataset as D
 from ..operators import profiling as P
 from ..operators import splits as S
@@ -303,3 +304,17 @@ def outcome_maturity(spark, sf):
 )
 def outcome_maturity_flags(spark, sf):
     return S.outcome_maturity_flags(I.base(spark, sf), {"gross_bet_3d": 3, "gross_bet_7d": 7}, I.AS_OF)
+
+
+_DAY_TEXT = """CASE k % 5 WHEN 0 THEN substr(CAST(ts AS {text}), 1, 10) WHEN 1 THEN 'no day' WHEN 2 THEN NULL ELSE CAST(ts AS {text}) END"""
+
+
+@query(
+    "parsed_days",
+    f"""SELECT day, count(*) AS row_count, count(text) AS texts FROM (
+            SELECT {_DAY_TEXT.format(text='VARCHAR')} AS text, CAST(TRY_CAST({_DAY_TEXT.format(text='VARCHAR')} AS TIMESTAMP) AS DATE) AS day FROM fx_events) p GROUP BY day""",
+)
+def parsed_days(spark, sf):
+    """Days read from text in several forms; text that is no day becomes NULL and stays counted."""
+    text = fx.events(spark, sf).select(F.expr(_DAY_TEXT.format(text="STRING")).alias("text"))
+    return text.groupBy(to_day("text").alias("day")).agg(F.count(F.lit(1)).alias("row_count"), F.count("text").alias("texts"))
