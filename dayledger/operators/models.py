@@ -6,14 +6,14 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import MISSING_IN_MONITORING, labelled
-from ..session import shared_folder
+from ..session import fresh_path, remove_path, shared_folder
 from ..sources.schemas import CATEGORICAL_FEATURES, MODEL_RUNS, NUMERIC_FEATURES
 from .contracts import require_no_leakage
 
@@ -118,7 +118,20 @@ def boosted_trees(rounds: int = 200, step: float = 0.05, depth: int = 5, seed: i
 def fit_logistic_regression(train: DataFrame, **params) -> PipelineModel:
     weighted, rows = balanced_weights(fill_features(train))
     estimator = logistic_regression(rows, **params)
-    return Pipeline(stages=[*preprocessing(scale=True), estimator]).fit(weighted)
+    return without_summary(Pipeline(stages=[*preprocessing(scale=True), estimator]).fit(weighted))
+
+
+def without_summary(model: PipelineModel) -> PipelineModel:
+    """The model with its last stage saved and loaded again, which leaves the training summary behind.
+
+    The summary holds the session, and scores cannot be sent to tasks with it once any frame of the session was observed.
+    """
+    spark = SparkSession.active()
+    path = fresh_path(spark, "fitted")
+    model.stages[-1].write().save(path)
+    loaded = LogisticRegressionModel.load(path)
+    remove_path(spark, path)
+    return PipelineModel([*model.stages[:-1], loaded])
 
 
 def fit_boosted_trees(train: DataFrame, **params) -> PipelineModel:

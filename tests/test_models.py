@@ -2,6 +2,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from dayledger.operators import models as M
@@ -95,3 +96,9 @@ def test_registered_fits_run_all_rounds(monkeypatch):
             pass
     # rows, and the names of models: no number of rounds or iterations
     assert seen == [(2, {}), (2, {}), (1, {}), (1, {}), (1, {})]
+
+
+def test_linear_scores_reach_tasks_once_a_frame_was_observed(spark, rows):
+    spark.range(3).observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    model = M.fit_logistic_regression(rows.where("split = 'train'"))
+    assert M.score_splits(model, rows).where("score between 0 and 1").count() == 1500
