@@ -109,8 +109,9 @@ def boosted_trees(rounds: int = 200, step: float = 0.05, depth: int = 5, seed: i
         featureSubsetStrategy="0.8",
         subsamplingRate=1.0,
         seed=seed,
-        # node statistics are rebuilt from files of the shared folder, so long runs survive lost executors
-        cacheNodeIds=True,
+        # a row finds its node by five comparisons; a stored id per row and level costs more than that
+        cacheNodeIds=False,
+        # what is left to explain goes to files of the shared folder, so long runs survive lost executors
         checkpointInterval=10,
     )
 

@@ -55,3 +55,7 @@ def test_routing_takes_categories_and_thresholds(spark):
     )
     rows = spark.createDataFrame([(1, [1.5, 0.0]), (2, [1.6, 5.0]), (3, [1.6, 4.0])], "id int, x array<double>")
     assert {(r.id, r.value) for r in O.route(rows, nodes, 1, 2).collect()} == {(1, 10.0), (2, 20.0), (3, 30.0)}
+
+
+def test_trees_keep_no_node_ids(spark):
+    assert not M.boosted_trees().getCacheNodeIds()
