@@ -7,11 +7,13 @@ loss falls from round to round. Only one row per slot or tree leaves the aggrega
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .models import balanced_weights, fill_features, transformed_feature_names
@@ -79,30 +81,84 @@ def route(rows: DataFrame, nodes: DataFrame, trees: int, depth: int) -> DataFram
     return routed.join(F.broadcast(leaves), ["tree", "node"])
 
 
-def tree_audit(model: PipelineModel, train: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
+_SUMS = ["rows", "w", "wr", "loss", "score_error"]
+_LEAVES = "tree int, node int, rows bigint, w double, wr double, loss double, score_error double"
+
+
+def _routing_tables(nodes: list[Row], trees: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict]:
+    """Per tree and node: children (-1 at a leaf), feature, threshold, value; categories of the nodes that split by them."""
+    width = max(n.node for n in nodes) + 1
+    left, right, feature = (np.full((trees, width), -1, dtype=np.int64) for _ in range(3))
+    threshold, value, categories = np.zeros((trees, width)), np.zeros((trees, width)), {}
+    for n in nodes:
+        left[n.tree, n.node], right[n.tree, n.node], value[n.tree, n.node] = n.left, n.right, n.value
+        if n.left >= 0:
+            feature[n.tree, n.node], threshold[n.tree, n.node] = n.feature, np.nan if n.by_category else n.bounds[0]
+            if n.by_category:
+                categories[n.tree, n.node] = np.array(n.bounds)
+    return left, right, feature, threshold, value, categories
+
+
+def leaf_sums(rows: DataFrame, nodes: list[Row], weights: Sequence[float], depth: int) -> DataFrame:
+    """Per tree and leaf: rows, weight, weighted rest to explain, loss after the tree, distance of the scores (last tree).
+
+    `rows` (y, w, x, score) go through all trees where they are; one row a tree and leaf leaves each batch. `nodes` are
+    those of the model, so their number is bounded by its size.
+    """
+    left, right, feature, threshold, value, categories = _routing_tables(nodes, len(weights))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            y, w, score = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w", "score"))
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            every, so_far, parts = np.arange(n), np.zeros(n), []
+            for tree, weight in enumerate(weights):
+                node = np.zeros(n, dtype=np.int64)
+                for _ in range(depth):
+                    lower = x[every, feature[tree, node]] <= threshold[tree, node]
+                    for at in (k for t, k in categories if t == tree):
+                        here = node == at
+                        lower[here] = np.isin(x[here, feature[tree, at]], categories[tree, at])
+                    node = np.where(left[tree, node] < 0, node, np.where(lower, left[tree, node], right[tree, node]))
+                rest = y if tree == 0 else 4 * y / (1 + np.exp(2 * y * so_far))
+                so_far = so_far + weight * value[tree, node]
+                loss = w * 2 * np.log1p(np.exp(-2 * y * so_far))
+                found = np.bincount(node)
+                leaves = np.flatnonzero(found)
+                error = np.full(len(leaves), np.nan)
+                if tree == len(weights) - 1:
+                    apart = np.abs(1 / (1 + np.exp(-2 * so_far)) - score)
+                    error = np.array([apart[node == leaf].max() for leaf in leaves])
+                sums = [np.bincount(node, c)[leaves] for c in (w, w * rest, loss)]
+                parts.append((np.full(len(leaves), tree), leaves, found[leaves], *sums, error))
+            tree, node, *rest = (np.concatenate(c) for c in zip(*parts))
+            columns = [pa.array(tree.astype(np.int32)), pa.array(node.astype(np.int32)), *map(pa.array, rest[:-1])]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(rest[-1], from_pandas=True)], ["tree", "node", *_SUMS])
+
+    partial = rows.select("y", "w", "score", "x").mapInArrow(run, _LEAVES)
+    sums = [(F.max if c == "score_error" else F.sum)(c).alias(c) for c in _SUMS]
+    return partial.groupBy("tree", "node").agg(*sums)
+
+
+def tree_audit(model: PipelineModel, train: DataFrame, path: str, keys: Sequence[str] = ()) -> DataFrame:
     """Per tree: leaves, rows of the smallest leaf, largest distance of a leaf from the mean it should hold, loss after the
-    tree, and (last tree) the largest distance of a recomputed score from the model's. `keys` name a training row."""
+    tree, and (last tree) the largest distance of a recomputed score from the model's. Rows need no key of
+    their own: none leaves its batch (`keys` stays for callers)."""
     fitted = model.stages[-1]
     weights = [float(w) for w in fitted.treeWeights]
     depth = max(t.depth for t in fitted.trees)
     weighted, _ = balanced_weights(fill_features(train))
     scored = model.transform(weighted).select(
-        *keys, (2 * F.col("label") - 1).alias("y"), F.col("class_weight").alias("w"), vector_to_array("features").alias("x"),
+        (2 * F.col("label") - 1).alias("y"), F.col("class_weight").alias("w"), vector_to_array("features").alias("x"),
         vector_to_array("probability")[1].alias("score"),
     )
     nodes = saved_nodes(model, path, train.sparkSession)
-    # all trees of a row stay where the row is
-    routed = route(scored.repartition(*keys), nodes, len(weights), depth).drop("x")
-    scale = F.element_at(F.array(*[F.lit(w) for w in weights]), F.col("tree") + 1)
-    before = Window.partitionBy(*keys).orderBy("tree").rowsBetween(Window.unboundedPreceding, -1)
-    margins = routed.withColumn("part", scale * F.col("value")).withColumn("so_far", F.coalesce(F.sum("part").over(before), F.lit(0.0)))
-    y, now = F.col("y"), F.col("so_far") + F.col("part")
-    left_over = F.when(F.col("tree") == 0, y).otherwise(4 * y / (1 + F.exp(2 * y * F.col("so_far"))))
-    last = F.when(F.col("tree") == len(weights) - 1, F.abs(1 / (1 + F.exp(-2 * now)) - F.col("score")))
-    leaves = margins.groupBy("tree", "node").agg(
-        F.count(F.lit(1)).alias("rows"), F.first("value").alias("value"), F.sum("w").alias("w"), F.sum(F.col("w") * left_over).alias("wr"),
-        F.sum(F.col("w") * 2 * F.log1p(F.exp(-2 * y * now))).alias("loss"), F.max(last).alias("score_error"),
-    )
+    found = nodes.collect()  # the model: rounds x 2^(depth + 1) rows at most
+    sums = leaf_sums(scored, found, weights, depth)
+    leaves = sums.join(F.broadcast(nodes.select("tree", "node", "value")), ["tree", "node"])
     per_tree = leaves.groupBy("tree").agg(
         F.count(F.lit(1)).alias("leaves"), F.min("rows").alias("smallest_leaf"), F.max(F.abs(F.col("value") - F.col("wr") / F.col("w"))).alias("leaf_error"),
         (F.sum("loss") / F.sum("w")).alias("loss"), F.max("score_error").alias("score_error"),

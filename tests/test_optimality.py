@@ -57,5 +57,31 @@ def test_routing_takes_categories_and_thresholds(spark):
     assert {(r.id, r.value) for r in O.route(rows, nodes, 1, 2).collect()} == {(1, 10.0), (2, 20.0), (3, 30.0)}
 
 
+def test_leaf_sums_agree_with_the_joined_routing(spark, rows):
+    model = M.fit_boosted_trees(rows, rounds=4, depth=3)
+    nodes = O.saved_nodes(model, fresh_path(spark, "trees"), spark)
+    x = M.vector_to_array("features").alias("x")
+    some = model.transform(M.fill_features(rows)).select(F.lit(1.0).alias("y"), F.lit(2.0).alias("w"), x, F.lit(0.5).alias("score"))
+    sums = O.leaf_sums(some, nodes.collect(), [1.0] * 4, 3).select("tree", "node", "rows", "w")
+    joined = O.route(some, nodes, 4, 3).groupBy("tree", "node").agg(F.count("*").alias("rows"), F.sum("w").alias("w"))
+    assert sorted(sums.collect()) == sorted(joined.collect())
+
+
+def test_leaf_sums_take_categories(spark):
+    nodes = spark.createDataFrame(
+        [(0, 0, 1, 2, 0.0, 0, [2.0, 5.0], True), (0, 1, -1, -1, 10.0, -1, [], False), (0, 2, -1, -1, 20.0, -1, [], False)],
+        "tree int, node int, left int, right int, value double, feature int, bounds array<double>, by_category boolean",
+    )
+    rows = spark.createDataFrame([(1.0, 1.0, [v], 0.5) for v in (2.0, 4.0, 5.0)], "y double, w double, x array<double>, score double")
+    assert {(r.node, r.rows) for r in O.leaf_sums(rows, nodes.collect(), [1.0], 1).collect()} == {(1, 2), (2, 1)}
+
+
+def test_audit_counts_rows_that_share_a_key(spark, rows):
+    model = M.fit_boosted_trees(rows, rounds=3, depth=2)
+    shared = rows.withColumn("player_id", F.lit("p"))
+    audit = O.tree_audit(model, shared, fresh_path(spark, "trees"), ["player_id"]).collect()
+    assert all(r.leaf_error < 1e-9 for r in audit) and audit[-1].score_error < 1e-12
+
+
 def test_trees_keep_no_node_ids(spark):
     assert not M.boosted_trees().getCacheNodeIds()
