@@ -8,8 +8,8 @@ together, so the early stop is per text.
 
 The rest is joins. Texts with equal sets are one class with one member that stands for it, however many there are.
 Bands of the signature are buckets; each bucket names its smallest member, all others are compared with that one, on
-their full sets. Where a bucket then still holds several components, its members of different components meet in
-blocks of bounded size, on sketches first and on their full sets where those come near the threshold; only links leave
+their full sets. Where a bucket then still holds several components, its members outside the largest one meet all
+others in blocks of bounded size, on sketches first and on their full sets where those come near the threshold; only links leave
 a block. So no link of a bucket is lost, and none is looked for between members that are already connected. Bands follow
 the threshold, so that a pair at it shares no bucket with a chance of 2 in a million (28 bands of 6 slots at 0.85, 34 of
 5 at 0.8).
@@ -156,15 +156,15 @@ def _links_of_blocks(percent: int, width: int, slots: int):
     least = share - 5 * (share * (1 - share) / slots) ** 0.5  # five standard errors below the threshold
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        ids, component, part = (group[c].to_numpy() for c in ("node", "component", "part"))
+        ids, component, row, column = (group[c].to_numpy() for c in ("node", "component", "row", "column"))
         key, block = int(group["key"].iloc[0]), int(group["block"].iloc[0])
         sketch = np.frombuffer(b"".join(group["sketch"]), dtype=np.uint8).reshape(len(group), -1)
         bands = np.stack(group["bands"].to_list())
         found, counts = shingle_sets(group["body"].fillna("").to_list(), width)
         ends = np.concatenate([[0], np.cumsum(counts)])
         links = []
-        for i in np.flatnonzero(part == block >> 20):
-            near = (component != component[i]) & (part == block & (1 << 20) - 1) & (ids != ids[i])
+        for i in np.flatnonzero(row == block >> 20):
+            near = (component != component[i]) & (column == block & (1 << 20) - 1) & ((row < 0) | (ids > ids[i]))
             near &= 100 * np.minimum(counts, counts[i]) >= percent * np.maximum(counts, counts[i])
             others = np.flatnonzero(near)
             others = others[(sketch[others] == sketch[i]).mean(axis=1) >= least]
@@ -184,6 +184,34 @@ def _links_of_blocks(percent: int, width: int, slots: int):
     return run
 
 
+def dealt_to_blocks(placed: DataFrame, block: int) -> DataFrame:
+    """Members (key, node, component, size) of buckets with several components, once for each block they are needed in.
+
+    Members of a bucket's largest component need not meet each other, so only those outside it (`row` from 0 on) go to
+    every column of blocks, all members go to one column (in every row of blocks). Two members of different components
+    meet as row and column, of two outside it the smaller node as row.
+    """
+    counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    main = counts.groupBy("key").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n"), F.count("*").alias("components")
+    )
+    mixed = main.where("components > 1").select("key", "main", "n")
+    members = placed.join(mixed, "key").where("size > 2")  # of two, both were compared
+    outside, hashed = F.col("component") != F.col("main"), F.xxhash64("node")
+    rows, columns = F.ceil((F.col("size") - F.col("n")) / block).cast("int"), F.ceil(F.col("size") / block).cast("int")
+    at = members.withColumns(
+        {
+            "rows": rows, "columns": columns, "column": F.pmod(hashed, columns).cast("int"),
+            "row": F.when(outside, F.pmod(hashed, rows)).otherwise(F.lit(-1)).cast("int"),
+        }
+    )
+    name = lambda row, column: F.shiftleft(row.cast("bigint"), 20) + column
+    down = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda r: name(r, F.col("column")))
+    across = F.transform(F.sequence(F.lit(0), F.col("columns") - 1), lambda c: name(F.col("row"), c))
+    blocks = F.when(F.col("row") < 0, down).otherwise(F.array_union(down, across))
+    return at.select("key", "node", "component", "row", "column", F.explode(blocks).alias("block"))
+
+
 def near_duplicates(
     documents: DataFrame, id: str = "doc_id", text: str = "text", percent: int = 85, width: int = 5, block: int = 300,
 ) -> DataFrame:
@@ -208,18 +236,8 @@ def near_duplicates(
     stars = members.where("node != lead").select(F.col("lead").alias("u"), F.col("node").alias("v")).distinct()
     links = cut_lineage(verified(stars, texts, percent, width), "links")
     labels = components(links)
-    # buckets in which more than one component is left
     placed = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
-    open_members = placed.join(mixed.select("key"), "key").where("size > 2")  # of two, both were compared
-    parts = F.ceil(F.col("size") / block).cast("int")
-    dealt = open_members.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
-    blocks = dealt.select(
-        "key", "node", "component", "part",
-        (F.shiftleft(F.least("part", "other").cast("bigint"), 20) + F.greatest("part", "other")).alias("block"),
-    ).join(nodes.select("node", "bands", "sketch"), "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
+    blocks = dealt_to_blocks(placed, block).join(nodes.select("node", "bands", "sketch"), "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
     more = blocks.groupBy("key", "block").applyInPandas(_links_of_blocks(percent, width, bands * slots), "u bigint, v bigint")
     links = links.unionByName(cut_lineage(more, "more"))
     labels = components(links)

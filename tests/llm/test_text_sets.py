@@ -111,3 +111,20 @@ def test_components(spark):
     frame = spark.createDataFrame(pairs, "u long, v long")
     assert {r.node: r.component for r in components.components(frame).collect()} == expected
     assert components.components(frame.where("false")).collect() == []
+
+
+def test_blocks_hold_each_member_of_the_largest_component_once(spark):
+    # one bucket: 400 nodes of one component, 12 of three others
+    placed = spark.range(412).selectExpr("7L AS key", "id AS node", "IF(id < 400, 0L, 400 + id % 3) AS component", "412L AS size")
+    dealt = near_dup.dealt_to_blocks(placed, 10).toPandas()
+    assert len(dealt) <= 412 * 2 + 12 * 42
+    met = []
+    for block, cell in dealt.groupby("block"):
+        assert not cell.node.duplicated().any()
+        for i in cell[cell.row == block >> 20].itertuples():
+            others = cell[(cell.component != i.component) & (cell.column == block & (1 << 20) - 1) & ((cell.row < 0) | (cell.node > i.node))]
+            met += [(min(i.node, j), max(i.node, j)) for j in others.node]
+    component = lambda n: 0 if n < 400 else 400 + n % 3
+    assert sorted(met) == [(i, j) for i in range(412) for j in range(max(i + 1, 400), 412) if component(i) != component(j)]
+    alone = spark.range(5).selectExpr("7L AS key", "id AS node", "0L AS component", "5L AS size")
+    assert near_dup.dealt_to_blocks(alone, 10).isEmpty()
