@@ -67,19 +67,33 @@ def _pt(day: str) -> str:
     return f"CAST(year({day}) * 10000 + month({day}) * 100 + dayofmonth({day}) AS STRING)"
 
 
-_calendars: dict[tuple[str, str], tuple[str, str]] = {}
+_calendars: dict[tuple[str, str], tuple[str, str, int]] = {}
 
 
-def calendar(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """First and last day with events, from the file statistics of `ts`; looked up once a session."""
+def _extent(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
+    """First and last day with events, and the number of events; looked up once a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _calendars:
-        bounds = given_table(spark, sf_dir, "events").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-        row = bounds.selectExpr("date_format(lo, 'yyyyMMdd') AS lo", "date_format(hi, 'yyyyMMdd') AS hi").first()
-        _calendars[key] = (row.lo, row.hi)
+        bounds = given_table(spark, sf_dir, "events").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count(F.lit(1)).alias("n"))
+        row = bounds.selectExpr("date_format(lo, 'yyyyMMdd') AS lo", "date_format(hi, 'yyyyMMdd') AS hi", "n").first()
+        _calendars[key] = (row.lo, row.hi, row.n)
     return _calendars[key]
 
 
+def calendar(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """First and last day with events."""
+    return _extent(spark, sf_dir)[:2]
+
+
+#: Events whose users one task of the mart looks after, on average.
+TASK_EVENTS = 100_000
+
+
+def mart_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks among which users are dealt. They follow the events: sizes of compressed shuffle files say little about sorted rows."""
+    return max(1, -(-_extent(spark, sf_dir)[2] // TASK_EVENTS))
+
+
 def partition_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partition listing of the mart: one row for each day with events."""
     return events(spark, sf_dir).select("d").distinct().selectExpr(f"{_pt('d')} AS pt")
@@ -108,7 +122,7 @@ def feature_mart(
     Those rows and the wanted days of a user are then sorted once, and each wanted day looks back over them.
     `eligible_only` leaves out the users without a bet in the recent days, and with them the user-by-day panel.
     """
-    known = calendar(spark, sf_dir)
+    known, tasks = calendar(spark, sf_dir), mart_tasks(spark, sf_dir)
     lo, hi = parse_pt(first_pt or known[0]), parse_pt(last_pt or known[1])
     daily = (
         events(spark, sf_dir, lo - timedelta(days=LOOKBACK_DAYS), hi - timedelta(days=1))
@@ -124,14 +138,14 @@ def feature_mart(
             F.expr("coalesce(sum(CASE WHEN event_type = 'error' THEN value END), 0D) AS wd_amt"),
         )
         # all days of a user in one place: at most one row a day, however busy the user
-        .repartition("user_id")
+        .repartition(tasks, "user_id")
     )
     if eligible_only:
         reach = f"greatest(date_add(d, 1), DATE'{lo}'), least(date_add(d, {RECENT_DAYS}), DATE'{hi}')"
         bet = daily.where(f"bet_cnt > 0 AND d >= date_sub(DATE'{lo}', {RECENT_DAYS})")
         wanted = bet.selectExpr("user_id", f"explode(sequence({reach})) AS d").distinct()
     else:
-        users = given_table(spark, sf_dir, "events").select("user_id").distinct()
+        users = given_table(spark, sf_dir, "events").select("user_id").distinct().repartition(tasks, "user_id")
         wanted = users.selectExpr("user_id", f"explode(sequence(DATE'{lo}', DATE'{hi}')) AS d")
     history = daily.selectExpr("*", "CASE WHEN bet_cnt > 0 THEN d END AS bet_day", "false AS wanted")
     both = history.unionByName(wanted.selectExpr("user_id", "d", "true AS wanted"), allowMissingColumns=True)

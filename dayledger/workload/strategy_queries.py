@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ..operators import strategy as S
+from ..session import cut_lineage
 from ..sources import fixtures as fx
 from . import inputs as I
 from .registry import query
@@ -21,11 +22,13 @@ TABLES = {
 
 
 def _dataset(spark, sf):
-    mart = I.eligible_mart(spark, sf)
+    # snapshots and scores, each looked at by the day and within the day, read the mart four times: it is made once
+    shown = ["player_id", "snapshot_date", "is_eligible", "vip_level", "pt"]
+    mart = cut_lineage(I.eligible_mart(spark, sf).select(*shown, fx.fixed_score().alias("score")), "mart")
     snapshots = mart.select("player_id", "snapshot_date", "is_eligible", "vip_level", F.lit(None).cast("string").alias("value_segment"))
     scores = mart.select(
         "player_id", (F.to_timestamp_ntz("pt", F.lit("yyyyMMdd")) + F.expr("INTERVAL 2 HOURS")).alias("scoring_ts"),
-        fx.fixed_score().alias("score"), F.lit(I.THRESHOLD).alias("selected_threshold"),
+        "score", F.lit(I.THRESHOLD).alias("selected_threshold"),
     )
     return S.strategy_dataset(
         fx.decisions(spark, sf), fx.treatment_log(spark, sf), fx.timed_bets(spark, sf), snapshots, scores,

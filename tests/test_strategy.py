@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from dayledger.operators import strategy as S
 from dayledger.operators.timeline import nearest, window_sums
+from dayledger.sources import fixtures as fx
+from dayledger.workload import strategy_queries as queries
 
 T0 = datetime(2024, 1, 10, 12)
 SOURCES = {s: s for s in S.SOURCES}
@@ -113,3 +115,23 @@ def test_hot_players_are_dealt_by_day(spark):
     left = spark.range(3).select(F.lit("a").alias("player_id"), F.lit(T0).cast("timestamp_ntz").alias("t"))
     plan = nearest(left, left.withColumnRenamed("t", "f"), at="t", fact_at="f", into="n")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_p" in plan and plan.count("_day") > 4
+
+
+def test_mart_is_made_once_in_tasks_that_follow_the_events(spark, tmp_path, monkeypatch):
+    kinds = "element_at(array('purchase', 'click', 'error', 'signup'), CAST(1 + id % 4 AS INT))"
+    rows = spark.range(400).selectExpr(
+        "id AS event_id", "TIMESTAMP'2024-01-03' + make_dt_interval(CAST(id % 27 AS INT)) AS ts", "id % 40 AS user_id",
+        f"{kinds} AS event_type", "CAST(id % 9 AS DOUBLE) AS value", "concat('k', id) AS props",
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(40).selectExpr("id AS c_custkey", "'BUILDING' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    sf = str(tmp_path)
+    # one task for few events, and as many as it takes for more of them, whatever the shuffle setting
+    assert fx.feature_mart(spark, sf, eligible_only=True).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(fx, "TASK_EVENTS", 50, raising=False)
+    for eligible in (True, False):
+        assert fx.feature_mart(spark, sf, eligible_only=eligible).rdd.getNumPartitions() == 8
+    dataset = queries._dataset(spark, sf)
+    # the customers are read by the mart only
+    assert not [f for f in dataset.inputFiles() if "customer.parquet" in f]
+    assert dataset.count() == 200
