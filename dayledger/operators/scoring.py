@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import MISSING_IN_REPORTS, labelled, parse_pt, ratio
+from ..session import cut_lineage
 from ..sources.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RESPONSE_SCORES
 from .ordering import exact_quantiles, rank_rows, value_histogram
 
@@ -101,7 +102,8 @@ def score_output(
 
     `scored` holds player_id, snapshot_date, vip_level and the score.
     """
-    slim = scored.select("player_id", "snapshot_date", "vip_level", F.col(SCORE).cast("double").alias(SCORE))
+    # written first: a sort reads its input twice, for its bounds and to deal the rows
+    slim = cut_lineage(scored.select("player_id", "snapshot_date", "vip_level", F.col(SCORE).cast("double").alias(SCORE)), "scored")
     ranked = rank_scores(slim)
     thresholds = bucket_thresholds(ranked)
     bucketed = ranked.withColumn("response_priority_bucket", priority_bucket(thresholds))

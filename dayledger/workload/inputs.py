@@ -82,11 +82,14 @@ def scores(spark: SparkSession, sf: str, pt: str = SCORING_PT) -> DataFrame:
     return C.score_output(audience(spark, sf, pt), pt, **LINEAGE)[0]
 
 
-def flawed_scores(spark: SparkSession, sf: str) -> DataFrame:
-    """The same partition, whole, with one defect per user residue, so that every check finds something."""
+def flawed_scores(spark: SparkSession, sf: str, clean: DataFrame | None = None) -> DataFrame:
+    """The same partition, whole, with one defect per user residue, so that every check finds something.
+
+    `clean` may hold the partition already.
+    """
     m = F.col("player_id").cast("bigint") % 29
     copies = F.explode(F.sequence(F.lit(1), F.when(m == 0, 2).otherwise(1)))
-    doubled = scores(spark, sf).withColumn("m", m).withColumn("copy", copies)
+    doubled = (scores(spark, sf) if clean is None else clean).withColumn("m", m).withColumn("copy", copies)
 
     def spoil(column: str, *defects: tuple) -> Column:
         chain = F.col(column)
@@ -117,13 +120,14 @@ def flawed_scores(spark: SparkSession, sf: str) -> DataFrame:
     return doubled.select(*[changed.get(c, F.col(c)) for c in RESPONSE_SCORES.fieldNames()])
 
 
-def observed(spark: SparkSession, sf: str, pt: str = SCORING_PT) -> DataFrame:
-    return D.observed_outcomes(scores(spark, sf, pt), bets_after(spark, sf, pt, pt))
+def observed(spark: SparkSession, sf: str, pt: str = SCORING_PT, scored: DataFrame | None = None) -> DataFrame:
+    """Outcomes of a scored partition; `scored` may hold it already."""
+    return D.observed_outcomes(scores(spark, sf, pt) if scored is None else scored, bets_after(spark, sf, pt, pt))
 
 
 def reference_row_count(spark: SparkSession, sf: str, pt: str = REFERENCE_PT) -> DataFrame:
-    """Rows of the scored reference partition."""
-    return scores(spark, sf, pt).agg(F.count(F.lit(1)).alias("reference_row_count"))
+    """Rows of the scored reference partition: one for every member of its audience, whatever the scores and ranks."""
+    return audience(spark, sf, pt).agg(F.count(F.lit(1)).alias("reference_row_count"))
 
 
 # --- evaluation ----------------------------------------------------------------------------

@@ -207,8 +207,8 @@ _DAILY_ALERTS = f"SELECT * EXCLUDE (message) FROM ({_DAILY_ALERTS_TOLD}) told"
 _SHOWN = ["severity", "check_name", "metric_name", "observed_value", "threshold_value", "reference_value"]
 
 
-def _daily_inputs(spark, sf):
-    cube = M.PartitionCube(I.flawed_scores(spark, sf), I.THRESHOLD)
+def _daily_inputs(spark, sf, scored=None):
+    cube = M.PartitionCube(I.flawed_scores(spark, sf, scored), I.THRESHOLD)
     return M.alert_inputs(cube, cube.metrics(), I.reference_row_count(spark, sf))
 
 
@@ -381,8 +381,8 @@ _ZEROS = ", ".join(
 )
 
 
-def _performance(spark, sf):
-    return M.monitor_performance(I.observed(spark, sf), I.SCORING_PT, labels_mature=True, run_ts=I.RUN_TS)
+def _performance(spark, sf, scored=None):
+    return M.monitor_performance(I.observed(spark, sf, scored=scored), I.SCORING_PT, labels_mature=True, run_ts=I.RUN_TS)
 
 
 @query(
@@ -429,8 +429,9 @@ def performance_alerts(spark, sf):
               UNION ALL SELECT 'performance' AS mode, * FROM ({_PERFORMANCE_ALERTS_TOLD}) p) a""",
 )
 def alerts_table(spark, sf):
-    daily = A.alert_rows(A.daily_alerts(_daily_inputs(spark, sf)), I.SCORING_PT, "daily", RUN_LABEL, I.RUN_TS)
-    late = A.alert_rows(A.performance_alerts(_performance(spark, sf)), I.SCORING_PT, "performance", RUN_LABEL, I.RUN_TS)
+    scored = I.scores(spark, sf)  # ranked once: both parts read its files
+    daily = A.alert_rows(A.daily_alerts(_daily_inputs(spark, sf, scored)), I.SCORING_PT, "daily", RUN_LABEL, I.RUN_TS)
+    late = A.alert_rows(A.performance_alerts(_performance(spark, sf, scored)), I.SCORING_PT, "performance", RUN_LABEL, I.RUN_TS)
     return daily.unionByName(late)
 
 

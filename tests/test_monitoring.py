@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 from dayledger.operators import alerts as A
 from dayledger.operators import audit as X
 from dayledger.operators import monitoring as M
+from dayledger.operators import scoring as C
 from dayledger.operators import splits as S
 from dayledger.functions.columns import treatment_combo, week_start
 from dayledger.sources import scans, sinks
 from dayledger.sources.schemas import MONITORING_ALERTS, RESPONSE_DATASET
 from dayledger.session import fresh_path
+from dayledger.workload import inputs as I
+from dayledger.workload import monitoring_queries
 
 QUIET = dict(
     row_count=100, reference_row_count=100, duplicate_player_count=0, invalid_score_count=0, metadata_missing_rows=0,
@@ -253,3 +256,30 @@ def test_counting_a_partition_reads_no_column(spark, tmp_path):
     assert "ReadSchema: struct<>" in plan and "PartitionFilters: [isnotnull(pt" in plan
     assert counted.first() == ("1", 5, True)
     assert scans.partition_row_count(table, "7").first() == ("7", 0, False)
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """Bets of forty users on every day of January, and their customers."""
+    rows = spark.range(40 * 30).selectExpr(
+        "id AS event_id", "TIMESTAMP'2024-01-01' + make_dt_interval(CAST(id DIV 40 AS INT)) AS ts", "id % 40 AS user_id",
+        "'purchase' AS event_type", "CAST(id % 9 AS DOUBLE) AS value", "concat('k', id) AS props",
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(40).selectExpr("id AS c_custkey", "'BUILDING' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    return str(tmp_path)
+
+
+def test_alerts_rank_the_partition_once_and_sort_written_rows(spark, tables, monkeypatch):
+    sorted_from = []
+    rank = C.rank_scores
+    monkeypatch.setattr(C, "rank_scores", lambda rows: sorted_from.append(rows.inputFiles()) or rank(rows))
+    alerts = {(r.mode, r.check_name) for r in monitoring_queries.alerts_table(spark, tables).collect()}
+    assert ("daily", "duplicate_player_ids") in alerts and ("performance", "insufficient_rows") in alerts
+    assert len(sorted_from) == 1
+    assert not [f for f in sorted_from[0] if "events.parquet" in f]
+
+
+def test_reference_rows_are_those_of_the_ranked_partition(spark, tables):
+    counted = I.reference_row_count(spark, tables).first().reference_row_count
+    assert counted == I.scores(spark, tables, I.REFERENCE_PT).count() == 40
