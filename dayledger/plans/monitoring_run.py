@@ -13,6 +13,7 @@ from ..operators import contracts as V
 from ..operators import dataset as D
 from ..operators import monitoring as M
 from ..operators import profiling as P
+from ..session import cut_lineage
 from ..sources import scans
 from ..sources.schemas import MONITORING_ALERTS, MONITORING_DAILY, MONITORING_PERFORMANCE
 from ..sources.sinks import replace_partition
@@ -73,15 +74,19 @@ def run(
     observed = scored
     if mature:
         window = bets.where(F.col("pt").between(shift_pt(pt, 1), shift_pt(pt, days)))
-        observed = D.observed_outcomes(scored, window, days)
+        # read by the check, the totals and the lineage
+        observed = cut_lineage(D.observed_outcomes(scored, window, days), "observed")
         V.require_observed_input(observed, days)
-    performance = M.monitor_performance(
-        observed,
-        pt,
-        labels_mature=mature,
-        run_ts=run_ts,
-        label_maturity_days=performance_limits.label_maturity_days,
-        window_days=days,
+    performance = cut_lineage(
+        M.monitor_performance(
+            observed,
+            pt,
+            labels_mature=mature,
+            run_ts=run_ts,
+            label_maturity_days=performance_limits.label_maturity_days,
+            window_days=days,
+        ),
+        "performance",
     )
     late = A.performance_alerts(performance, performance_limits)
     alerts = A.alert_rows(raised, pt, "daily", run_label, run_ts).unionByName(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import parse_pt, pt_to_date
+from ..session import cut_lineage
 from .schemas import LIFECYCLE_DAYS, TABLES
 
 
@@ -52,12 +53,16 @@ def write_partition(df: DataFrame, path: str, schema: T.StructType, pt: str, mod
 def replace_partition(df: DataFrame, path: str, schema: T.StructType, pt: str) -> dict:
     """As an overwrite, but an empty frame leaves an empty partition: results of an earlier run do not survive.
 
-    Earlier rows go only once the new ones are written, or once it is known that there are none.
+    Earlier rows go only once the new ones are written, or once it is known that there are none. `df` is looked at and
+    then written, so its rows are made once, aside.
     """
-    if df.isEmpty():
+    aligned, report = align_to_schema(df.withColumn("pt", F.lit(pt)), schema)
+    rows = cut_lineage(aligned, "replacing")
+    if rows.isEmpty():
         drop_partitions(df.sparkSession, path, [pt])
-        return align_to_schema(df.withColumn("pt", F.lit(pt)), schema)[1]
-    return write_partition(df, path, schema, pt)
+    else:
+        write_partition(rows, path, schema, pt)
+    return report
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -71,9 +71,9 @@ def audited(spark: SparkSession, sf: str, first: str | None = None, last: str =
 # --- scores --------------------------------------------------------------------------------
 
 
-def audience(spark: SparkSession, sf: str, pt: str = SCORING_PT) -> DataFrame:
-    """The scored population of one partition, without ranks."""
-    rows = C.scoring_audience(eligible_mart(spark, sf, pt, pt), pt)
+def audience(spark: SparkSession, sf: str, pt: str = SCORING_PT, table: DataFrame | None = None) -> DataFrame:
+    """The scored population of one partition, without ranks. `table` may hold the mart of that day already."""
+    rows = C.scoring_audience(eligible_mart(spark, sf, pt, pt) if table is None else table, pt)
     return rows.withColumn(C.SCORE, fx.fixed_score())
 
 

@@ -161,14 +161,16 @@ def write_monitoring(spark, sf):
     """Both partitions published, the later one monitored, the three tables read back."""
     folder = fresh_path(spark, "monitoring")
     scores = f"{folder}/response_scores"
+    # both days are published and looked at again by the monitor: their mart is made once
+    mart = cut_lineage(I.eligible_mart(spark, sf, I.REFERENCE_PT, I.SCORING_PT), "mart")
     for pt in (I.REFERENCE_PT, I.SCORING_PT):
-        scoring_run.publish(spark, I.audience(spark, sf, pt), pt, scores, non_null=NON_NULL, **I.LINEAGE)
+        scoring_run.publish(spark, I.audience(spark, sf, pt, mart), pt, scores, non_null=NON_NULL, **I.LINEAGE)
     paths = monitoring_run.run(
         spark,
         folder,
         I.SCORING_PT,
         scores=sinks.read_table(spark, scores, RESPONSE_SCORES),
-        mart=I.eligible_mart(spark, sf, I.REFERENCE_PT, I.SCORING_PT),
+        mart=mart,
         bets=I.bets_after(spark, sf, I.SCORING_PT, I.SCORING_PT),
         as_of=I.AS_OF,
         run_ts=I.RUN_TS,

@@ -9,11 +9,12 @@ from dayledger.operators import monitoring as M
 from dayledger.operators import scoring as C
 from dayledger.operators import splits as S
 from dayledger.functions.columns import treatment_combo, week_start
+from dayledger.sources import fixtures as fx
 from dayledger.sources import scans, sinks
 from dayledger.sources.schemas import MONITORING_ALERTS, RESPONSE_DATASET
 from dayledger.session import fresh_path
 from dayledger.workload import inputs as I
-from dayledger.workload import monitoring_queries
+from dayledger.workload import model_queries, monitoring_queries
 
 QUIET = dict(
     row_count=100, reference_row_count=100, duplicate_player_count=0, invalid_score_count=0, metadata_missing_rows=0,
@@ -283,3 +284,29 @@ def test_alerts_rank_the_partition_once_and_sort_written_rows(spark, tables, mon
 def test_reference_rows_are_those_of_the_ranked_partition(spark, tables):
     counted = I.reference_row_count(spark, tables).first().reference_row_count
     assert counted == I.scores(spark, tables, I.REFERENCE_PT).count() == 40
+
+
+def test_written_monitoring_makes_the_mart_once(spark, tables, monkeypatch):
+    made, published = [], []
+    mart, publish = fx.feature_mart, model_queries.scoring_run.publish
+    monkeypatch.setattr(fx, "feature_mart", lambda *a, **k: made.append(a) or mart(*a, **k))
+    monkeypatch.setattr(model_queries.scoring_run, "publish", lambda s, rows, *a, **k: published.append(rows.inputFiles()) or publish(s, rows, *a, **k))
+    written = {r.table_name: r.row_count for r in model_queries.write_monitoring(spark, tables).collect()}
+    assert written["monitoring_daily"] > 1 and written["monitoring_performance"] == 1
+    assert len(made) == 1 and len(published) == 2
+    assert not [f for files in published for f in files if "events.parquet" in f]
+
+
+def test_replacing_rows_are_made_once(spark):
+    """A frame that is looked at and then written is evaluated once: its rows are counted as they are made."""
+    path, seen = fresh_path(spark, "alerts_once"), spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([("warning", "a"), ("critical", "b")], "severity string, check_name string")
+    sinks.replace_partition(rows.mapInPandas(told, rows.schema), path, MONITORING_ALERTS, "20240101")
+    assert seen.value == 2
+    assert {r.check_name for r in sinks.read_table(spark, path, MONITORING_ALERTS).collect()} == {"a", "b"}
